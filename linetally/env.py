@@ -84,6 +84,10 @@ def build_session(app_name: str = "linetally", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # files of about this size come out of rebalanced writes
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        # daily folders are many and small: a few hundred listing tasks are enough
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "256")
     )
     if master:
         builder = builder.master(master)

@@ -72,23 +72,33 @@ def number_within(
     order: Sequence[Column],
     out: str,
     one_task_rows: int = ONE_TASK_ROWS,
+    along: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """Row numbers per key: a plain window, and the ranged form for big keys.
 
     ``df`` should read from a table, since it is looked at more than once.
-    Every row goes through exactly one of the two, so nothing is dropped or
-    capped, and the numbers are those of the plain window.
+    Every row goes through exactly one of the two forms, so nothing is dropped
+    or capped, and the numbers are those of the plain window.
+
+    ``along`` names columns that follow from the key. The rows are then
+    shuffled by them, which serves the window and leaves the output laid out
+    by them, where a shuffle by the key would call for a second one.
     """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS))
-    plain = Window.partitionBy(*keys).orderBy(*order)
     # the row count comes from file footers; a small frame has no big key
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS))
     hot = hot_hash_buckets(df, bucket, one_task_rows) if df.count() > one_task_rows else []
-    if not hot:
-        return df.withColumn(out, F.row_number().over(plain))
     is_hot = bucket.isin(hot)
-    cold_part = df.where(~is_hot).withColumn(out, F.row_number().over(plain))
+
+    rest = df.where(~is_hot) if hot else df
+    if along:
+        rest = rest.repartition(partitions, *along) if partitions else rest.repartition(*along)
+    plain = Window.partitionBy(*along, *keys).orderBy(*order)
+    numbered = rest.withColumn(out, F.row_number().over(plain))
+    if not hot:
+        return numbered
     hot_part = ranged_row_number(df.where(is_hot), keys, order, out)
-    return cold_part.unionByName(hot_part.withColumn(out, F.col(out).cast("int")))
+    return numbered.unionByName(hot_part.withColumn(out, F.col(out).cast("int")))
 
 
 def tile_of(number: Column, total: int, tiles: int) -> Column:

@@ -123,7 +123,7 @@ def convert_months(
     began = time.monotonic()
     wanted = list(periods)
     run_id = run_id or uuid.uuid4().hex
-    parsed = written(parse_lines(read_lines(spark, landing, wanted)), "parsed", ("path_period",))
+    parsed = written(parse_lines(read_lines(spark, landing, wanted)), "parsed")
 
     # from here on only per-period rows reach the driver
     metrics = written(period_metrics(parsed), "metrics")
@@ -132,7 +132,7 @@ def convert_months(
     write_periods(rows.select(*ORDER_COLUMNS, "year", "month"), staged, ("year", "month"))
     if quarantine:
         write_periods(
-            set_aside(parsed.where(F.col("path_period").isin(clean))), quarantine, ("period", "reason"), fmt="json"
+            set_aside(parsed.where(F.col("path_period").isin(clean))), quarantine, ("period",), fmt="json"
         )
 
     back = staged_counts(spark, staged, clean)

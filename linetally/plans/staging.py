@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,6 +21,9 @@ DUPLICATE_KEY = ("invoice_no", "stock_code", "quantity", "invoice_date", "unit_p
 # load order first; the rest only settles ties, so that a rerun numbers alike
 DUPLICATE_ORDER = ("loaded_at", "source_file", "description", "customer_id", "country")
 
+ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_TASK = 4_000_000
+
 
 class SchemaDriftError(ValueError):
     """The staging output no longer has the columns of the existing table."""
@@ -52,14 +55,46 @@ def clean_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_orders(raw: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def period_buckets(raw: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[Column, int]:
+    """How many buckets each period is split into, and how many tasks they need.
+
+    Sized from row counts per period, which are read from partition folders
+    and file footers alone. A period with a third of all rows gets a third of
+    the buckets; a small one stays whole.
+    """
+    counts = raw.groupBy("partition_year", "partition_month").agg(F.count(F.lit(1)).alias("n"))
+    by_size: dict[int, list[str]] = {}
+    total = 0
+    for row in counts.select(period_key("partition_year", "partition_month").alias("p"), "n").collect():
+        total += row["n"]
+        size = 1
+        while size * rows_per_bucket < row["n"]:
+            size *= 2
+        by_size.setdefault(size, []).append(row["p"])
+    buckets = F.lit(1)
+    for size, periods in by_size.items():
+        if size > 1:
+            buckets = F.when(F.col("period").isin(periods), F.lit(size)).otherwise(buckets)
+    pieces = sum(size * len(periods) for size, periods in by_size.items())
+    at_least = min(pieces, raw.sparkSession.sparkContext.defaultParallelism)
+    return buckets, max(1, at_least, -(-total // ROWS_PER_TASK))
+
+
+def stg_orders(
+    raw: DataFrame, one_task_rows: int = ONE_TASK_ROWS, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """Cleaned lines with otherwise identical ones numbered 1, 2, ... in load order.
 
     Copies are numbered, never dropped here. The key includes the invoice
-    date, so numbering some periods alone gives the numbers of the whole.
+    date, so numbering some periods alone gives the numbers of the whole, and
+    one shuffle by period and key bucket serves the numbering and the write.
     """
     order = [F.col(c).asc_nulls_first() for c in DUPLICATE_ORDER]
-    numbered = number_within(clean_lines(raw), DUPLICATE_KEY, order, "duplicate_occurrence", one_task_rows)
+    buckets, tasks = period_buckets(raw, rows_per_bucket)
+    lines = clean_lines(raw).withColumn("bucket", F.pmod(F.xxhash64(*DUPLICATE_KEY), buckets))
+    numbered = number_within(
+        lines, DUPLICATE_KEY, order, "duplicate_occurrence", one_task_rows, ("period", "bucket"), tasks
+    )
     return numbered.select(*STG_ORDER.fieldNames())
 
 
@@ -81,7 +116,8 @@ def _write_stg(rows: DataFrame, table: str) -> None:
         existing = spark.read.parquet(table).schema
         if existing.fields:
             require_same_columns(existing, rows.schema)
-    write_periods(rows, table, ("period",))
+    # stg_orders leaves its rows laid out by period already
+    write_periods(rows, table, ("period",), rebalance=False)
 
 
 def build_stg_orders(raw: DataFrame, table: str) -> None:

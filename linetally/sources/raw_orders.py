@@ -22,12 +22,9 @@ def split_period(period: str) -> tuple[int, int]:
 
 
 def in_periods(periods: Iterable[str]) -> Column:
-    """Periods as a predicate on the RAW partition columns, so folders are pruned."""
-    keep = F.lit(False)
-    for period in periods:
-        year, month = split_period(period)
-        keep = keep | ((F.col("partition_year") == year) & (F.col("partition_month") == month))
-    return keep
+    """Periods as one predicate on the RAW partition columns, so folders are pruned."""
+    wanted = [year * 100 + month for year, month in map(split_period, periods)]
+    return (F.col("partition_year") * 100 + F.col("partition_month")).isin(wanted)
 
 
 def read_raw(spark: SparkSession, raw: str) -> DataFrame:

@@ -186,7 +186,7 @@ def recon_audit_record(w):
 @query
 def undated_quarantine(w):
     w.converted  # noqa: B018 - fills the quarantine folder
-    aside = w.spark.read.schema("line string, period string, reason string").json(w.env.quarantine)
+    aside = w.spark.read.schema("reason string, line string, period string").json(w.env.quarantine)
     return aside.groupBy("period", "reason").agg(F.count("line").alias("line_count"))
 
 
