@@ -9,18 +9,24 @@ from pyspark.sql import functions as F
 
 from linetally.env import written
 
-# A window over at most this many rows may run in one task.
+# A key or a window of up to this many rows may be handled by one task.
 ONE_TASK_ROWS = 2_000_000
 # Keys are counted in this many hash buckets to find the big ones.
 HASH_BUCKETS = 65_536
+# At very large totals a bucket counts as big beyond this many times the mean.
+HOT_FACTOR = 8
+# Shuffles sized from row counts aim for this many rows per task.
+ROWS_PER_TASK = 4_000_000
+MOST_TASKS = 10_000
+
+
+def tasks_for(rows: int) -> int:
+    """Shuffle partitions for a number of rows, kept to what a shuffle can connect."""
+    return max(1, min(MOST_TASKS, -(-rows // ROWS_PER_TASK)))
 
 
 def ranged_row_number(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    out: str,
-    partitions: int | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, partitions: int
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` for any key size.
 
@@ -32,20 +38,19 @@ def ranged_row_number(
     """
     tie, part, local, before = "__tie", "__part", "__local", "__before"
     sort = [F.col(k).asc() for k in keys] + list(order) + [F.col(tie).asc()]
-    ranged = df.withColumn(tie, F.monotonically_increasing_id())
-    ranged = ranged.repartitionByRange(partitions, *sort) if partitions else ranged.repartitionByRange(*sort)
+    ranged = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(partitions, *sort)
     ranged = written(ranged.withColumn(part, F.spark_partition_id()), "ranged")
 
     piece = Window.partitionBy(part, *keys).orderBy(*order, F.col(tie).asc())
-    numbered = ranged.withColumn(local, F.row_number().over(piece))
+    numbered = ranged.repartition(partitions, part).withColumn(local, F.row_number().over(piece))
 
-    # one row per (partition, key) piece: a key spans at most as many
-    # partitions as the range shuffle made, so this window stays small
+    # a key has at most one piece per partition, so this window stays small
     earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     pieces = ranged.groupBy(part, *keys).agg(F.count(F.lit(1)).alias("__n"))
     shifts = pieces.withColumn(before, F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
-    # most keys live in one partition and need no shift
-    shifts = shifts.where(F.col(before) > 0)
+    # Only the first key of a partition can have begun in an earlier one, so
+    # there are at most as many shifts as partitions: small enough to send out.
+    shifts = F.broadcast(shifts.where(F.col(before) > 0))
 
     p, s = numbered.alias("p"), shifts.alias("s")
     same = F.col(f"p.{part}") == F.col(f"s.{part}")
@@ -55,15 +60,15 @@ def ranged_row_number(
     return p.join(s, same, "left").select(*[F.col(f"p.{c}") for c in df.columns], number.alias(out))
 
 
-def hot_hash_buckets(df: DataFrame, bucket: Column, more_than: int) -> list[int]:
-    """Hash buckets of the key that hold more rows than one task should get.
+def hot_hash_buckets(df: DataFrame, bucket: Column, more_than: int) -> dict[int, int]:
+    """Hash buckets of the key with more rows than ``more_than``, and their rows.
 
-    A bucket's rows are at least those of any key in it, so no big key is
+    A bucket's rows are at least those of any key in it, so no bigger key is
     missed. The count combines before the shuffle and its result has at most
     ``HASH_BUCKETS`` rows, whatever the data size.
     """
     counted = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    return sorted(r["b"] for r in counted.where(F.col("n") > more_than).collect())
+    return {r["b"]: r["n"] for r in counted.where(F.col("n") > more_than).collect()}
 
 
 def number_within(
@@ -85,19 +90,23 @@ def number_within(
     shuffled by them, which serves the window and leaves the output laid out
     by them, where a shuffle by the key would call for a second one.
     """
-    # the row count comes from file footers; a small frame has no big key
     bucket = F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS))
-    hot = hot_hash_buckets(df, bucket, one_task_rows) if df.count() > one_task_rows else []
-    is_hot = bucket.isin(hot)
+    # the row count comes from file footers; a small frame has no big key
+    total = df.count()
+    limit = max(one_task_rows, HOT_FACTOR * total // HASH_BUCKETS)
+    hot = hot_hash_buckets(df, bucket, limit) if total > limit else {}
+    is_hot = bucket.isin(list(hot))
 
     rest = df.where(~is_hot) if hot else df
     if along:
-        rest = rest.repartition(partitions, *along) if partitions else rest.repartition(*along)
+        rest = rest.repartition(partitions or tasks_for(total), *along)
     plain = Window.partitionBy(*along, *keys).orderBy(*order)
     numbered = rest.withColumn(out, F.row_number().over(plain))
     if not hot:
         return numbered
-    hot_part = ranged_row_number(df.where(is_hot), keys, order, out)
+    # a few pieces per hot bucket at least, so that a small limit splits too
+    pieces = max(tasks_for(sum(hot.values())), min(MOST_TASKS, 2 * len(hot)))
+    hot_part = ranged_row_number(df.where(is_hot), keys, order, out, pieces)
     return numbered.unionByName(hot_part.withColumn(out, F.col(out).cast("int")))
 
 
@@ -128,5 +137,6 @@ def ntile_over_all(
     total = df.count()
     if total <= one_task_rows:
         return df.withColumn(out, F.ntile(tiles).over(Window.orderBy(*order)))
-    ranked = ranged_row_number(df, [], order, "__rank", partitions)
+    at_least = df.sparkSession.sparkContext.defaultParallelism
+    ranked = ranged_row_number(df, [], order, "__rank", partitions or max(at_least, tasks_for(total)))
     return ranked.withColumn(out, tile_of(F.col("__rank"), total, tiles)).drop("__rank")

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from linetally.fixed_values import AGGREGATE_REGION, GDP, POPULATION
 from linetally.functions.columns import QUALITY_FIELDS, is_cancellation, line_type, period_key, ratio
 from linetally.operators.aggregates import latest_by, pivot_max
-from linetally.operators.ranking import ONE_TASK_ROWS, number_within
+from linetally.operators.ranking import MOST_TASKS, ONE_TASK_ROWS, number_within, tasks_for
 from linetally.schemas import STG_ORDER
 from linetally.sources.files import drop_partition, path_exists, write_periods
 from linetally.sources.raw_orders import in_periods
@@ -21,8 +21,8 @@ DUPLICATE_KEY = ("invoice_no", "stock_code", "quantity", "invoice_date", "unit_p
 # load order first; the rest only settles ties, so that a rerun numbers alike
 DUPLICATE_ORDER = ("loaded_at", "source_file", "description", "customer_id", "country")
 
+# A period of up to this many rows is not split.
 ROWS_PER_BUCKET = 1_000_000
-ROWS_PER_TASK = 4_000_000
 
 
 class SchemaDriftError(ValueError):
@@ -63,21 +63,24 @@ def period_buckets(raw: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> tu
     the buckets; a small one stays whole.
     """
     counts = raw.groupBy("partition_year", "partition_month").agg(F.count(F.lit(1)).alias("n"))
-    by_size: dict[int, list[str]] = {}
-    total = 0
-    for row in counts.select(period_key("partition_year", "partition_month").alias("p"), "n").collect():
-        total += row["n"]
-        size = 1
-        while size * rows_per_bucket < row["n"]:
-            size *= 2
-        by_size.setdefault(size, []).append(row["p"])
+    period = period_key("partition_year", "partition_month").alias("p")
+    sizes = {r["p"]: r["n"] for r in counts.select(period, "n").collect()}  # one row per period
+    total = sum(sizes.values())
+    # several buckets per task even out their sizes
+    per_bucket = max(rows_per_bucket, total // (4 * MOST_TASKS))
+    by_count: dict[int, list[str]] = {}
+    for name, rows in sizes.items():
+        count = 1
+        while count * per_bucket < rows:
+            count *= 2
+        by_count.setdefault(count, []).append(name)
     buckets = F.lit(1)
-    for size, periods in by_size.items():
-        if size > 1:
-            buckets = F.when(F.col("period").isin(periods), F.lit(size)).otherwise(buckets)
-    pieces = sum(size * len(periods) for size, periods in by_size.items())
-    at_least = min(pieces, raw.sparkSession.sparkContext.defaultParallelism)
-    return buckets, max(1, at_least, -(-total // ROWS_PER_TASK))
+    for count, periods in by_count.items():
+        if count > 1:
+            buckets = F.when(F.col("period").isin(periods), F.lit(count)).otherwise(buckets)
+    all_buckets = sum(count * len(periods) for count, periods in by_count.items())
+    at_least = min(all_buckets, raw.sparkSession.sparkContext.defaultParallelism)
+    return buckets, max(1, at_least, tasks_for(total))
 
 
 def stg_orders(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linetally.fixed_values import BATCH, CSV_ENCODING, CSV_HEADERS, STREAM
-from linetally.functions.columns import is_cancellation, wall_clock, whole_number_text
+from linetally.functions.columns import is_cancellation, ratio, wall_clock, whole_number_text
 from linetally.operators.aggregates import exact_copies
 from linetally.schemas import LANDED_ORDER
 from linetally.sources.files import write_periods
@@ -55,30 +55,45 @@ def split_undated(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
 def profile(dated: DataFrame) -> DataFrame:
     """One row describing how messy the source is, from one scan.
 
-    The lines are first folded to distinct lines with a copy count, which
-    combines before its shuffle; everything else is counted over those.
+    Lines are folded to distinct lines with a copy count, then to (invoice,
+    customer, country). Both combine before their shuffle, and only the folded
+    rows are expanded for the three distinct counts.
     """
-    columns = [*CSV_COLUMNS]
-    rows = exact_copies(dated, columns)
+    copies = F.col("copies")
+
+    def rows_where(condition):
+        return F.sum(F.when(condition, copies).otherwise(F.lit(0)))
+
+    folded = (
+        exact_copies(dated, CSV_COLUMNS)
+        .groupBy("invoice_no", "customer_id", "country")
+        .agg(
+            F.sum(copies).alias("row_count"),
+            F.min("invoice_date").alias("first_date"),
+            F.max("invoice_date").alias("last_date"),
+            rows_where(F.col("quantity") < 0).alias("negative_quantity"),
+            rows_where(F.col("unit_price") <= 0).alias("non_positive_price"),
+            F.sum(copies - 1).alias("exact_duplicates"),
+        )
+    )
 
-    def weighted(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("copies"))), F.lit(0))
+    def total(column):
+        return F.coalesce(F.sum(column), F.lit(0))
 
-    return rows.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("row_count"),
-        F.min("invoice_date").cast("date").alias("first_date"),
-        F.max("invoice_date").cast("date").alias("last_date"),
+    rows = F.col("row_count")
+    return folded.agg(
+        total(rows).alias("row_count"),
+        F.min("first_date").cast("date").alias("first_date"),
+        F.max("last_date").cast("date").alias("last_date"),
         F.count_distinct("invoice_no").alias("distinct_invoices"),
         F.count_distinct("customer_id").alias("distinct_customers"),
         F.count_distinct("country").alias("distinct_countries"),
-        weighted(F.col("customer_id").isNull()).alias("null_customer_id"),
-        weighted(F.col("quantity") < 0).alias("negative_quantity"),
-        weighted(F.col("unit_price") <= 0).alias("non_positive_price"),
-        weighted(is_cancellation("invoice_no")).alias("cancellations"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("exact_duplicates"),
-    ).withColumn(
-        "null_customer_share", F.col("null_customer_id").cast("double") / F.nullif(F.col("row_count").cast("double"), F.lit(0.0))
-    )
+        total(F.when(F.col("customer_id").isNull(), rows)).alias("null_customer_id"),
+        total("negative_quantity").alias("negative_quantity"),
+        total("non_positive_price").alias("non_positive_price"),
+        total(F.when(is_cancellation("invoice_no"), rows)).alias("cancellations"),
+        total("exact_duplicates").alias("exact_duplicates"),
+    ).withColumn("null_customer_share", ratio(F.col("null_customer_id"), rows))
 
 
 def stream_cutoff(dated: DataFrame, days: int):
