@@ -73,9 +73,10 @@ def replay(
     """
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(batch)
-        stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
+        # the batch is looked at three times; files are read and parsed once
+        parsed = parse_lines(batch).persist()
         dated = good(parsed).where(F.col("invoice_date").isNotNull())
+        stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
         rows = (
             dated.withColumnsRenamed({"year": "partition_year", "month": "partition_month"})
             .withColumn("loaded_at", stamp)
@@ -85,15 +86,9 @@ def replay(
         if quarantine:
             aside = set_aside(parsed).withColumn("batch_id", F.lit(batch_id))
             _store(aside, quarantine, ("period", "batch_id"))
-        # which periods this batch touched is read from what it stored
-        stored = spark.read.schema("invoice_no string, partition_year int, partition_month int, batch_id long")
-        touched = (
-            stored.parquet(stream_raw)
-            .where(F.col("batch_id") == batch_id)
-            .select(period_key("partition_year", "partition_month").alias("period"))
-            .distinct()
-        )
-        periods = sorted(r["period"] for r in touched.collect())
+        touched = dated.select(period_key("year", "month").alias("period")).distinct()
+        periods = sorted(r["period"] for r in touched.collect())  # one row per period
+        parsed.unpersist()
         rebuild_periods(spark, read_all_raw(spark, raw, stream_raw), stg, periods)
 
     query = (
