@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linetally.functions.columns import money, money_out, period_key
+
 log = logging.getLogger(__name__)
 
 
@@ -185,7 +187,7 @@ def marts_revenue_differs(
     stg: DataFrame, lines: DataFrame, tolerance: float, strict: bool = False
 ) -> DataFrame:
     """Periods where mart revenue is not that of the deduplicated staging rows."""
-    total = F.sum(F.col("line_amount").cast("decimal(18,4)")).cast("double")
+    total = money_out(F.sum(money("line_amount")))
     staged = stg.where("duplicate_occurrence = 1").groupBy("period").agg(total.alias("staging_revenue"))
     mart = lines.groupBy("period").agg(total.alias("marts_revenue"))
     both = staged.join(mart, "period", "full" if strict else "inner")
@@ -197,8 +199,6 @@ def marts_revenue_differs(
 
 def several_files_per_period(raw: DataFrame) -> DataFrame:
     """Periods of RAW that come from more than one file."""
-    from linetally.functions.columns import period_key
-
     files = raw.select(period_key("partition_year", "partition_month").alias("period"), "source_file").distinct()
     return (
         files.groupBy("period")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linetally.env import written
 from linetally.fixed_values import CALENDAR_END, CALENDAR_START, DEFAULT_INDICATOR_YEAR, SEGMENTS
-from linetally.functions.columns import money, money_out, price, ratio
+from linetally.functions.columns import average_price, money, money_out, ratio, wide
 from linetally.operators.aggregates import most_frequent
 from linetally.operators.ranking import ONE_TASK_ROWS, ntile_over_all
 
@@ -70,7 +70,7 @@ def fct_revenue_monthly(orders: DataFrame) -> DataFrame:
     NULL in its first period and 0 after a period without revenue.
     """
     kept, cancelled = ~F.col("is_cancelled_order"), F.col("is_cancelled_order")
-    revenue = money("total_revenue")
+    revenue = wide(money("total_revenue"))
     has_number = F.col("invoice_no").isNotNull()
     monthly = orders.groupBy("period", "country").agg(
         F.count_if(kept & has_number).alias("total_orders"),
@@ -113,7 +113,7 @@ def customer_activity(lines: DataFrame) -> DataFrame:
         F.count_if(has_number & F.col("is_cancellation")).alias("total_cancelled_orders"),
         F.sum("n_lines").alias("total_line_items"),
         F.sum("units").alias("total_units_purchased"),
-        money_out(F.sum("revenue")).alias("total_revenue"),
+        money_out(F.sum(wide("revenue"))).alias("total_revenue"),
     )
 
 
@@ -170,7 +170,6 @@ def product_description(lines: DataFrame) -> DataFrame:
 
 def dim_product(lines: DataFrame) -> DataFrame:
     """One row per stock code; the description is NULL where no line has one."""
-    counted_price = _live(price("unit_price"), None)
     products = lines.groupBy("stock_code").agg(
         F.min("invoice_date").alias("first_sold_date"),
         F.max("invoice_date").alias("last_sold_date"),
@@ -178,7 +177,7 @@ def dim_product(lines: DataFrame) -> DataFrame:
         F.sum(_live(F.col("quantity"))).alias("total_units_sold"),
         money_out(F.sum(_live(money("line_amount")))).alias("total_revenue"),
         F.sum(F.when(F.col("is_cancellation"), F.abs("quantity")).otherwise(F.lit(0))).alias("total_cancelled_units"),
-        ratio(F.sum(counted_price), F.count(counted_price)).alias("avg_unit_price"),
+        average_price(_live(F.col("unit_price"), None)).alias("avg_unit_price"),
     )
     cancelled, sold = F.col("total_cancelled_units"), F.col("total_units_sold")
     return products.join(product_description(lines), "stock_code", "left").select(
@@ -207,7 +206,7 @@ def country_activity(lines: DataFrame) -> DataFrame:
     return folded.groupBy("country").agg(
         F.count_distinct("invoice_no").alias("total_orders"),
         F.count_distinct("customer_id").alias("total_customers"),
-        money_out(F.sum("revenue")).alias("total_revenue"),
+        money_out(F.sum(wide("revenue"))).alias("total_revenue"),
     )
 
 
