@@ -47,6 +47,10 @@ class Env:
     def raw_orders(self) -> str:
         return self.path("raw", "orders")
 
+    @property
+    def raw_orders_stream(self) -> str:
+        return self.path("raw", "orders_stream")
+
     @property
     def raw_countries(self) -> str:
         return self.path("raw", "worldbank_countries")

@@ -32,7 +32,7 @@ from linetally.plans.staging import (
     stg_worldbank_countries,
     stg_worldbank_indicators,
 )
-from linetally.sources.raw_orders import load_periods, read_raw
+from linetally.sources.raw_orders import load_periods, read_all_raw, read_raw, read_streamed
 from linetally.sources.reference import read_country_mapping
 
 MARTS = (
@@ -61,7 +61,8 @@ class RunReport:
 
 def reconciliation(spark: SparkSession, env: Env) -> DataFrame:
     glue = stg_glue_recon(spark.read.parquet(env.recon_raw))
-    return pipeline_reconciliation(glue, read_raw(spark, env.raw_orders), read_stg(spark, env.stg_orders))
+    raw, streamed = read_raw(spark, env.raw_orders), read_streamed(spark, env.raw_orders_stream)
+    return pipeline_reconciliation(glue, raw, read_stg(spark, env.stg_orders), streamed)
 
 
 def build_marts(spark: SparkSession, env: Env) -> None:
@@ -194,6 +195,11 @@ def run(
     """
     wanted, report = list(periods), RunReport()
 
+    def stage() -> None:
+        # a rebuilt period keeps the lines that came as a stream
+        raw = read_all_raw(spark, env.raw_orders, env.raw_orders_stream)
+        refresh_stg_orders(spark, raw, env.stg_orders, wanted)
+
     def gate() -> None:
         report.recon = reconciliation(spark, env)
         require_reconciled(report.recon, wanted)
@@ -205,7 +211,7 @@ def run(
         "load_raw": lambda: load_periods(spark, env.staged, env.raw_orders, wanted, loaded_at),
         # audit records are loaded before they are compared, never left stale
         "load_audit": lambda: load_recon_raw(spark, env.audit, env.recon_raw, loaded_at),
-        "staging": lambda: refresh_stg_orders(spark, read_raw(spark, env.raw_orders), env.stg_orders, wanted),
+        "staging": stage,
         "gate": gate,
         "marts": lambda: build_marts(spark, env),
         "checks": lambda: check_marts(spark, env),

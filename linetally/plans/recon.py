@@ -26,16 +26,26 @@ def staging_counts(stg: DataFrame) -> DataFrame:
     return _per_period(stg, F.col("period"), "rows_in_staging")
 
 
-def pipeline_reconciliation(glue: DataFrame, raw: DataFrame, stg: DataFrame) -> DataFrame:
+def pipeline_reconciliation(
+    glue: DataFrame, raw: DataFrame, stg: DataFrame, streamed: DataFrame | None = None
+) -> DataFrame:
     """One row per period seen anywhere, with a status naming the hop that disagrees.
 
-    All three sides are already one row per period when they are joined. The
-    first matching status wins, and a NULL count or flag does not match.
+    All sides are already one row per period when they are joined. The first
+    matching status wins, and a NULL count or flag does not match. Streamed
+    lines reach staging beside RAW, so they are counted out of it.
     """
     g = glue.select(F.lit(True).alias("has_record"), *glue.columns)
     r = raw_counts(raw).withColumn("has_raw", F.lit(True))
     # join(using) coalesces the key, so the second join sees periods of either side
-    sides = g.join(r, "period", "full").join(staging_counts(stg), "period", "full")
+    s = staging_counts(stg)
+    if streamed is not None:
+        beside = raw_counts(streamed).withColumnRenamed("rows_in_raw", "rows_streamed")
+        s = s.join(beside, "period", "full").select(
+            "period",
+            (F.coalesce("rows_in_staging", F.lit(0)) - F.coalesce("rows_streamed", F.lit(0))).alias("rows_in_staging"),
+        )
+    sides = g.join(r, "period", "full").join(s, "period", "full")
     in_raw = F.coalesce("rows_in_raw", F.lit(0))
     in_stg = F.coalesce("rows_in_staging", F.lit(0))
     status = (

@@ -31,6 +31,19 @@ def read_raw(spark: SparkSession, raw: str) -> DataFrame:
     return spark.read.schema(RAW_ORDER).parquet(raw)
 
 
+def read_streamed(spark: SparkSession, stream_raw: str) -> DataFrame | None:
+    """RAW lines that arrived as a stream; None when none did."""
+    if not path_exists(spark, stream_raw):
+        return None
+    return spark.read.schema(RAW_ORDER).parquet(stream_raw).select(*RAW_ORDER.fieldNames())
+
+
+def read_all_raw(spark: SparkSession, raw: str, stream_raw: str) -> DataFrame:
+    """Batch and streamed RAW lines in one frame; ``source_system`` tells them apart."""
+    batch, streamed = read_raw(spark, raw), read_streamed(spark, stream_raw)
+    return batch if streamed is None else batch.unionByName(streamed)
+
+
 def read_staged_files(spark: SparkSession, *paths: str) -> DataFrame:
     """Staged files as RAW rows, without ``loaded_at``.
 

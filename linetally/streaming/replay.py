@@ -17,9 +17,8 @@ from linetally.functions.columns import period_key
 from linetally.plans.convert import set_aside
 from linetally.plans.staging import rebuild_periods
 from linetally.schemas import RAW_ORDER
-from linetally.sources.files import path_exists
 from linetally.sources.landing import LANDED_FILES, good, parse_lines
-from linetally.sources.raw_orders import PARTITION, read_raw
+from linetally.sources.raw_orders import PARTITION, read_all_raw
 
 STREAM_PARTITION = (*PARTITION, "batch_id")
 
@@ -36,15 +35,6 @@ def stream_lines(spark: SparkSession, folder: str, max_files: int) -> DataFrame:
     )
 
 
-def read_all_raw(spark: SparkSession, raw: str, stream_raw: str) -> DataFrame:
-    """Batch and streamed RAW lines in one frame; ``source_system`` tells them apart."""
-    batch = read_raw(spark, raw)
-    if not path_exists(spark, stream_raw):
-        return batch
-    streamed = spark.read.schema(RAW_ORDER).parquet(stream_raw).select(*RAW_ORDER.fieldNames())
-    return batch.unionByName(streamed)
-
-
 def _store(batch: DataFrame, path: str, partition: tuple[str, ...]) -> None:
     (
         batch.write.mode("overwrite")

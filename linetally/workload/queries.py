@@ -23,7 +23,7 @@ from linetally.sources import landing as L
 from linetally.sources import raw_orders as RAW
 from linetally.sources import reference as REF
 from linetally.sources.files import write_periods
-from linetally.streaming.replay import read_all_raw, replay
+from linetally.streaming.replay import replay
 from linetally.workload import adapter as A
 from linetally.workload.warehouse import Warehouse, warehouse
 

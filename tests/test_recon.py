@@ -73,6 +73,15 @@ def test_period_only_in_staging_is_one_row(spark):
     ]
 
 
+def test_streamed_lines_are_counted_out_of_staging(spark):
+    batch, live = raw(spark, m1=2), raw(spark, m1=3)
+    glue = S.stg_glue_recon(recon_raw(spark, record("2011-01", 2)))
+    staged = S.stg_orders(batch.unionByName(live))
+    assert N.pipeline_reconciliation(glue, batch, staged).first().recon_status == "snowflake_to_staging_mismatch"
+    row = N.pipeline_reconciliation(glue, batch, staged, streamed=live).first()
+    assert (row.recon_status, row.dbt_staging_rows, row.snowflake_to_staging_diff) == ("ok", 2, 0)
+
+
 def test_gate(six):
     N.require_reconciled(six, ["2011-01"])
     with pytest.raises(N.ReconciliationError, match="2011-04: s3_to_snowflake_mismatch"):

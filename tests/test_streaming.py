@@ -4,8 +4,8 @@ from conftest import landed, write_day
 
 from linetally.plans import staging as S
 from linetally.sources.files import write_periods
-from linetally.sources.raw_orders import PARTITION, read_raw
-from linetally.streaming.replay import read_all_raw, replay
+from linetally.sources.raw_orders import PARTITION, read_all_raw, read_raw
+from linetally.streaming.replay import replay
 
 LATER = datetime(2011, 4, 1)
 
