@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linetally.llm import exact_dedup, packing
-from linetally.llm.common import table
+from linetally.llm import exact_dedup, language, licenses, packing, quality, token_files
+from linetally.llm.common import held_out, learns, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,12 +23,38 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return f
 
 
+@_query
+def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from two thirds of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.trained(docs, learns("doc_id", 3, 1))
+    found = language.predicted(docs, model, with_spans=False)
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "n_words")
+
+
+@_query
+def op4_context_mixing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written in order by the range coder and read back."""
+    return token_files.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE).drop("ids")
+
+
 @_query
 def op7_minimum_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 4096 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"), WORD_BPE, with_ids=False).drop("ids")
 
 
+@_query
+def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learned from four fifths of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    model, _ = quality.trained(docs, table(spark, sf_dir, "labels"), learns("doc_id", 5, 0))
+    score = F.col("score")
+    return quality.scored(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", F.when(score >= 0.3, 1).otherwise(0).alias("predicted")
+    )
+
+
 @_query
 def op9_two_pass_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of whole texts; the row with the largest id stays."""
@@ -42,3 +69,45 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 """
+
+
+@_query
+def op10_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and lines that meet a license template."""
+    found = licenses.license_scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("n_blocks", F.size("blocks").cast("long")).drop("blocks")
+
+
+_LETTERS = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+ORACLES["op10_license_templates"] = f"""
+WITH templates AS (
+  SELECT list_distinct(string_split(t, ' ')) AS need, label
+  FROM (VALUES {", ".join(f"('{t}', '{label}')" for t, label in licenses.TEMPLATES)}) AS x(t, label)
+), phrases AS (
+  SELECT string_split(p, ' ') AS phrase, label
+  FROM (VALUES {", ".join(f"('{p}', '{label}')" for p, label in licenses.PHRASES)}) AS x(p, label)
+), texts AS (
+  SELECT doc_id, regexp_extract_all({_LETTERS}, {_WORD}) AS words FROM documents
+), lines AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(line, {_WORD})) AS words
+  FROM (SELECT doc_id, unnest(string_split({_LETTERS}, chr(10))) AS line FROM documents)
+), met AS (
+  SELECT doc_id, label, len(list_intersect(words, need)) / len(need) AS share
+  FROM lines, templates
+  WHERE len(list_intersect(words, need)) >= ceil({licenses.THRESHOLD} * len(need) - 1e-9)
+), blocks AS (
+  SELECT doc_id, list(label) AS labels, max(share) AS share, count(*) AS n_blocks FROM met GROUP BY doc_id
+), places AS (
+  SELECT doc_id, label, unnest(list_filter(range(1, len(words) + 1), lambda i: words[i : i + len(phrase) - 1] = phrase)) - 1 AS place
+  FROM texts, phrases
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(label) AS labels FROM places GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(list_sort(list_distinct(coalesce(base.labels, []))), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(blocks.labels, [])))), ',') AS labels,
+       greatest(CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, coalesce(share, 0.0)) AS score,
+       coalesce(n_blocks, 0) AS n_blocks
+FROM texts LEFT JOIN base USING (doc_id) LEFT JOIN blocks USING (doc_id)
+"""
