@@ -83,3 +83,8 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
         last = max(first + 1, int(np.searchsorted(at, at[first] + most_bytes, "right")) - 1)
         yield batch.slice(first, last - first)
         first = last
+
+
+def sized_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str, right_rows: int, most_rows: int) -> DataFrame:
+    """Join; ``right`` is broadcast only if it has at most ``most_rows`` rows, and shuffled like ``left`` beyond that."""
+    return left.join(F.broadcast(right) if right_rows <= most_rows else right, on, how)

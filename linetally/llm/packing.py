@@ -183,10 +183,8 @@ def packed(
 
         for batch in batches:
             for part in slices(batch, "__text", STEP):
-                texts = part.column(1).to_pylist()
-                words.warm(texts)
-                for doc, text in zip(part.column(0).to_pylist(), texts, strict=True):
-                    ids = np.concatenate([words.ids(text), end])
+                for doc, found in zip(part.column(0).to_pylist(), words.many(part.column(1).to_pylist()), strict=True):
+                    ids = np.concatenate([found, end])
                     cut = len(ids) - len(ids) % window
                     for start in range(0, cut, window):
                         piece(doc, start, len(ids), ids[start : start + window], 0, window)

@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.llm import exact_dedup, language, licenses, packing, quality, token_files
+from linetally.llm import decontaminate, exact_dedup, language, licenses, packing, pseudonyms, quality, token_files
 from linetally.llm.common import held_out, learns, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
+#: Stands in for a secret that a user keeps elsewhere.
+DEMO_KEY = "not a secret: only for the test tables"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,6 +26,12 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return f
 
 
+@_query
+def op1_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, substitutions tolerated."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learned from two thirds of the documents."""
@@ -32,6 +41,14 @@ def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "n_words")
 
 
+@_query
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal values replaced, and how many of each kind."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pseudonyms.pseudonymised(docs, DEMO_KEY)
+    return found.select("doc_id", "text", *[F.col("pii_found")[k].alias(f"n_{k}") for k in pseudonyms.KINDS])
+
+
 @_query
 def op4_context_mixing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written in order by the range coder and read back."""

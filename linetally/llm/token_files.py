@@ -59,10 +59,8 @@ def write_tokens(
 
         for batch in batches:
             for some in slices(batch, "text", STEP):
-                texts = some.column(1).to_pylist()
-                words.warm(texts)
-                for doc, text in zip(some.column(0).to_pylist(), texts, strict=True):
-                    got = np.concatenate([words.ids(text), end])
+                for doc, found in zip(some.column(0).to_pylist(), words.many(some.column(1).to_pylist()), strict=True):
+                    got = np.concatenate([found, end])
                     ids.append(doc)
                     parts.append(got)
                     held += len(got)

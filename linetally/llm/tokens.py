@@ -1,8 +1,9 @@
 """Whole texts to ids by a public tokenizer, each distinct word encoded once.
 
-The vocabularies split a text before they merge: no merge crosses white space. So a text can be encoded word by word
-and the ids of a word kept. The words of a text are told apart at single spaces only where that is safe; other texts
-(runs of white space, rare separators) go to the tokenizer as they are.
+The vocabularies split a text before they merge: no merge crosses white space, nor the place between a letter or digit
+and a full stop or comma. So a text can be encoded word by word, a closing mark apart, and the ids of a word kept. The
+words of a text are told apart at single spaces only where that is safe; other texts (runs of white space, rare
+separators) go to the tokenizer as they are.
 """
 
 from __future__ import annotations
@@ -15,12 +16,17 @@ import numpy as np
 KEPT_WORDS = 1_000_000
 #: Texts are cut into parts of about so many characters, at a place where words part.
 PART = 1 << 20
+#: Words per call.
+PER_CALL = 256
 
 #: White space that may read otherwise beside a space than alone.
 _ODD = ("  ", "\n ", *map(chr, (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
-#: Words per call.
-PER_CALL = 256
-_UNITS: dict[tuple, "WordTokenizer"] = {}
+_READERS: dict[tuple, "WordTokenizer"] = {}
+
+
+def plain(text: str) -> bool:
+    """Whether each word reads the same alone as in the text."""
+    return not any(x in text for x in _ODD)
 
 
 class WordTokenizer:
@@ -33,6 +39,8 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.one_case = self._encode("word") == self._encode("WORD")
+        self.marks = {m: self._encode(m) for m in ".,"}
         self.kept_words = kept_words
         self.kept: dict[str, bytes] = {}
 
@@ -41,64 +49,78 @@ class WordTokenizer:
 
     def _learn(self, words: list[str]) -> None:
         """Keep the ids of new words, many words a call; a token belongs to the word where it begins."""
-        for at in range(0, len(words), PER_CALL):
-            some = words[at : at + PER_CALL]
+        stems = {}
+        for w in words:
+            stem, mark = (w[:-1], w[-1]) if w[-1:] in self.marks and w[-2:-1].isalnum() and w[-2] < "\x80" else (w, "")
+            stems.setdefault(stem.lower() if self.one_case and stem.isascii() else stem, []).append((w, mark))
+        names = sorted(stems, key=str.isalpha)
+        for at in range(0, len(names), PER_CALL):
+            some = names[at : at + PER_CALL]
             read = self.tokenizer.encode(f" {' '.join(some)}", add_special_tokens=False)
-            ids = np.array(read.ids, self.dtype)
-            begins = np.cumsum([0, *(len(w) + 1 for w in some)])
-            at_ids = np.searchsorted([x[0] for x in read.offsets], begins)
-            data, step = ids.tobytes(), self.dtype.itemsize
-            self.kept.update((w, data[a * step : b * step]) for w, a, b in zip(some, at_ids[:-1].tolist(), at_ids[1:].tolist(), strict=True))
+            data, step = np.array(read.ids, self.dtype).tobytes(), self.dtype.itemsize
+            places = [p * step for p in self._begins(some, read)]
+            for stem, a, b in zip(some, places[:-1], places[1:], strict=True):
+                for w, mark in stems[stem]:
+                    self.kept[w] = data[a:b] + self.marks[mark] if mark else data[a:b]
 
     @staticmethod
-    def plain(text: str) -> bool:
-        """Whether each word reads the same alone as in the text."""
-        return not any(x in text for x in _ODD)
-
-    def _part(self, text: str) -> bytes:
-        if not self.plain(text):
-            return self._encode(text)
-        first, *rest = text.split(" ")
-        kept = self.kept
-        if unseen := set(rest).difference(kept):
-            if len(kept) + len(unseen) > self.kept_words:
-                kept.clear()
-                unseen = set(rest)
-            self._learn(list(unseen))
-        return b"".join([self._encode(first), *map(kept.__getitem__, rest)])
-
-    def ids(self, text: str | None) -> np.ndarray:
-        """The ids of one text; null as the empty text."""
-        text = text or ""
-        if len(text) <= 2 * PART:
-            return np.frombuffer(self._part(text), self.dtype) if text else np.zeros(0, self.dtype)
-        if not self.plain(text):
-            return np.frombuffer(self._encode(text), self.dtype)
+    def _begins(words: list[str], read) -> list[int]:
+        """Where the ids of each word begin, and where the last end."""
+        if words[0].isalpha():  # as do those after it: one run of letters each
+            of = np.array(read.word_ids)
+            cuts = np.flatnonzero(np.diff(of)) + 1
+            if len(cuts) == len(words) - 1:
+                return [0, *cuts.tolist(), len(of)]
+        begins = np.cumsum([0, *(len(w) + 1 for w in words)])
+        return np.searchsorted([x[0] for x in read.offsets], begins).tolist()
+
+    def _words(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Ids of plain texts, given as words; the first word of each has no space before it."""
+        seen = set()
+        for words in texts:
+            seen.update(words[1:])
+        unseen = seen.difference(self.kept)
+        if len(self.kept) + len(unseen) > self.kept_words:
+            self.kept.clear()
+            unseen = seen
+        self._learn(list(unseen))
+        find = self.kept.__getitem__
+        return [np.frombuffer(b"".join([self._encode(words[0]), *map(find, words[1:])]), self.dtype) for words in texts]
+
+    def many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; null as the empty text."""
+        out: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(texts)
+        easy = []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if not plain(text):
+                out[i] = np.frombuffer(self._encode(text), self.dtype)
+            elif len(text) > 2 * PART:
+                out[i] = self._long(text)
+            else:
+                easy.append(i)
+        for i, ids in zip(easy, self._words([texts[i].split(" ") for i in easy]), strict=True):
+            out[i] = ids
+        return out
+
+    def _long(self, text: str) -> np.ndarray:
         parts, at = [], 0
         while at < len(text):
             # " word" starts a part, so each part reads as it does inside the text
             cut = text.find(" ", at + PART)
             cut = len(text) if cut < 0 else cut
-            parts.append(self._part(text[at:cut]))
+            parts += self._words([text[at:cut].split(" ")])
             at = cut
-        return np.frombuffer(b"".join(parts), self.dtype)
-
-    def warm(self, texts: list[str | None]) -> None:
-        """Encode the new words of many texts together."""
-        words: set[str] = set()
-        for text in texts:
-            if text and len(text) <= 2 * PART and self.plain(text):
-                words.update(text.split(" ")[1:])
-        unseen = words.difference(self.kept)
-        if len(self.kept) + len(unseen) > self.kept_words:
-            self.kept.clear()
-            unseen = words
-        self._learn(list(unseen)[: self.kept_words])
+        return np.concatenate(parts)
+
+    def ids(self, text: str | None) -> np.ndarray:
+        return self.many([text])[0]
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
     """One tokenizer per worker and file, with the words it has seen."""
     key = (path, os.getpid())
-    if key not in _UNITS:
-        _UNITS[key] = WordTokenizer(path)
-    return _UNITS[key]
+    if key not in _READERS:
+        _READERS[key] = WordTokenizer(path)
+    return _READERS[key]
