@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.llm import decontaminate, exact_dedup, language, licenses, packing, pseudonyms, quality, repeats, token_files
+from linetally.llm import decontaminate, exact_dedup, jaccard_join, language, licenses, packing, pseudonyms, quality, repeats, token_files
 from linetally.llm.common import held_out, learns, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -55,6 +55,12 @@ def op4_context_mixing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE).drop("ids")
 
 
+@_query
+def op5_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by a similarity of 3/4 of their 5-word shingles."""
+    return jaccard_join.similar(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents without those of 50-byte strings that start in a document with a smaller id."""
