@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from linetally.llm.common import ship, slices, utf8
 from linetally.llm.words import Words, mixed, word_bytes
@@ -248,7 +249,7 @@ def scored(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text
 def with_score(docs: DataFrame, model: Model | None, score_column: str, text_column: str = "text") -> DataFrame:
     """``docs`` with the score as one more column, rows passing straight through."""
     ship(docs.sparkSession)
-    schema = docs.schema.add(score_column, "double")
+    schema = StructType([*docs.schema.fields, StructField(score_column, DoubleType())])
     where = docs.columns.index(text_column)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
