@@ -36,6 +36,8 @@ from linetally.llm.words import Words, mixed, word_bytes
 
 MOST_POSITIVE = 6_000
 MOST_UNLABELLED = 14_000
+#: Training steps of 512 rows at least, also on few rows.
+LEAST_STEPS = 600
 STEP = 4 << 20
 #: Byte classes: lower, upper, digit, space, line end, full stop and comma, other marks, beyond ASCII.
 CLASSES = 8
@@ -106,7 +108,7 @@ def features(column: pa.Array) -> np.ndarray:
         _shares(_CLASS[raw] == 1, at) / np.maximum(_shares(letters, at), 1e-9),
         _shares(mark[raw], at),
         _shares(_CLASS[raw] == 2, at),
-        1 - _distinct(line_hash, line_doc, n) / n_lines,
+        np.where(count > 0, 1 - _distinct(line_hash, line_doc, n) / n_lines, 0),
         _shares(marked, words.first),
         _shares(raw == 124, at),
         _distinct(pairs, doc, n) / safe,
@@ -150,7 +152,7 @@ def _fit(pos: np.ndarray, unl: np.ndarray, prior: float | None, epochs: int, see
     model.layers = [rng.normal(0, 1 / np.sqrt(d), (d, hidden)).astype(np.float32), np.zeros(hidden, np.float32), rng.normal(0, 0.3, hidden).astype(np.float32), np.zeros(1, np.float32)]
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in model.layers]
     steps, size, t = max(1, len(unl) // 512), min(512, len(unl)), 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS // steps))):
         order_u, order_p = rng.permutation(len(unl)), rng.integers(0, len(pos), (steps, min(256, len(pos))))
         for s in range(steps):
             xp, xu = pos[order_p[s]], unl[order_u[s * size : (s + 1) * size]]
