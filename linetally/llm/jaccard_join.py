@@ -44,12 +44,12 @@ from linetally.llm.components import components
 from linetally.llm.words import Words, mixed, word_bytes
 
 SHINGLE = 5
-STEP = 4 << 20
+STEP = 2 << 20
 #: Cells of the sketch that counts shingles: 16 MB.
 SKETCH = 1 << 22
 PIVOT_HASHES = 3
 #: Entries of the index that a bucket should have.
-BUCKET_ROWS = 2_000_000
+BUCKET_ROWS = 700_000
 #: Rows (a few numbers each) that are broadcast at most.
 MOST_ROWS = 500_000
 NO_ID = -(1 << 63)
@@ -189,8 +189,8 @@ def pairs_of(keys: np.ndarray, owner: np.ndarray, component: np.ndarray, size: n
     for g in np.unique(count):
         rows = begin[count == g]
         if g <= 64:
-            for r in range(0, len(rows), max(1, 4_000_000 // int(g * g))):
-                grid = owner[rows[r : r + max(1, 4_000_000 // int(g * g)), None] + np.arange(g)]
+            for r in range(0, len(rows), max(1, 500_000 // int(g * g))):
+                grid = owner[rows[r : r + max(1, 500_000 // int(g * g)), None] + np.arange(g)]
                 i, j = np.triu_indices(int(g), 1)
                 add(grid[:, i].ravel(), grid[:, j].ravel())
         else:
@@ -200,7 +200,7 @@ def pairs_of(keys: np.ndarray, owner: np.ndarray, component: np.ndarray, size: n
                     continue
                 for k in range(len(group)):
                     add(np.full(len(group) - k - 1, group[k]), group[k + 1 :])
-        if sum(map(len, found)) > 20_000_000:
+        if sum(map(len, found)) > 5_000_000:
             found = [np.sort(np.concatenate(found))]
     every = np.concatenate(found) if found else np.zeros(0, np.int64)
     pair, times = np.unique(every, return_counts=True)

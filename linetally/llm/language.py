@@ -33,7 +33,7 @@ from linetally.llm.words import Words, mixed
 
 MOST_ROWS = 400
 MOST_WORDS = 2_000
-STEP = 4 << 20
+STEP = 2 << 20
 BLOCK = 128
 BUCKETS = 1 << 16
 UNKNOWN = "und"

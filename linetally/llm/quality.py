@@ -38,7 +38,7 @@ MOST_POSITIVE = 6_000
 MOST_UNLABELLED = 14_000
 #: Training steps of 512 rows at least, also on few rows.
 LEAST_STEPS = 600
-STEP = 4 << 20
+STEP = 2 << 20
 #: Byte classes: lower, upper, digit, space, line end, full stop and comma, other marks, beyond ASCII.
 CLASSES = 8
 _CLASS = np.full(256, 6, np.uint16)
