@@ -23,11 +23,15 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="linetally")
     parser.add_argument("--env", default="dev")
     parser.add_argument("--base", required=True, help="folder that holds the layers")
-    parser.add_argument("--salt", default="", help="masking salt of this environment")
+    parser.add_argument("--salt", default="", help="masking salt of this environment; reader views need one")
+    parser.add_argument("--output", help="folder for the job's result, in full, as CSV with a header")
+    parser.add_argument("--preview", type=int, default=0, metavar="N", help="also print the first N rows of the result")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     land = jobs.add_parser("land", help="source CSV to daily newline-delimited JSON")
     land.add_argument("--input", required=True)
+    land.add_argument("--plain-lines", action="store_true", help="no quoted line breaks: the file can be split")
+    land.add_argument("--most-undated", type=float, default=0.5, help="share of rows without a usable date that stops the job")
     land.add_argument("--stream-days", type=int, default=0, help="hold back the last N days for replay")
 
     month = jobs.add_parser("convert", help="convert one month")
@@ -55,6 +59,14 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _give(result, args: argparse.Namespace) -> None:
+    """The whole result to ``--output``, and a preview if one is asked for."""
+    if args.output:
+        result.write.mode("overwrite").option("header", "true").csv(args.output)
+    if args.preview:
+        result.show(args.preview, False)
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = build_session("linetally")
@@ -62,12 +74,19 @@ def main(argv: Sequence[str] | None = None) -> int:
     stream = env.path("landing", "stream")
 
     if args.job == "land":
-        dated, undated = CSV.split_undated(CSV.prepare(CSV.scan_csv(spark, args.input)))
-        CSV.profile(dated).show(truncate=False)
-        left_out = undated.count()
+        rows = CSV.scan_csv_rows(spark, args.input, not args.plain_lines)
+        dated, undated = CSV.split_undated(CSV.prepare(CSV.well_formed(rows)))
+        malformed = CSV.malformed_rows(rows)
+        undated.drop("event_date").write.mode("overwrite").json(f"{env.quarantine_csv}/undated")
+        malformed.write.mode("overwrite").json(f"{env.quarantine_csv}/malformed")
+        profile = CSV.profile(dated)
+        left_out, broken, kept = undated.count(), malformed.count(), profile.first()["row_count"]
         if left_out:
-            print(f"{left_out} lines have no usable date and cannot be filed under a day; see {env.quarantine}")
-            undated.drop("event_date").write.mode("overwrite").json(f"{env.quarantine}/source_csv")
+            print(f"{left_out} lines have no usable date and cannot be filed under a day; see {env.quarantine_csv}")
+        if broken:
+            print(f"{broken} rows do not have the header's fields; see {env.quarantine_csv}")
+        CSV.require_dated(kept, left_out, args.most_undated)
+        _give(profile, args)
         batch, held = CSV.hold_back(dated, args.stream_days) if args.stream_days else (dated, None)
         CSV.write_daily(batch, env.landing)
         if held is not None:
@@ -85,7 +104,9 @@ def main(argv: Sequence[str] | None = None) -> int:
             fail_on_mismatch=not args.warn_on_mismatch,
             quarantine=env.quarantine,
         )
-        recon.select("period", "source_lines", "rows_written_back", "status").orderBy("period").show(500, False)
+        _give(recon.select("period", "source_lines", "rows_written_back", "status").orderBy("period"), args)
+        for row in recon.groupBy("status").count().orderBy("status").collect():  # one row per status
+            print(f"{row['count']} periods {row['status']}")
     elif args.job == "load":
         if args.periods:
             RAW.load_periods(spark, env.staged, env.raw_orders, args.periods)
@@ -99,6 +120,8 @@ def main(argv: Sequence[str] | None = None) -> int:
         REF.require_complete(pages)
         landed, now = env.path("landing", "worldbank"), F.current_timestamp()
         audit = REF.land_reference(REF.flatten_countries(pages, now), REF.flatten_indicators(pages, now), landed)
+        # one record per pull and dataset; earlier pulls stay
+        audit.withColumn("pulled_at", F.current_timestamp()).write.mode("append").json(env.path("staged", "_audit/reference"))
         REF.require_balanced(audit)
         REF.load_countries(spark, landed, env.raw_countries)
         REF.load_indicators(spark, landed, env.raw_indicators)
@@ -107,7 +130,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.job == "run":
         report = P.run(spark, env, args.periods, raise_on_failure=False)
         if report.table() is not None:
-            report.table().show(500, False)
+            _give(report.table(), args)
         print(report.state, report.failed_step or "")
         return 0 if report.state == "SUCCESS" else 1
     elif args.job == "replay":
@@ -118,15 +141,18 @@ def main(argv: Sequence[str] | None = None) -> int:
             env.raw_orders_stream,
             env.stg_orders,
             env.path("ops", "replay_checkpoint"),
-            env.path("staged", "_quarantine_stream"),
+            env.quarantine_stream,
+            env.stream_audit,
         )
     elif args.job == "report":
         recon = P.reconciliation(spark, env)
-        status_report(recon).show(500, False)
+        _give(status_report(recon), args)
         print(overall_state(recon))
     elif args.job == "sql":
         catalog.register(spark, env)
-        spark.sql(args.text).show(100, False)
+        if not (args.output or args.preview):
+            raise SystemExit("sql needs --output DIR for the whole result, or --preview N")
+        _give(spark.sql(args.text), args)
     return 0
 
 

@@ -42,6 +42,18 @@ class Env:
     def quarantine(self) -> str:
         return self.path("staged", "_quarantine")
 
+    @property
+    def quarantine_csv(self) -> str:
+        return self.path("staged", "_quarantine_csv")
+
+    @property
+    def quarantine_stream(self) -> str:
+        return self.path("staged", "_quarantine_stream")
+
+    @property
+    def stream_audit(self) -> str:
+        return self.path("staged", "_audit/stream")
+
     # tables
     @property
     def raw_orders(self) -> str:
@@ -112,7 +124,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
@@ -125,6 +138,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/linetally/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def forget(df: DataFrame) -> None:
+    """Remove the scratch files of a table made by :func:`written`, once nothing reads it any more."""
+    spark = df.sparkSession
+    root = scratch_root(spark)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if "/linetally/" in folder and spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath() in folder:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Cut the lineage: write to shared scratch and read back.
 

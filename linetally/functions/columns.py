@@ -24,6 +24,22 @@ def wall_clock(text: Column | str) -> Column:
     return col(text).try_cast("timestamp_ntz")
 
 
+# Years an order can be of; a date beyond them is a misread field.
+FIRST_YEAR, LAST_YEAR = 1900, 2100
+
+
+def order_time(text: Column | str) -> Column:
+    """Text of the source CSV to a zone-free timestamp: ISO, or month/day/year with or without a time.
+
+    Month first, as the source writes it. What fits neither, or lies outside
+    the years ``FIRST_YEAR`` to ``LAST_YEAR``, becomes NULL.
+    """
+    iso = F.regexp_replace(F.trim(col(text)), r"^(\d{1,2})/(\d{1,2})/(\d{4})(?: +(\d{1,2}:.*))?$", "$3-$1-$2 $4")
+    iso = F.regexp_replace(F.trim(iso), r"^(\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2})$", "$1:00")
+    found = wall_clock(iso)
+    return F.when(F.year(found).between(FIRST_YEAR, LAST_YEAR), found)
+
+
 def instant(text: Column | str) -> Column:
     """Text to a point in time; what does not parse becomes NULL."""
     return col(text).try_cast("timestamp")
@@ -68,6 +84,33 @@ def wide(units: Column | str) -> Column:
     return col(units).cast("decimal(20,0)")
 
 
+# Totals are kept as two sums, of multiples of this and of the rest, so that no
+# group outgrows a BIGINT and nothing is added as a decimal.
+SPLIT = 1 << 20
+
+
+def unit_sums(units: Column, name: str) -> list[Column]:
+    """Two sums that :func:`folded_units` adds up, for rows that are folded again."""
+    units = units.cast("bigint")
+    low = units.bitwiseAND(F.lit(SPLIT - 1))
+    return [F.sum(F.shiftright(units, 20)).alias(f"{name}_high"), F.sum(low).alias(f"{name}_low")]
+
+
+def folded_units(name: str) -> Column:
+    """The total of folded rows, from their two sums."""
+    return _joined(F.sum(F.col(f"{name}_high")), F.sum(F.col(f"{name}_low")))
+
+
+def total_units(units: Column) -> Column:
+    """The total of whole units in any number of rows."""
+    high, low = unit_sums(units, "units")
+    return _joined(high, low)
+
+
+def _joined(high: Column, low: Column) -> Column:
+    return high.cast("decimal(29,0)") * F.lit(SPLIT).cast("decimal(8,0)") + low.cast("decimal(29,0)")
+
+
 def money_out(total: Column) -> Column:
     return total.cast("double") / F.lit(MONEY_UNITS)
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linetally.functions.columns import money, money_out, period_key
+from linetally.functions.columns import money, money_out, period_key, total_units
 
 log = logging.getLogger(__name__)
 
@@ -187,7 +187,7 @@ def marts_revenue_differs(
     stg: DataFrame, lines: DataFrame, tolerance: float, strict: bool = False
 ) -> DataFrame:
     """Periods where mart revenue is not that of the deduplicated staging rows."""
-    total = money_out(F.sum(money("line_amount")))
+    total = money_out(total_units(money("line_amount")))
     staged = stg.where("duplicate_occurrence = 1").groupBy("period").agg(total.alias("staging_revenue"))
     mart = lines.groupBy("period").agg(total.alias("marts_revenue"))
     both = staged.join(mart, "period", "full" if strict else "inner")

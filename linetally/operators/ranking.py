@@ -13,16 +13,23 @@ from linetally.env import written
 ONE_TASK_ROWS = 2_000_000
 # Keys are counted in this many hash buckets to find the big ones.
 HASH_BUCKETS = 65_536
-# At very large totals a bucket counts as big beyond this many times the mean.
-HOT_FACTOR = 8
+# There are enough buckets for the mean to stay this many times under the limit.
+ROOM = 8
 # Shuffles sized from row counts aim for this many rows per task.
 ROWS_PER_TASK = 4_000_000
-MOST_TASKS = 10_000
 
 
 def tasks_for(rows: int) -> int:
-    """Shuffle partitions for a number of rows, kept to what a shuffle can connect."""
-    return max(1, min(MOST_TASKS, -(-rows // ROWS_PER_TASK)))
+    """Shuffle partitions for a number of rows."""
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
+def hash_buckets_for(rows: int, limit: int) -> int:
+    """Hash buckets that keep the mean well under the limit, at any number of rows."""
+    count = HASH_BUCKETS
+    while count * limit < ROOM * rows:
+        count *= 2
+    return count
 
 
 def ranged_row_number(
@@ -42,7 +49,8 @@ def ranged_row_number(
     ranged = written(ranged.withColumn(part, F.spark_partition_id()), "ranged")
 
     piece = Window.partitionBy(part, *keys).orderBy(*order, F.col(tie).asc())
-    numbered = ranged.repartition(partitions, part).withColumn(local, F.row_number().over(piece))
+    # by range of the part's number: each part is a task of its own, where a hash would leave tasks empty
+    numbered = ranged.repartitionByRange(partitions, part).withColumn(local, F.row_number().over(piece))
 
     # a key has at most one piece per partition, so this window stays small
     earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
@@ -64,8 +72,8 @@ def hot_hash_buckets(df: DataFrame, bucket: Column, more_than: int) -> dict[int,
     """Hash buckets of the key with more rows than ``more_than``, and their rows.
 
     A bucket's rows are at least those of any key in it, so no bigger key is
-    missed. The count combines before the shuffle and its result has at most
-    ``HASH_BUCKETS`` rows, whatever the data size.
+    missed. The count combines before the shuffle; only buckets over the limit
+    reach the driver, and there cannot be more than rows / limit of them.
     """
     counted = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
     return {r["b"]: r["n"] for r in counted.where(F.col("n") > more_than).collect()}
@@ -90,10 +98,9 @@ def number_within(
     shuffled by them, which serves the window and leaves the output laid out
     by them, where a shuffle by the key would call for a second one.
     """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS))
     # the row count comes from file footers; a small frame has no big key
-    total = df.count()
-    limit = max(one_task_rows, HOT_FACTOR * total // HASH_BUCKETS)
+    total, limit = df.count(), max(1, one_task_rows)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(hash_buckets_for(total, limit)))
     hot = hot_hash_buckets(df, bucket, limit) if total > limit else {}
     is_hot = bucket.isin(list(hot))
 
@@ -105,8 +112,10 @@ def number_within(
     if not hot:
         return numbered
     # a few pieces per hot bucket at least, so that a small limit splits too
-    pieces = max(tasks_for(sum(hot.values())), min(MOST_TASKS, 2 * len(hot)))
+    pieces = max(tasks_for(sum(hot.values())), 2 * len(hot))
     hot_part = ranged_row_number(df.where(is_hot), keys, order, out, pieces)
+    if along:  # laid out like the others, in as many tasks as their sizes ask for
+        hot_part = hot_part.hint("rebalance", *along)
     return numbered.unionByName(hot_part.withColumn(out, F.col(out).cast("int")))
 
 
@@ -125,18 +134,13 @@ def ntile_over_all(
     tiles: int,
     order: Sequence[Column],
     out: str,
-    one_task_rows: int = ONE_TASK_ROWS,
     partitions: int | None = None,
 ) -> DataFrame:
-    """``ntile(tiles) over (order by order)`` across the whole frame.
+    """``ntile(tiles) over (order by order)`` across the whole frame, ranked by ranges at any size.
 
-    ``df`` should read from a table: it is counted first. Up to
-    ``one_task_rows`` rows use the built-in window, which plans a single
-    partition; beyond that the rank comes from :func:`ranged_row_number`.
+    ``df`` should read from a table: it is counted first.
     """
     total = df.count()
-    if total <= one_task_rows:
-        return df.withColumn(out, F.ntile(tiles).over(Window.orderBy(*order)))
     at_least = df.sparkSession.sparkContext.defaultParallelism
     ranked = ranged_row_number(df, [], order, "__rank", partitions or max(at_least, tasks_for(total)))
     return ranked.withColumn(out, tile_of(F.col("__rank"), total, tiles)).drop("__rank")

@@ -10,9 +10,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.env import written
+from linetally.env import forget, written
 from linetally.functions.columns import QUALITY_FIELDS, ORDER_COLUMNS, period_key, raw_order_quality
-from linetally.sources.files import write_periods
+from linetally.sources.files import drop_partition, write_periods
 from linetally.sources.landing import good, parse_lines, read_lines
 
 log = logging.getLogger(__name__)
@@ -76,6 +76,16 @@ def set_aside(parsed: DataFrame) -> DataFrame:
     )
 
 
+def replace_quarantine(aside: DataFrame, quarantine: str, periods: Iterable[str]) -> None:
+    """Set lines aside by period; what an earlier run set aside for these periods goes, also where none is left."""
+    spark = aside.sparkSession
+    held = {r["period"] for r in aside.select("period").distinct().collect()}  # one row per period
+    if held:
+        write_periods(aside, quarantine, ("period",), fmt="json")
+    for period in set(periods) - held:
+        drop_partition(spark, f"{quarantine}/period={period}")
+
+
 def staged_counts(spark: SparkSession, staged: str, periods: list[str]) -> DataFrame:
     """Rows, files and bytes per period, read back from what was written."""
     files = (
@@ -131,9 +141,7 @@ def convert_months(
     rows = good(parsed).where(F.col("path_period").isin(clean) & F.col("invoice_date").isNotNull())
     write_periods(rows.select(*ORDER_COLUMNS, "year", "month"), staged, ("year", "month"))
     if quarantine:
-        write_periods(
-            set_aside(parsed.where(F.col("path_period").isin(clean))), quarantine, ("period",), fmt="json"
-        )
+        replace_quarantine(set_aside(parsed.where(F.col("path_period").isin(clean))), quarantine, clean)
 
     back = staged_counts(spark, staged, clean)
     expected = F.col("source_lines") - F.col("corrupt_rows") - F.col("undated_rows")
@@ -172,6 +180,8 @@ def convert_months(
         "recon",
     )
     write_audit(recon.where(F.col("status").isin("converted", "unbalanced")), audit)
+    forget(parsed)
+    forget(metrics)
 
     failed = recon.where("status <> 'converted'").orderBy("period").collect()  # one row per period
     fatal = [r for r in failed if fail_on_mismatch or r["status"] != "unbalanced"]

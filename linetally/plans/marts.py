@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from linetally.env import written
 from linetally.fixed_values import CALENDAR_END, CALENDAR_START, DEFAULT_INDICATOR_YEAR, SEGMENTS
-from linetally.functions.columns import average_price, money, money_out, ratio, wide
+from linetally.functions.columns import average_price, folded_units, money, money_out, ratio, total_units, unit_sums, wide
 from linetally.operators.aggregates import most_frequent
-from linetally.operators.ranking import ONE_TASK_ROWS, ntile_over_all
+from linetally.operators.ranking import ntile_over_all
 
 LINE_COLUMNS = (
     "invoice_no",
@@ -42,18 +42,25 @@ def fct_orders(lines: DataFrame) -> DataFrame:
     """One row per invoice.
 
     Header values are the same on all lines of an invoice; the smallest one is
-    taken so that a rerun agrees. The single distinct count makes Spark
-    aggregate by (invoice, stock code) first, which splits a huge invoice.
+    taken so that a rerun agrees. Lines are folded by invoice, stock code and
+    header first: that is a hash aggregate over numbers, it splits a huge
+    invoice, and only the folded rows are sorted for the smallest texts.
     """
-    return lines.groupBy("invoice_no").agg(
+    folded = lines.groupBy("invoice_no", "stock_code", "customer_id", "country", "period").agg(
+        F.min("invoice_date").alias("invoice_date"),
+        F.sum("quantity").alias("quantity"),
+        *unit_sums(money("line_amount"), "revenue"),
+        F.max(F.col("is_cancellation").cast("int")).alias("cancelled"),
+    )
+    return folded.groupBy("invoice_no").agg(
         F.min("customer_id").alias("customer_id"),
         F.min("country").alias("country"),
         F.min("period").alias("period"),
         F.min("invoice_date").alias("invoice_date"),
         F.count_distinct("stock_code").alias("line_item_count"),
         F.sum("quantity").alias("total_quantity"),
-        money_out(F.sum(money("line_amount"))).alias("total_revenue"),
-        F.bool_or("is_cancellation").alias("is_cancelled_order"),
+        money_out(folded_units("revenue")).alias("total_revenue"),
+        (F.max("cancelled") > 0).alias("is_cancelled_order"),
     )
 
 
@@ -103,7 +110,7 @@ def customer_activity(lines: DataFrame) -> DataFrame:
         F.max("invoice_date").alias("last_date"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(_live(F.col("quantity"))).alias("units"),
-        F.sum(_live(money("line_amount"))).alias("revenue"),
+        *unit_sums(_live(money("line_amount")), "revenue"),
     )
     has_number = F.col("invoice_no").isNotNull()
     return per_invoice.groupBy("customer_id").agg(
@@ -113,7 +120,7 @@ def customer_activity(lines: DataFrame) -> DataFrame:
         F.count_if(has_number & F.col("is_cancellation")).alias("total_cancelled_orders"),
         F.sum("n_lines").alias("total_line_items"),
         F.sum("units").alias("total_units_purchased"),
-        money_out(F.sum(wide("revenue"))).alias("total_revenue"),
+        money_out(folded_units("revenue")).alias("total_revenue"),
     )
 
 
@@ -122,7 +129,7 @@ def customer_country(lines: DataFrame) -> DataFrame:
     return most_frequent(lines.where(F.col("customer_id").isNotNull()), "customer_id", "country")
 
 
-def dim_customer(lines: DataFrame, one_task_rows: int = ONE_TASK_ROWS, partitions: int | None = None) -> DataFrame:
+def dim_customer(lines: DataFrame, partitions: int | None = None) -> DataFrame:
     """One row per known customer with recency, frequency, monetary value and segment.
 
     Recency is counted from the last invoice in the data, not from today. The
@@ -138,7 +145,6 @@ def dim_customer(lines: DataFrame, one_task_rows: int = ONE_TASK_ROWS, partition
         3,
         [F.col("total_revenue").asc_nulls_last(), F.col("customer_id").asc()],
         "tile",
-        one_task_rows,
         partitions,
     )
     orders, cancelled, revenue = F.col("total_orders"), F.col("total_cancelled_orders"), F.col("total_revenue")
@@ -175,7 +181,7 @@ def dim_product(lines: DataFrame) -> DataFrame:
         F.max("invoice_date").alias("last_sold_date"),
         F.count_distinct("invoice_no").alias("total_orders_containing"),
         F.sum(_live(F.col("quantity"))).alias("total_units_sold"),
-        money_out(F.sum(_live(money("line_amount")))).alias("total_revenue"),
+        money_out(total_units(_live(money("line_amount")))).alias("total_revenue"),
         F.sum(F.when(F.col("is_cancellation"), F.abs("quantity")).otherwise(F.lit(0))).alias("total_cancelled_units"),
         average_price(_live(F.col("unit_price"), None)).alias("avg_unit_price"),
     )
@@ -201,12 +207,12 @@ def country_activity(lines: DataFrame) -> DataFrame:
     shrinks what they have to expand and spreads a dominant country.
     """
     folded = lines.groupBy("country", "invoice_no", "customer_id").agg(
-        F.sum(_live(money("line_amount"))).alias("revenue")
+        *unit_sums(_live(money("line_amount")), "revenue")
     )
     return folded.groupBy("country").agg(
         F.count_distinct("invoice_no").alias("total_orders"),
         F.count_distinct("customer_id").alias("total_customers"),
-        money_out(F.sum(wide("revenue"))).alias("total_revenue"),
+        money_out(folded_units("revenue")).alias("total_revenue"),
     )
 
 

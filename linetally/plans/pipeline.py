@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ from linetally.fixed_values import (
     BATCH,
     DUPLICATE_RATE_EXCEPTIONS,
     DUPLICATE_RATE_LIMIT,
+    FRESH_ERROR_DAYS,
+    FRESH_WARN_DAYS,
     LINE_TYPES,
     MAPPING_TYPES,
     REVENUE_TOLERANCE,
@@ -22,7 +24,7 @@ from linetally.fixed_values import (
 )
 from linetally.operators import checks as C
 from linetally.plans import marts as M
-from linetally.plans.convert import convert_months
+from linetally.plans.convert import ConversionError, convert_months
 from linetally.plans.recon import pipeline_reconciliation, require_reconciled, status_report
 from linetally.plans.staging import (
     load_recon_raw,
@@ -54,9 +56,12 @@ class RunReport:
     failed_step: str | None = None
     steps: list[str] = field(default_factory=list)
     recon: DataFrame | None = None
+    # what is known of the periods when no reconciliation could be made
+    known: DataFrame | None = None
 
     def table(self) -> DataFrame | None:
-        return None if self.recon is None else status_report(self.recon)
+        """Reconciliation per period; after an early failure what is known of each asked period."""
+        return self.known if self.recon is None else status_report(self.recon)
 
 
 def reconciliation(spark: SparkSession, env: Env) -> DataFrame:
@@ -65,6 +70,23 @@ def reconciliation(spark: SparkSession, env: Env) -> DataFrame:
     return pipeline_reconciliation(glue, raw, read_stg(spark, env.stg_orders), streamed)
 
 
+def known_so_far(spark: SparkSession, wanted: list[str], error: Exception) -> DataFrame:
+    """The report's columns for the asked periods after a failure before the reconciliation."""
+    asked = spark.createDataFrame([(p,) for p in wanted], "period string")
+    count = F.lit(None).cast("bigint")
+    if isinstance(error, ConversionError):
+        rows = asked.join(error.recon.select("period", "source_lines", "rows_written_back", "status"), "period", "left")
+    else:
+        rows = asked.select("period", count.alias("source_lines"), count.alias("rows_written_back"), F.lit("not_reconciled").alias("status"))
+    return rows.select(
+        "period",
+        F.col("source_lines").alias("ndjson_source_lines"),
+        F.col("rows_written_back").alias("glue_wrote_to_s3"),
+        *[count.alias(c) for c in ("snowflake_loaded", "dbt_staging_rows", "s3_to_snowflake_diff", "snowflake_to_staging_diff")],
+        F.col("status").alias("recon_status"),
+    ).orderBy("period")
+
+
 def build_marts(spark: SparkSession, env: Env) -> None:
     """Rebuild every mart. Order lines are stored first and feed all the others."""
 
@@ -157,18 +179,45 @@ UNIQUE_KEYS = {
 }
 
 
+def require_tables(tables: Mapping[str, DataFrame]) -> None:
+    """Raise when a table with declared checks is not there: its checks would pass unseen."""
+    absent = sorted({*row_checks(), *UNIQUE_KEYS} - tables.keys())
+    if absent:
+        raise LookupError(f"declared checks without a table: {absent}")
+
+
+def declared_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per declared check with the number of violations; each table is scanned once for its row checks."""
+    require_tables(tables)
+    parts = [C.count_violations(tables[name], name, checks) for name, checks in row_checks().items()]
+    for name, key in UNIQUE_KEYS.items():
+        repeated = C.not_unique(tables[name], key).agg(F.count(F.lit(1)).alias("violations"))
+        labels = {"table_name": name, "check_name": f"unique({', '.join(key)})", "severity": "error"}
+        parts.append(repeated.select(*[F.lit(v).alias(k) for k, v in labels.items()], "violations"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def check_marts(spark: SparkSession, env: Env) -> None:
-    """All checks on staging and marts; raises at the first that fails."""
-    tables = read_marts(spark, env)
-    lines, stg = tables["fct_order_lines"], read_stg(spark, env.stg_orders)
-    mapping = read_country_mapping(spark, env.country_mapping)
-    tables |= {"stg_orders": stg, "raw_orders": read_raw(spark, env.raw_orders), "country_mapping": mapping}
+    """All checks on RAW, staging, reference data, records and marts; raises at the first that fails."""
+    from linetally.plans.catalog import tables as all_tables
+
+    tables = all_tables(spark, env)
+    require_tables(tables)
+    lines, stg, mapping = tables["fct_order_lines"], tables["stg_orders"], tables["country_mapping"]
     for name, row_check_list in row_checks().items():
-        if name in tables:
-            C.enforce_counts(C.count_violations(tables[name], name, row_check_list))
+        C.enforce_counts(C.count_violations(tables[name], name, row_check_list))
     for name, key in UNIQUE_KEYS.items():
-        if name in tables:
-            C.enforce(C.not_unique(tables[name], key), f"unique {name}{key}")
+        C.enforce(C.not_unique(tables[name], key), f"unique {name}{key}")
+    # audit records count batch lines; streamed ones have records of their own
+    batch = stg.where(F.col("source_system") == BATCH)
+    C.enforce(C.staging_differs_from_recon(batch, tables["stg_glue_recon"]), "staging against the audit record")
+    C.enforce(C.unresolved_mappings(mapping, tables["stg_worldbank_countries"]), "unresolved mappings", severity="warn")
+    C.enforce(C.several_files_per_period(tables["raw_orders"]), "periods from several files", severity="warn")
+    fresh = C.freshness(tables["raw_orders"], datetime.now(timezone.utc), FRESH_WARN_DAYS, FRESH_ERROR_DAYS)
+    C.enforce(fresh.where("state <> 'pass'"), "freshness of RAW", severity="warn")
     C.enforce(C.orphans(lines, "customer_id", tables["dim_customer"], "customer_id"), "lines without customer")
     C.enforce(C.orphans(lines, "country", tables["dim_country"], "retail_country"), "lines without country")
     C.enforce(C.unmapped_countries(stg, mapping), "unmapped countries")
@@ -219,8 +268,10 @@ def run(
     for name, step in steps.items():
         try:
             step()
-        except Exception:
+        except Exception as error:
             report.failed_step = name
+            if report.recon is None:
+                report.known = known_so_far(spark, wanted, error)
             if raise_on_failure:
                 raise
             return report

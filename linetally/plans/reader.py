@@ -22,7 +22,12 @@ def mask_customers(df: DataFrame, salt: str, privileged: bool = False) -> DataFr
 
 
 def reader_views(marts: Mapping[str, DataFrame], env: Env, register: bool = True) -> dict[str, DataFrame]:
-    """The allowed marts with masked ids, registered as ``reader_<mart>`` views."""
+    """The allowed marts with masked ids, registered as ``reader_<mart>`` views.
+
+    Without a salt ids could be looked up by hashing all numbers, so it is asked for.
+    """
+    if not env.salt:
+        raise ValueError("reader views need a masking salt")
     views = {name: mask_customers(marts[name], env.salt) for name in READER_TABLES if name in marts}
     if register:
         for name, view in views.items():

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql.types import StructType
 from linetally.fixed_values import AGGREGATE_REGION, GDP, POPULATION
 from linetally.functions.columns import QUALITY_FIELDS, is_cancellation, line_type, period_key, ratio
 from linetally.operators.aggregates import latest_by, pivot_max
-from linetally.operators.ranking import MOST_TASKS, ONE_TASK_ROWS, number_within, tasks_for
+from linetally.operators.ranking import ONE_TASK_ROWS, number_within, tasks_for
 from linetally.schemas import STG_ORDER
 from linetally.sources.files import drop_partition, path_exists, write_periods
 from linetally.sources.raw_orders import in_periods
@@ -66,12 +65,10 @@ def period_buckets(raw: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> tu
     period = period_key("partition_year", "partition_month").alias("p")
     sizes = {r["p"]: r["n"] for r in counts.select(period, "n").collect()}  # one row per period
     total = sum(sizes.values())
-    # several buckets per task even out their sizes
-    per_bucket = max(rows_per_bucket, total // (4 * MOST_TASKS))
     by_count: dict[int, list[str]] = {}
     for name, rows in sizes.items():
         count = 1
-        while count * per_bucket < rows:
+        while count * rows_per_bucket < rows:
             count *= 2
         by_count.setdefault(count, []).append(name)
     buckets = F.lit(1)
@@ -128,15 +125,21 @@ def build_stg_orders(raw: DataFrame, table: str) -> None:
     _write_stg(stg_orders(raw), table)
 
 
-def high_water_mark(stg: DataFrame) -> datetime | None:
-    return stg.agg(F.max("loaded_at")).first()[0]
+def touched_periods(raw: DataFrame, stg: DataFrame | None) -> list[str]:
+    """Periods whose rows or newest load differ between RAW and staging (all of RAW's without staging).
 
-
-def touched_periods(raw: DataFrame, mark: datetime | None) -> list[str]:
-    """Periods with rows loaded after the mark (all periods when there is none)."""
-    newer = raw if mark is None else raw.where(F.col("loaded_at") > F.lit(mark))
+    The mark is kept per period: one for the whole table would hide a period
+    loaded before another one was reprocessed. A period RAW no longer holds,
+    or holds fewer rows of, differs too.
+    """
+    state = [F.count(F.lit(1)).alias("n"), F.max("loaded_at").alias("newest")]
     period = period_key("partition_year", "partition_month").alias("period")
-    return sorted(r["period"] for r in newer.select(period).distinct().collect())
+    held = raw.groupBy(period).agg(*state).where(F.col("period").isNotNull())
+    if stg is not None:
+        staged = stg.groupBy("period").agg(*[s.alias(f"stg_{n}") for s, n in zip(state, ("n", "newest"), strict=True)])
+        same = F.col("n").eqNullSafe(F.col("stg_n")) & F.col("newest").eqNullSafe(F.col("stg_newest"))
+        held = held.join(staged, "period", "full").where(~same)
+    return sorted(r["period"] for r in held.select("period").collect())  # one row per period
 
 
 def rebuild_periods(spark: SparkSession, raw: DataFrame, table: str, periods: Iterable[str]) -> None:
@@ -161,15 +164,14 @@ def rebuild_periods(spark: SparkSession, raw: DataFrame, table: str, periods: It
 def refresh_stg_orders(
     spark: SparkSession, raw: DataFrame, table: str, reprocess: Iterable[str] | None = None
 ) -> list[str]:
-    """Incremental run: rebuild the named periods, or those with newer loads.
+    """Incremental run: rebuild the named periods, or those that differ from RAW.
 
     Returns the periods rebuilt.
     """
     if reprocess is not None:
         periods = list(reprocess)
     else:
-        mark = high_water_mark(read_stg(spark, table)) if path_exists(spark, table) else None
-        periods = touched_periods(raw, mark)
+        periods = touched_periods(raw, read_stg(spark, table) if path_exists(spark, table) else None)
     rebuild_periods(spark, raw, table, periods)
     return periods
 

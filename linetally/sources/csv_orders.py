@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from linetally.env import written
 from linetally.fixed_values import BATCH, CSV_ENCODING, CSV_HEADERS, STREAM
-from linetally.functions.columns import is_cancellation, ratio, wall_clock, whole_number_text
+from linetally.functions.columns import is_cancellation, order_time, ratio, whole_number_text
 from linetally.operators.aggregates import exact_copies
 from linetally.schemas import LANDED_ORDER
 from linetally.sources.files import write_periods
@@ -14,19 +16,53 @@ from linetally.sources.files import write_periods
 CSV_COLUMNS = tuple(dict.fromkeys(CSV_HEADERS.values()))
 
 
-def scan_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Order CSV as eight text columns, whichever header spelling it uses.
+# the text of a row that has another number of fields than the header
+MALFORMED = "malformed_row"
+
+
+def scan_csv_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Order CSV as eight text columns, whichever header spelling it uses, and ``malformed_row``.
 
     Only the header line is looked at before the scan; nothing is inferred.
+    The file is parsed once, into shared scratch, where profile, landing and
+    what is set aside read it. Quoted fields may hold line breaks; a file is then read by one task. For
+    big files known to hold none, ``multi_line=False`` lets Spark split them.
     """
-    reader = spark.read.option("header", "true").option("encoding", CSV_ENCODING).option("escape", '"')
-    lines = reader.csv(path)
-    found = lines.columns
-    lines = lines.withColumnsRenamed({k: v for k, v in CSV_HEADERS.items() if k in found})
-    missing = [c for c in CSV_COLUMNS if c not in lines.columns]
+    reader = (
+        spark.read.option("header", "true")
+        .option("encoding", CSV_ENCODING)
+        .option("escape", '"')
+        .option("multiLine", str(multi_line).lower())
+    )
+    found = reader.csv(path).columns
+    names = [CSV_HEADERS.get(c, c) for c in found]
+    missing = [c for c in CSV_COLUMNS if c not in names]
     if missing:
         raise ValueError(f"CSV lacks columns {missing}; it has {found}")
-    return lines.select(*CSV_COLUMNS)
+    schema = StructType([StructField(c, StringType()) for c in (*found, MALFORMED)])
+    lines = reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED).csv(path)
+    lines = lines.withColumnsRenamed(dict(zip(found, names, strict=True))).select(*CSV_COLUMNS, MALFORMED)
+    return written(lines, "source-csv")
+
+
+def well_formed(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(MALFORMED).isNull()).select(*CSV_COLUMNS)
+
+
+def malformed_rows(rows: DataFrame) -> DataFrame:
+    """Text of the rows whose fields do not match the header; they are set aside and counted."""
+    return rows.where(F.col(MALFORMED).isNotNull()).select(F.lit("malformed").alias("reason"), F.col(MALFORMED).alias("line"))
+
+
+def scan_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The well-formed rows of an order CSV."""
+    return well_formed(scan_csv_rows(spark, path, multi_line))
+
+
+def require_dated(dated: int, undated: int, most: float) -> None:
+    """Raise when more than the stated share of rows has no usable date."""
+    if undated > most * (dated + undated):
+        raise ValueError(f"{undated} of {dated + undated} rows have no usable date; at most {most:.0%} may")
 
 
 def prepare(lines: DataFrame) -> DataFrame:
@@ -36,7 +72,7 @@ def prepare(lines: DataFrame) -> DataFrame:
         "stock_code",
         "description",
         F.col("quantity").try_cast("int").alias("quantity"),
-        wall_clock("invoice_date").alias("invoice_date"),
+        order_time("invoice_date").alias("invoice_date"),
         F.col("unit_price").try_cast("double").alias("unit_price"),
         whole_number_text("customer_id").alias("customer_id"),
         "country",

@@ -33,11 +33,11 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """Parse the ``value`` column, keeping one output row per input line.
 
     A line is exactly one of blank, corrupt (its text is kept), undated, or
-    good. Wrong types make the whole line corrupt. One pass therefore yields
+    good. Wrong types, and NaN or infinite numbers, make the whole line corrupt. One pass therefore yields
     the line count and the parsed rows, so the landing zone is read once.
     """
     record = F.from_json(
-        "value", LANDED_ORDER_OR_CORRUPT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        "value", LANDED_ORDER_OR_CORRUPT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowNonNumericNumbers": "false"}
     )
     parsed = lines.withColumn("r", record)
     is_blank = F.col("r").isNull()

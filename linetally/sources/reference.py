@@ -58,14 +58,22 @@ def page_check(pages: DataFrame) -> DataFrame:
         .agg(
             F.max("pages").alias("pages_expected"),
             F.count_distinct(F.when(F.col("ok"), F.col("number"))).alias("pages_seen"),
+            F.count_if("ok").alias("well_formed"),
             F.count_if(~F.col("ok")).alias("malformed_pages"),
         )
-        .withColumn("complete", (F.col("pages_expected") == F.col("pages_seen")) & (F.col("malformed_pages") == 0))
+        # a page that was saved twice would bring its records twice
+        .withColumn(
+            "complete",
+            (F.col("pages_expected") == F.col("pages_seen"))
+            & (F.col("well_formed") == F.col("pages_seen"))
+            & (F.col("malformed_pages") == 0),
+        )
+        .drop("well_formed")
     )
 
 
 def require_complete(pages: DataFrame) -> None:
-    """Raise when any dataset misses a page or holds a malformed one."""
+    """Raise when any dataset misses a page, repeats one or holds a malformed one."""
     bad = page_check(pages).where(~F.col("complete")).collect()  # one row per dataset
     if bad:
         raise ReferenceDataError("incomplete pull: " + "; ".join(f"{r['dataset']} {r.asDict()}" for r in bad))
@@ -192,9 +200,13 @@ def load_countries(spark: SparkSession, root: str, table: str, loaded_at: dateti
 
 
 def load_indicators(spark: SparkSession, root: str, table: str, loaded_at: datetime | None = None) -> None:
-    """Both indicator families into one long RAW table, replacing it."""
-    paths = [f"{root}/indicators/dataset=gdp", f"{root}/indicators/dataset=population"]
-    landed = spark.read.schema(LANDED_INDICATOR).option("mode", "FAILFAST").json(paths)
+    """Every landed indicator dataset into one long RAW table, replacing it."""
+    landed = (
+        spark.read.schema(LANDED_INDICATOR)
+        .option("mode", "FAILFAST")
+        .option("recursiveFileLookup", "true")
+        .json(f"{root}/indicators")
+    )
     _load(landed, table, loaded_at)
 
 

@@ -1,26 +1,34 @@
 """Replaying held-back days as a stream of order lines.
 
 Lines arrive as text files, are parsed exactly as in the batch path, and each
-micro-batch replaces its own slice of the stream RAW table before the touched
-staging periods are rebuilt. There is no watermark: a late line rebuilds its
-period like any other, since counts have to balance.
+micro-batch writes its own slice of the stream RAW table, its quarantine and
+one audit row. Staging is rebuilt once, after the last batch. There is no
+watermark: a late line rebuilds its period like any other, since counts have
+to balance.
 """
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linetally.env import forget, written
 from linetally.functions.columns import period_key
-from linetally.plans.convert import set_aside
-from linetally.plans.staging import rebuild_periods
+from linetally.plans.staging import read_stg, rebuild_periods, touched_periods
 from linetally.schemas import RAW_ORDER
-from linetally.sources.landing import LANDED_FILES, good, parse_lines
-from linetally.sources.raw_orders import PARTITION, read_all_raw
+from linetally.sources.files import path_exists
+from linetally.sources.landing import LANDED_FILES, parse_lines
+from linetally.sources.raw_orders import PARTITION, in_periods, read_all_raw
 
-STREAM_PARTITION = (*PARTITION, "batch_id")
+STREAM_PARTITION = (*PARTITION, "query_id", "batch_id")
+
+STREAM_AUDIT = (
+    "query_id string, batch_id long, recon_at timestamp, source_lines long, blank_rows long, corrupt_rows long, "
+    "undated_rows long, stray_rows long, repeated_rows long, rows_written long, difference long, balanced boolean, status string"
+)
 
 
 def stream_lines(spark: SparkSession, folder: str, max_files: int) -> DataFrame:
@@ -44,6 +52,28 @@ def _store(batch: DataFrame, path: str, partition: tuple[str, ...]) -> None:
     )
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark keeps with the checkpoint: another checkpoint has another id, a restart has the same."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _fate(held: DataFrame | None) -> Column:
+    """What becomes of a parsed line; each line has exactly one fate."""
+    own = F.date_format("invoice_date", "yyyy-MM")
+    return (
+        F.when(F.col("is_blank"), "blank")
+        .when(F.col("is_corrupt"), "corrupt")
+        .when(F.col("invoice_date").isNull(), "undated")
+        .when(own != F.col("path_period"), "stray")
+        .when(F.col("is_held") if held is not None else F.lit(False), "repeated")
+        .otherwise("written")
+    )
+
+
+def read_stream_audit(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STREAM_AUDIT).parquet(path)
+
+
 def replay(
     spark: SparkSession,
     folder: str,
@@ -51,35 +81,68 @@ def replay(
     stream_raw: str,
     stg: str,
     checkpoint: str,
-    quarantine: str | None = None,
+    quarantine: str,
+    audit: str,
     max_files: int = 1000,
     loaded_at: datetime | None = None,
-) -> None:
-    """Take in every file not seen yet, then stop.
+) -> list[str]:
+    """Take in every file not seen yet, then stop and return the staging periods rebuilt.
 
     ``foreachBatch`` may run a batch again after a failure. All it writes is
-    keyed by the batch id or by whole periods, so a second run replaces the
-    first and no line is counted twice.
+    keyed by query and batch, so a second run replaces the first. A lost
+    checkpoint gives a new query, which reads all files again: lines of files
+    that the store holds from another batch are counted as repeated and not
+    stored twice. Blank, corrupt, undated and stray lines are set aside; the
+    audit row of a batch says how many, and whether the counts add up.
     """
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
-        # the batch is looked at three times; files are read and parsed once
-        parsed = parse_lines(batch).persist()
-        dated = good(parsed).where(F.col("invoice_date").isNotNull())
+        session = batch.sparkSession
+        query_id = _query_id(session, checkpoint)
+        key = [F.lit(query_id).alias("query_id"), F.lit(batch_id).cast("long").alias("batch_id")]
+        # files are read and parsed once; executors may be lost between the jobs that follow
+        parsed = written(parse_lines(batch), "stream-batch")
+        held = None
+        if path_exists(session, stream_raw):
+            dated = parsed.where("not is_blank and not is_corrupt and invoice_date is not null")
+            touched = dated.select(period_key("year", "month").alias("period")).distinct()
+            periods = [r["period"] for r in touched.collect()]  # one row per period
+            store = session.read.schema("source_file string, partition_year int, partition_month int, query_id string, batch_id long").parquet(stream_raw)
+            other = ~((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
+            held = store.where(in_periods(periods) & other).select("source_file", F.lit(True).alias("is_held")).distinct()
+            parsed_lines = parsed.join(held, "source_file", "left").withColumn("is_held", F.coalesce("is_held", F.lit(False)))
+        else:
+            parsed_lines = parsed
+        fated = parsed_lines.withColumn("fate", _fate(held))
         stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
         rows = (
-            dated.withColumnsRenamed({"year": "partition_year", "month": "partition_month"})
+            fated.where("fate = 'written'")
+            .withColumnsRenamed({"year": "partition_year", "month": "partition_month"})
             .withColumn("loaded_at", stamp)
-            .select(*RAW_ORDER.fieldNames(), F.lit(batch_id).alias("batch_id"))
+            .select(*RAW_ORDER.fieldNames(), *key)
         )
+        aside = fated.where("fate in ('corrupt', 'undated', 'stray')").select(
+            F.col("path_period").alias("period"), F.col("fate").alias("reason"),
+            F.coalesce("line", F.to_json(F.struct("invoice_no", "stock_code", "quantity", "invoice_date", "unit_price", "customer_id", "country"))).alias("line"),
+            *key,
+        )
         _store(rows, stream_raw, STREAM_PARTITION)
-        if quarantine:
-            aside = set_aside(parsed).withColumn("batch_id", F.lit(batch_id))
-            _store(aside, quarantine, ("period", "batch_id"))
-        touched = dated.select(period_key("year", "month").alias("period")).distinct()
-        periods = sorted(r["period"] for r in touched.collect())  # one row per period
-        parsed.unpersist()
-        rebuild_periods(spark, read_all_raw(spark, raw, stream_raw), stg, periods)
+        _store(aside, quarantine, ("period", "query_id", "batch_id"))
+        # what was written is counted where it lies
+        back = session.read.schema("invoice_no string, query_id string, batch_id long").parquet(stream_raw)
+        there = back.where((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)).count()
+        fates = {n: F.count_if(F.col("fate") == n) for n in ("blank", "corrupt", "undated", "stray", "repeated")}
+        counts = fated.agg(F.count(F.lit(1)).alias("source_lines"), *[c.alias(f"{n}_rows") for n, c in fates.items()])
+        aside_or_blank = F.expr("blank_rows + corrupt_rows + undated_rows + stray_rows + repeated_rows")
+        difference = F.lit(there) + aside_or_blank - F.col("source_lines")
+        status = F.when(difference != 0, "unbalanced").when(F.col("stray_rows") > 0, "stray_rows").otherwise("converted")
+        record = counts.select(
+            *key, F.current_timestamp().alias("recon_at"), "source_lines", "blank_rows", "corrupt_rows", "undated_rows", "stray_rows",
+            "repeated_rows", F.lit(there).cast("long").alias("rows_written"), difference.cast("long").alias("difference"),
+            (difference == 0).alias("balanced"), status.alias("status"),
+        )
+        _store(record, audit, ("query_id", "batch_id"))
+        forget(parsed)
 
     query = (
         stream_lines(spark, folder, max_files)
@@ -89,3 +152,8 @@ def replay(
         .start()
     )
     query.awaitTermination()
+    # once for all batches; a run that stopped between the two is caught up on here
+    all_raw = read_all_raw(spark, raw, stream_raw)
+    periods = touched_periods(all_raw, read_stg(spark, stg) if path_exists(spark, stg) else None)
+    rebuild_periods(spark, all_raw, stg, periods)
+    return periods

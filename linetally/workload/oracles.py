@@ -536,6 +536,7 @@ ORACLES: dict[str, str] = {
   FROM stg GROUP BY period""",
     ),
     "stg_orders_incremental": sql("stg", by_period("stg")),
+    "stg_orders_incremental_after_reprocess": sql("stg", by_period("stg")),
     "stg_orders_reprocess": sql(
         "raw",
         f"""SELECT * FROM ({by_period(f'''({_TYPED} (SELECT * FROM raw WHERE NOT (partition_year = 1996 AND partition_month = 2)
@@ -616,16 +617,25 @@ ORACLES: dict[str, str] = {
          strftime(d, '%Y-%m') AS period, coalesce(n, 0) AS order_count
   FROM (SELECT unnest(generate_series(min(invoice_date), max(invoice_date), INTERVAL 1 DAY)) AS d FROM fct_orders)
   LEFT JOIN (SELECT CAST(invoice_date AS DATE) AS o, count(*) AS n FROM fct_orders GROUP BY 1) ON o = CAST(d AS DATE)""",
+    ),
+    "date_spine": sql(
+        "fct_lines",
+        """SELECT CAST(d AS DATE) AS date_day, strftime(d, '%Y-%m') AS period, coalesce(n, 0) AS line_count
+  FROM (SELECT unnest(generate_series(min(CAST(invoice_date AS DATE)), max(CAST(invoice_date AS DATE)) - 1, INTERVAL 1 DAY)) AS d
+        FROM fct_lines)
+  LEFT JOIN (SELECT CAST(invoice_date AS DATE) AS o, count(*) AS n FROM fct_lines GROUP BY 1) ON o = CAST(d AS DATE)""",
     ),
     # ------------------------------------------------------------------ reader
     "masked_dim_customer": sql("customers", f"SELECT * REPLACE ({MASK} AS customer_id) FROM customers"),
     "reader_views": sql(
-        "fct_orders monthly customers products",
+        "fct_orders monthly customers products mapping",
         """SELECT 'fct_orders' AS view_name, count(*) AS row_count, count(DISTINCT customer_id) AS distinct_customers,
          count(customer_id) AS masked_rows FROM fct_orders
   UNION ALL SELECT 'fct_revenue_monthly', count(*), 0, 0 FROM monthly
   UNION ALL SELECT 'dim_customer', count(*), count(DISTINCT customer_id), count(customer_id) FROM customers
-  UNION ALL SELECT 'dim_product', count(*), 0, 0 FROM products""",
+  UNION ALL SELECT 'dim_product', count(*), 0, 0 FROM products
+  UNION ALL SELECT 'dim_country', count(*), 0, 0 FROM mapping
+  UNION ALL SELECT 'dim_date', date_diff('day', DATE '2009-12-01', DATE '2012-01-31'), 0, 0""",
     ),
     "small_country_suppression": sql(
         "customers",
@@ -790,6 +800,12 @@ ORACLES: dict[str, str] = {
     "source_system_union": sql("resplit", by_period(f"({_TYPED} resplit)", ", source_system")),
     "stream_replay": sql("resplit", by_period(f"({_TYPED} resplit)", ", source_system")),
     "stream_late_lines": sql("stg", by_period("stg")),
+    "stream_second_checkpoint": sql("stg", by_period("stg")),
+    "stream_batch_recon": sql(
+        "resplit",
+        """SELECT count(*) AS source_lines, count(*) AS rows_written, 0 AS repeated_rows, 0 AS difference, true AS balanced
+  FROM resplit WHERE source_system = 'stream_live'""",
+    ),
     # --------------------------------------------------------------- whole run
     "full_run": converted(
         """period, source_lines AS ndjson_source_lines, rows_written_back AS glue_wrote_to_s3,

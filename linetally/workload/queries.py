@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linetally.env import Env
 from linetally.fixed_values import BATCH, LINE_TYPES, REVENUE_TOLERANCE, STREAM
-from linetally.functions.columns import money, money_out, path_number
+from linetally.functions.columns import money, money_out, path_number, total_units
 from linetally.operators import checks as C
 from linetally.operators import diff as D
 from linetally.plans import convert as V
@@ -23,7 +23,7 @@ from linetally.sources import landing as L
 from linetally.sources import raw_orders as RAW
 from linetally.sources import reference as REF
 from linetally.sources.files import write_periods
-from linetally.streaming.replay import replay
+from linetally.streaming.replay import read_stream_audit, replay
 from linetally.workload import adapter as A
 from linetally.workload.warehouse import Warehouse, warehouse
 
@@ -43,7 +43,7 @@ def query(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFra
 
 
 def amount(column: str = "line_amount"):
-    return money_out(F.sum(money(column)))
+    return money_out(total_units(money(column)))
 
 
 def by_period(stg: DataFrame, *more: str) -> DataFrame:
@@ -349,6 +349,16 @@ def stg_orders_incremental(w):
     return by_period(S.read_stg(w.spark, table))
 
 
+@query
+def stg_orders_incremental_after_reprocess(w):
+    """The second load is in RAW; one period is reprocessed by name before the incremental run."""
+    table = w.scratch("stg")
+    S.refresh_stg_orders(w.spark, w.raw.where(F.col("loaded_at") == F.lit(A.FIRST_LOAD)), table)
+    S.refresh_stg_orders(w.spark, w.raw, table, ["1996-06"])
+    S.refresh_stg_orders(w.spark, w.raw, table)
+    return by_period(S.read_stg(w.spark, table))
+
+
 @query
 def stg_orders_reprocess(w):
     """After a full build RAW loses the June copies and all of 1996-02; both are reprocessed."""
@@ -450,8 +460,8 @@ def dim_customer(w):
 
 @query
 def dim_customer_ranged(w):
-    """The same dimension with segments from the ranged rank instead of one window."""
-    return M.dim_customer(w.lines, one_task_rows=0)
+    """The same dimension with another number of ranges under its segments."""
+    return M.dim_customer(w.lines, partitions=7)
 
 
 @query
@@ -478,13 +488,17 @@ def product_description_mode(w):
     return M.product_description(w.lines)
 
 
-@query
-def dim_country(w):
+def _countries(w):
     countries = S.stg_worldbank_countries(w.raw_countries)
     indicators = S.stg_worldbank_indicators(w.raw_indicators)
     return M.dim_country(w.mapping, countries, indicators, w.lines)
 
 
+@query
+def dim_country(w):
+    return _countries(w)
+
+
 @query
 def dim_date(w):
     """The calendar over the span of the order dates, with the orders of each day."""
@@ -496,6 +510,16 @@ def dim_date(w):
     return calendar.join(per_day, "date_day", "left").na.fill(0, ["order_count"])
 
 
+@query
+def date_spine(w):
+    """Every day of the calendar mart, with the lines of that day."""
+    day = F.col("invoice_date").cast("date")
+    per_day = w.lines.groupBy(day.alias("date_day")).agg(F.count(F.lit(1)).alias("line_count"))
+    first, last = w.lines.agg(F.min(day), F.max(day)).first()
+    spine = M.dim_date(w.spark, str(first), str(last))
+    return spine.join(per_day, "date_day", "left").select("date_day", "period", F.coalesce("line_count", F.lit(0)).alias("line_count"))
+
+
 # ----------------------------------------------------------------------- reader
 
 
@@ -513,6 +537,8 @@ def reader_views(w):
         "fct_revenue_monthly": M.fct_revenue_monthly(w.orders),
         "dim_customer": w.customers,
         "dim_product": M.dim_product(w.lines),
+        "dim_country": _countries(w),
+        "dim_date": M.dim_date(w.spark),
     }
     out = None
     for name, view in R.reader_views(marts, w.env).items():
@@ -593,7 +619,9 @@ def check_unique(w):
 
 @query
 def check_accepted_values(w):
-    return C.value_counts_outside(w.stg, "line_type", LINE_TYPES[:2])
+    """Lines that are neither normal nor cancellations, and (none) of no declared type."""
+    declared = C.value_counts_outside(w.stg, "line_type", LINE_TYPES)
+    return C.value_counts_outside(w.stg, "line_type", LINE_TYPES[:2]).unionByName(declared)
 
 
 @query
@@ -724,13 +752,17 @@ def source_system_union(w):
     return by_period(S.stg_orders(both), "source_system")
 
 
-def _replayed(w: Warehouse, batch: DataFrame, held: DataFrame, max_files: int) -> DataFrame:
-    folder, raw, stream_raw, stg = (w.scratch(x) for x in ("stream", "raw", "stream_raw", "stg"))
+def _replayed(w: Warehouse, batch: DataFrame, *held: DataFrame, max_files: int) -> tuple[DataFrame, DataFrame]:
+    """Staging and the audit after a replay; each part of ``held`` arrives before a run with a checkpoint of its own."""
+    names = ("stream", "raw", "stream_raw", "stg", "stream_aside", "stream_audit")
+    folder, raw, stream_raw, stg, aside, audit = (w.scratch(x) for x in names)
     write_periods(batch.select(*w.raw.columns), raw, RAW.PARTITION, rebalance=False)
     S.build_stg_orders(RAW.read_raw(w.spark, raw), stg)
-    CSV.write_daily(held.withColumn("event_date", F.col("invoice_date").cast("date")), folder)
-    replay(w.spark, folder, raw, stream_raw, stg, w.scratch("checkpoint"), max_files=max_files, loaded_at=A.SECOND_LOAD)
-    return S.read_stg(w.spark, stg)
+    for part in held:
+        CSV.write_daily(part.withColumn("event_date", F.col("invoice_date").cast("date")), folder)
+        checkpoint = w.scratch("checkpoint")
+        replay(w.spark, folder, raw, stream_raw, stg, checkpoint, aside, audit, max_files=max_files, loaded_at=A.SECOND_LOAD)
+    return S.read_stg(w.spark, stg), read_stream_audit(w.spark, audit)
 
 
 @query
@@ -738,7 +770,8 @@ def stream_replay(w):
     """The held-back days arrive as a stream; staging ends up as if all had been batch."""
     dated = w.raw.withColumn("event_date", F.col("invoice_date").cast("date"))
     batch, held = CSV.hold_back(dated, HOLD_BACK_DAYS)
-    return by_period(_replayed(w, batch.withColumn("source_system", F.lit(BATCH)), held, 10), "source_system")
+    stg, _ = _replayed(w, batch.withColumn("source_system", F.lit(BATCH)), held, max_files=10)
+    return by_period(stg, "source_system")
 
 
 @query
@@ -746,7 +779,30 @@ def stream_late_lines(w):
     """The second load arrives late, as a stream, for periods already built."""
     first = F.col("loaded_at") == F.lit(A.FIRST_LOAD)
     late = w.raw.where(~first).withColumn("source_system", F.lit(STREAM))
-    return by_period(_replayed(w, w.raw.where(first), late, 2000))
+    stg, _ = _replayed(w, w.raw.where(first), late, max_files=2000)
+    return by_period(stg)
+
+
+@query
+def stream_second_checkpoint(w):
+    """Late lines of even days arrive, then the checkpoint is lost and the odd days arrive: all files are read again."""
+    first = F.col("loaded_at") == F.lit(A.FIRST_LOAD)
+    late = w.raw.where(~first).withColumn("source_system", F.lit(STREAM))
+    even = F.dayofmonth("invoice_date") % 2 == 0
+    stg, _ = _replayed(w, w.raw.where(first), late.where(even), late.where(~even), max_files=2000)
+    return by_period(stg)
+
+
+@query
+def stream_batch_recon(w):
+    """What the audit of a replay says of all its batches."""
+    dated = w.raw.withColumn("event_date", F.col("invoice_date").cast("date"))
+    batch, held = CSV.hold_back(dated, HOLD_BACK_DAYS)
+    _, audit = _replayed(w, batch.withColumn("source_system", F.lit(BATCH)), held, max_files=10)
+    return audit.agg(
+        *[F.sum(c).alias(c) for c in ("source_lines", "rows_written", "repeated_rows", "difference")],
+        F.bool_and("balanced").alias("balanced"),
+    )
 
 
 # ------------------------------------------------------------------ whole run

@@ -60,8 +60,8 @@ def test_from_csv_to_sql(spark, shop, capsys):
     ).collect()
     assert [tuple(r) for r in got] == [("France", 1, 3.0, 1), ("EIRE", 1, 5.0, 0)]
     assert spark.sql("select distinct recon_status from fct_pipeline_reconciliation").collect()[0][0] == "ok"
-    shop("report")
-    shop("sql", "select stock_code, cancellation_rate from dim_product order by 1")
+    shop("--preview", "20", "report")
+    shop("--preview", "20", "sql", "select stock_code, cancellation_rate from dim_product order by 1")
     out = capsys.readouterr().out
     assert "SUCCESS" in out and "0.33" in out
 
@@ -94,3 +94,17 @@ def test_single_steps(spark, shop, capsys):
 def test_failed_run_returns_an_error_code(shop):
     shop("land", "--input", shop.csv)
     assert shop("run", "1999-01") == 1
+
+
+def test_results_are_written_in_full(spark, shop):
+    shop("land", "--input", shop.csv)
+    out = str(shop.tmp / "out")
+    shop("--output", out, "sql", "select id from range(700)")
+    assert spark.read.option("header", "true").csv(out).count() == 700
+    with pytest.raises(SystemExit, match="--output"):
+        shop("sql", "select 1")
+
+
+def test_source_with_too_few_dates_stops(shop):
+    with pytest.raises(ValueError, match="usable date"):
+        shop("land", "--input", shop.csv, "--most-undated", "0.1")

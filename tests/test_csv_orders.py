@@ -87,3 +87,35 @@ def test_daily_files(spark, tmp_path):
     assert line["customer_id"] is None and line["invoice_date"] == "2010-12-02T08:00:00"
     back = good(parse_lines(read_lines(spark, str(root))))
     assert back.count() == 4 and back.where("ingested_at is null").count() == 0
+
+
+def test_month_first_dates_and_quoted_line_breaks(spark, tmp_path):
+    rows = [
+        '1,a,"TWO\nLINES",6,12/1/2010 8:26,2.55,17850,United Kingdom',
+        '2,a,"say ""hi"", twice",1,1/12/2011 14:05:09,1.0,,UK',
+        "3,a,x,1,1/2/2011,1.0,,UK",
+        "4,a,x,1,13/1/2011 8:00,1.0,,UK",
+        "5,a,x,1,17850,1.0,,UK",
+    ]
+    got = {r.invoice_no: r for r in scan(spark, tmp_path, OLD, *rows).collect()}
+    assert got["1"].description == "TWO\nLINES" and str(got["1"].invoice_date) == "2010-12-01 08:26:00"
+    assert got["2"].description == 'say "hi", twice' and str(got["2"].invoice_date) == "2011-01-12 14:05:09"
+    assert str(got["3"].invoice_date) == "2011-01-02 00:00:00"
+    assert got["4"].invoice_date is None and got["5"].invoice_date is None
+
+
+def test_malformed_rows_are_set_aside(spark, tmp_path):
+    good, short, long = "1,a,x,1,2010-12-01 08:00:00,1.0,10,UK", "2,a,x,1,2010-12-01", good_and_more()
+    assert [r.invoice_no for r in scan(spark, tmp_path, OLD, good, short, long).collect()] == ["1"]
+    aside = CSV.malformed_rows(CSV.scan_csv_rows(spark, str(tmp_path / "orders.csv"))).collect()
+    assert sorted(r.line for r in aside) == sorted([short, long]) and {r.reason for r in aside} == {"malformed"}
+
+
+def good_and_more():
+    return "3,a,x,1,2010-12-01 08:00:00,1.0,10,UK,more"
+
+
+def test_too_many_undated_rows_are_an_error():
+    CSV.require_dated(95, 5, 0.05)
+    with pytest.raises(ValueError, match="6 of 100"):
+        CSV.require_dated(94, 6, 0.05)

@@ -100,7 +100,7 @@ def test_customers(raw_frame):
 def test_customer_segments_on_both_ways(raw_frame, n):
     fact = lines(raw_frame, *[{"customer_id": f"c{i}", "invoice_no": str(i), "unit_price": float(i // 2)} for i in range(n)])
     one = sorted(map(str, M.dim_customer(fact).collect()))
-    assert sorted(map(str, M.dim_customer(fact, one_task_rows=0, partitions=3).collect())) == one
+    assert sorted(map(str, M.dim_customer(fact, partitions=3).collect())) == one
 
 
 def test_products(raw_frame):

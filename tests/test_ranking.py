@@ -76,13 +76,13 @@ def test_ranged_ntile_with_ties(spark, n):
     df = written(spark.createDataFrame(rows, "id string, v double"), "t")
     by = [F.col("v").asc_nulls_last(), F.col("id").asc()]
     one = ntile_over_all(df, 3, by, "tile")
-    ranged = ntile_over_all(df, 3, by, "tile", one_task_rows=-1, partitions=5)
+    ranged = ntile_over_all(df, 3, by, "tile", partitions=5)
     assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, ranged.collect()), key=str)
 
 
 def test_big_ntile_plans_no_single_partition_over_the_rows(spark):
     df = written(spark.range(2000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 7).alias("v")), "t")
-    out = ntile_over_all(df, 3, [F.col("v").asc(), F.col("id").asc()], "tile", one_task_rows=100)
+    out = ntile_over_all(df, 3, [F.col("v").asc(), F.col("id").asc()], "tile")
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the only single-partition step is over the per-partition counts
     assert plan.count("SinglePartition") <= 1 and "ntile" not in plan

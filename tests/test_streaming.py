@@ -1,3 +1,4 @@
+import shutil
 from datetime import datetime
 
 from conftest import landed, write_day
@@ -5,13 +6,13 @@ from conftest import landed, write_day
 from linetally.plans import staging as S
 from linetally.sources.files import write_periods
 from linetally.sources.raw_orders import PARTITION, read_all_raw, read_raw
-from linetally.streaming.replay import replay
+from linetally.streaming.replay import read_stream_audit, replay
 
 LATER = datetime(2011, 4, 1)
 
 
 def setup(spark, raw_frame, tmp_path, *rows):
-    paths = {n: str(tmp_path / n) for n in ("raw", "stream_raw", "stg", "checkpoint", "quarantine")}
+    paths = {n: str(tmp_path / n) for n in ("raw", "stream_raw", "stg", "checkpoint", "quarantine", "audit")}
     write_periods(raw_frame(*rows), paths["raw"], PARTITION)
     S.build_stg_orders(read_raw(spark, paths["raw"]), paths["stg"])
     return paths
@@ -20,7 +21,7 @@ def setup(spark, raw_frame, tmp_path, *rows):
 def run(spark, tmp_path, paths, **more):
     replay(
         spark, str(tmp_path / "in"), paths["raw"], paths["stream_raw"], paths["stg"], paths["checkpoint"],
-        paths["quarantine"], loaded_at=LATER, **more,
+        paths["quarantine"], paths["audit"], loaded_at=LATER, **more,
     )
 
 
@@ -68,7 +69,43 @@ def test_batch_that_runs_again_counts_once(spark, raw_frame, tmp_path):
     write_day(tmp_path / "in", "2011-01-04", live("5", "2011-01-04T12:00:00"))
     run(spark, tmp_path, paths)
     once = staged(spark, paths)
-    # the state of a crash after the write and before the commit: same batch id, same file, again
-    run(spark, tmp_path, paths | {"checkpoint": str(tmp_path / "checkpoint2")})
+    # the state of a crash after the write and before the commit: same query, same batch, again
+    shutil.rmtree(tmp_path / "checkpoint" / "commits")
+    run(spark, tmp_path, paths)
     assert staged(spark, paths) == once and len(once) == 2
     assert read_all_raw(spark, paths["raw"], paths["stream_raw"]).count() == 2
+
+
+def test_second_checkpoint_keeps_earlier_lines(spark, raw_frame, tmp_path):
+    paths = setup(spark, raw_frame, tmp_path, {})
+    write_day(tmp_path / "in", "2011-01-04", live("5", "2011-01-04T12:00:00"))
+    run(spark, tmp_path, paths)
+    # the checkpoint is lost: old files come again with batch 0 of another query, and a new one with them
+    write_day(tmp_path / "in", "2011-01-05", live("6", "2011-01-05T12:00:00"), name="new.json")
+    run(spark, tmp_path, paths | {"checkpoint": str(tmp_path / "checkpoint2")})
+    assert [r[1] for r in staged(spark, paths)] == ["5", "536365", "6"]
+    audit = read_stream_audit(spark, paths["audit"]).orderBy("recon_at").collect()
+    assert [(r.source_lines, r.rows_written, r.repeated_rows, r.balanced) for r in audit] == [(1, 1, 0, True), (2, 1, 1, True)]
+
+
+def test_every_streamed_line_is_accounted_for(spark, raw_frame, tmp_path):
+    paths = setup(spark, raw_frame, tmp_path, {})
+    lines = ["{bad", "", live("8", "never"), live("9", "2011-03-01T12:00:00"), live("5", "2011-01-04T12:00:00")]
+    write_day(tmp_path / "in", "2011-01-04", *lines)
+    run(spark, tmp_path, paths)
+    row = read_stream_audit(spark, paths["audit"]).first()
+    assert (row.source_lines, row.blank_rows, row.corrupt_rows, row.undated_rows, row.stray_rows, row.rows_written) == (5, 1, 1, 1, 1, 1)
+    assert row.balanced and row.status == "stray_rows"
+    reasons = sorted(r.reason for r in spark.read.parquet(paths["quarantine"]).collect())
+    assert reasons == ["corrupt", "stray", "undated"]
+
+
+def test_load_then_replay_then_stage(spark, raw_frame, tmp_path):
+    paths = setup(spark, raw_frame, tmp_path, {})
+    # loaded, not staged yet; the stream that follows is newer
+    write_periods(raw_frame({"invoice_no": "7", "invoice_date": datetime(2010, 11, 3)}), paths["raw"], PARTITION)
+    write_day(tmp_path / "in", "2011-01-04", live("5", "2011-01-04T12:00:00"))
+    run(spark, tmp_path, paths)
+    raw = read_all_raw(spark, paths["raw"], paths["stream_raw"])
+    S.refresh_stg_orders(spark, raw, paths["stg"])
+    assert {r[1] for r in staged(spark, paths)} == {"5", "7", "536365"}
