@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -75,8 +77,28 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+_LEAN = False
+
+
+def lean() -> None:
+    """Have a Python worker give freed arrays of 4 MB or more back to the system at once.
+
+    By default the C library keeps ever larger ones for reuse, and a worker that serves task after task holds on to
+    the most it ever needed. Where there is no such setting, nothing happens.
+    """
+    global _LEAN
+    if not _LEAN:
+        _LEAN = True
+        with contextlib.suppress(OSError, AttributeError):
+            library = ctypes.CDLL(None)
+            library.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+            library.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows that hold up to ``most_bytes`` of text each; a longer row comes alone."""
+    lean()
     _, at = utf8(batch.column(batch.schema.get_field_index(column)))
     first = 0
     while first < batch.num_rows:
