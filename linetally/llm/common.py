@@ -18,8 +18,16 @@ from pyspark.sql import functions as F
 _SHIPPED: set[str] = set()
 
 
+#: Rows handed to Python at once: texts are long, and Spark's default of 10,000 rows of them takes much memory.
+BATCH_ROWS = "1000"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per application, as ``--py-files`` would."""
+    """Send this package's code to the executors, once per application, as ``--py-files`` would, and keep Arrow batches
+    small unless the session says otherwise than Spark's default."""
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = Path(__file__).resolve().parent.parent

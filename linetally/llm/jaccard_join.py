@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linetally.env import written
-from linetally.llm.common import fresh, ship, sized_join, slices
+from linetally.llm.common import fresh, lean, ship, sized_join, slices
 from linetally.llm.components import components
 from linetally.llm.words import Words, mixed, word_bytes
 
@@ -244,6 +244,7 @@ def _candidates(entries: DataFrame) -> DataFrame:
     """Pairs that share enough index entries: a, b (ids)."""
 
     def join(frames: pd.DataFrame) -> pd.DataFrame:
+        lean()
         keys, owners, members, shift = [], [], [], 0
         for f in frames["frame"]:
             body = zstandard.decompress(f)

@@ -34,8 +34,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from linetally.llm.common import ship, slices, utf8
 from linetally.llm.words import Words, mixed, word_bytes
 
-MOST_POSITIVE = 6_000
-MOST_UNLABELLED = 14_000
+MOST_POSITIVE = 4_000
+MOST_UNLABELLED = 8_000
 #: Training steps of 512 rows at least, also on few rows.
 LEAST_STEPS = 600
 STEP = 2 << 20
