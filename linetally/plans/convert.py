@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from linetally.env import forget, written
 from linetally.functions.columns import QUALITY_FIELDS, ORDER_COLUMNS, period_key, raw_order_quality
-from linetally.sources.files import drop_partition, write_periods
+from linetally.sources.files import drop_partition, existing, write_periods
 from linetally.sources.landing import good, parse_lines, read_lines
 
 log = logging.getLogger(__name__)
@@ -88,10 +88,15 @@ def replace_quarantine(aside: DataFrame, quarantine: str, periods: Iterable[str]
 
 def staged_counts(spark: SparkSession, staged: str, periods: list[str]) -> DataFrame:
     """Rows, files and bytes per period, read back from what was written."""
+    schema = "invoice_no string, year int, month int"
+    # only the folders of these periods are listed
+    names = [f"{staged}/year={int(p[:4])}/month={int(p[5:7])}" for p in periods]
+    folders = existing(spark, names)
+    rows = spark.read.schema(schema).option("basePath", staged).parquet(*folders) if folders else None
+    if rows is None:
+        return spark.createDataFrame([], "period string, rows_written_back bigint, output_bytes bigint")
     files = (
-        spark.read.schema("invoice_no string, year int, month int")
-        .parquet(staged)
-        .where(period_key("year", "month").isin(periods))
+        rows
         .groupBy("year", "month", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("bytes"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def existing(spark: SparkSession, globs: Iterable[str]) -> list[str]:
+    """Those of the folder patterns that match something."""
+    out = []
+    for glob in globs:
+        fs, p = _hadoop_path(spark, glob)
+        if fs.globStatus(p):
+            out.append(glob)
+    return out
+
+
 def drop_partition(spark: SparkSession, path: str) -> bool:
     """Remove one partition folder. A dynamic overwrite never empties one."""
     fs, p = _hadoop_path(spark, path)

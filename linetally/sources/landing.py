@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linetally.functions.columns import instant, wall_clock
 from linetally.schemas import CORRUPT, LANDED_ORDER, LANDED_ORDER_OR_CORRUPT
+from linetally.sources.files import existing
 
 # folder markers and other objects do not match
 LANDED_FILES = "*.{json,txt}"
@@ -18,15 +19,16 @@ def read_lines(spark: SparkSession, root: str, periods: Iterable[str] | None = N
     """Every text line with the period its folder claims.
 
     Lines are read as text, so counting them does not depend on any parsing.
-    The period filter is on the folder date and prunes whole folders.
+    With periods given, only their day folders are listed and read.
     """
-    lines = (
-        spark.read.schema("value string, event_date string").option("pathGlobFilter", LANDED_FILES).text(root)
-    )
-    path_period = F.substring("event_date", 1, 7)
-    if periods is not None:
-        lines = lines.where(path_period.isin(list(periods)))
-    return lines.withColumn("path_period", path_period)
+    schema = "value string, event_date string"
+    reader = spark.read.schema(schema).option("pathGlobFilter", LANDED_FILES)
+    if periods is None:
+        lines = reader.text(root)
+    else:
+        folders = existing(spark, [f"{root}/event_date={p}-*" for p in dict.fromkeys(periods)])
+        lines = reader.option("basePath", root).text(folders) if folders else spark.createDataFrame([], schema)
+    return lines.withColumn("path_period", F.substring("event_date", 1, 7))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:

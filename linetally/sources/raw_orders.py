@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linetally.env import forget, written
 from linetally.functions.columns import path_number
 from linetally.schemas import RAW_ORDER, STAGED_ORDER
 from linetally.sources.files import drop_partition, file_listing, path_exists, write_periods
@@ -72,7 +73,8 @@ def files_to_load(spark: SparkSession, staged: str, raw: str) -> DataFrame:
     """Staged files RAW does not hold yet, with the period in their path.
 
     The ledger is RAW's own ``source_file`` column, read only for the periods
-    that have candidate files.
+    that have candidate files: they are in the filter as literals, so other
+    folders are pruned.
     """
     found = (
         file_listing(spark, staged, STAGED_FILES)
@@ -81,8 +83,13 @@ def files_to_load(spark: SparkSession, staged: str, raw: str) -> DataFrame:
     )
     if not path_exists(spark, raw):
         return found
-    held = read_raw(spark, raw).select(*PARTITION, _uri("source_file").alias("uri")).distinct()
-    return found.withColumn("uri", _uri("source_file")).join(held, [*PARTITION, "uri"], "left_anti").drop("uri")
+    candidates = found.select(*PARTITION).distinct().collect()  # one row per period
+    of_candidates = F.lit(False)
+    for year, month in {(r[0], r[1]) for r in candidates}:
+        own = F.col("partition_year").eqNullSafe(F.lit(year)) & F.col("partition_month").eqNullSafe(F.lit(month))
+        of_candidates = of_candidates | own
+    held = read_raw(spark, raw).where(of_candidates).select(_uri("source_file").alias("uri")).distinct()
+    return found.withColumn("uri", _uri("source_file")).join(held, "uri", "left_anti").drop("uri")
 
 
 def _uri(path: str) -> Column:
@@ -92,12 +99,18 @@ def _uri(path: str) -> Column:
 
 def load_new_files(spark: SparkSession, staged: str, raw: str, loaded_at: datetime | None = None) -> int:
     """Load files not loaded before; rows of other files stay. Returns the file count."""
-    new = [r["source_file"] for r in files_to_load(spark, staged, raw).select("source_file").collect()]
-    if not new:
-        return 0
-    rows = _stamped(read_staged_files(spark, *new), loaded_at)
-    rows.write.mode("append").partitionBy(*PARTITION).option("compression", "snappy").parquet(raw)
-    return len(new)
+    new = written(files_to_load(spark, staged, raw).select("source_file", *PARTITION), "new-files")
+    count = new.count()
+    if count:
+        # the driver sees folders of periods, never the list of files
+        folders = new.select(F.regexp_replace("source_file", "/[^/]+$", "").alias("folder")).distinct()
+        paths = [r["folder"] for r in folders.collect()]
+        names = new.select(_uri("source_file").alias("uri"))
+        rows = read_staged_files(spark, *paths).withColumn("uri", _uri("source_file")).join(names, "uri", "left_semi")
+        rows = _stamped(rows, loaded_at)
+        rows.write.mode("append").partitionBy(*PARTITION).option("compression", "snappy").parquet(raw)
+    forget(new)
+    return count
 
 
 def load_periods(

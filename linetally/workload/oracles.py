@@ -757,9 +757,10 @@ ORACLES: dict[str, str] = {
     ),
     "check_duplicate_raw_files": sql(
         "raw",
-        f"""SELECT {PERIOD.format(y="partition_year", m="partition_month")} AS period,
-         count(DISTINCT source_file) AS distinct_files, string_agg(DISTINCT source_file, ', ' ORDER BY source_file) AS files
-  FROM raw GROUP BY 1 HAVING count(DISTINCT source_file) > 1""",
+        f"""SELECT period, source_file, distinct_files FROM (
+    SELECT period, source_file, count(*) OVER (PARTITION BY period) AS distinct_files FROM (
+      SELECT DISTINCT {PERIOD.format(y="partition_year", m="partition_month")} AS period, source_file FROM raw))
+  WHERE distinct_files > 1""",
     ),
     "check_double_load": sql(
         "raw",
