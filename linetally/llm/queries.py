@@ -58,7 +58,7 @@ def op4_context_mixing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by a similarity of 3/4 of their 5-word shingles."""
-    return jaccard_join.similar(table(spark, sf_dir, "documents"))
+    return jaccard_join.similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @_query
@@ -140,3 +140,92 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
        coalesce(n_blocks, 0) AS n_blocks
 FROM texts LEFT JOIN base USING (doc_id) LEFT JOIN blocks USING (doc_id)
 """
+
+
+ORACLES["op5_partition_jaccard"] = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all({_LETTERS}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) >= 5
+           THEN list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' ')))
+           WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles
+  FROM texts
+), members AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, len(s.shingles) AS n_shingles, min(r.other) AS component_id
+FROM sets s JOIN reached r USING (doc_id) GROUP BY s.doc_id, s.shingles
+"""
+
+ORACLES["op6_suffix_repeats"] = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents
+), places AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS w FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM texts)
+), hits AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY w) AS first FROM places) WHERE first < doc_id
+), opened AS (
+  SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, true) AS opens FROM hits
+), runs AS (
+  SELECT doc_id, min(p) AS a, max(p) + 50 AS b
+  FROM (SELECT doc_id, p, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM opened) GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM runs
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h,
+         sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT t.doc_id, len(t.h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.h, t.h))) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (doc_id)
+"""
+
+
+_MASKED = " UNION ALL ".join(
+    f"SELECT {{keys}}, i, '{m}' || ' ' || array_to_string([{', '.join(f'words[i + {o + 1}]' for o, bit in enumerate(m) if bit == '1')}], ' ') AS seed "
+    f"FROM (SELECT {{keys}}, words, unnest(range(0, len(words) - {len(m) - 1})) AS i FROM {{rows}})"
+    for m in decontaminate.MASKS
+)
+ORACLES["op1_spaced_seed_leaks"] = f"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS words FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS words FROM benchmark
+), usable AS (
+  SELECT * FROM items WHERE len(words) >= {decontaminate.SPAN}
+), item_seeds AS ({_MASKED.format(keys="item_id", rows="usable")}),
+text_seeds AS ({_MASKED.format(keys="doc_id", rows="texts")}),
+diagonals AS (
+  SELECT DISTINCT t.doc_id, s.item_id, t.i - s.i AS d FROM text_seeds t JOIN item_seeds s USING (seed)
+), steps AS (
+  SELECT doc_id, item_id, d, j, coalesce(d + j >= 0 AND t.words[d + j + 1] = u.words[j + 1], false) AS same
+  FROM (SELECT doc_id, item_id, d, words, unnest(range(0, len(words))) AS j FROM diagonals JOIN usable USING (item_id)) x
+  JOIN usable u USING (item_id) JOIN texts t USING (doc_id)
+), totals AS (
+  SELECT doc_id, item_id, d, j,
+         sum(CASE WHEN same THEN 1 ELSE -{decontaminate.MISMATCH} END) OVER w AS total, sum(same::INT) OVER w AS n_same
+  FROM steps WINDOW w AS (PARTITION BY doc_id, item_id, d ORDER BY j)
+  UNION ALL SELECT doc_id, item_id, d, -1, 0, 0 FROM diagonals
+), stretches AS (
+  SELECT b.doc_id, b.item_id, b.d, a.j + 1 AS first, b.j - a.j AS length, b.total - a.total AS score, b.n_same - a.n_same AS n_equal, b.j
+  FROM totals a JOIN totals b ON a.doc_id = b.doc_id AND a.item_id = b.item_id AND a.d = b.d AND a.j < b.j
+), found AS (
+  -- per diagonal the first end with the best score, begun as late as possible; of diagonals the best, the first in the text
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY score DESC, d + first, n_equal DESC, length DESC) AS place
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id, d ORDER BY score DESC, j, first DESC) AS own FROM stretches)
+  WHERE own = 1
+)
+SELECT doc_id, item_id, len(words)::INT AS item_words, (d + first)::INT AS first_word, length::INT AS n_words, n_equal::INT AS n_equal,
+       score::INT AS score
+FROM found JOIN usable USING (item_id)
+WHERE place = 1 AND score >= least({decontaminate.LEAST_SCORE}, ceil({decontaminate.LEAST_SHARE} * len(words)))
+"""
