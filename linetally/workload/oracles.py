@@ -804,7 +804,7 @@ ORACLES: dict[str, str] = {
     "stream_second_checkpoint": sql("stg", by_period("stg")),
     "stream_batch_recon": sql(
         "resplit",
-        """SELECT count(*) AS source_lines, count(*) AS rows_written, 0 AS repeated_rows, 0 AS difference, true AS balanced
+        """SELECT count(*) AS source_lines, count(*) AS rows_written, 0::BIGINT AS repeated_rows, 0::BIGINT AS difference, true AS balanced
   FROM resplit WHERE source_system = 'stream_live'""",
     ),
     # --------------------------------------------------------------- whole run
