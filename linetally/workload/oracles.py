@@ -364,6 +364,123 @@ def violations(table: str, checks: list[tuple[str, str, str]], source: str) -> s
     )
 
 
+# months of a country whose revenue is negative: the one declared check that the test lines can fail
+NEGATIVE_MONTHS = """SELECT count(*) FROM (
+    SELECT sum(round(quantity * unit_price, 4)) AS revenue FROM (
+      SELECT DISTINCT path_period, country, invoice_no, stock_code, quantity, invoice_date, unit_price
+      FROM landed WHERE NOT is_cut AND NOT is_undated)
+    WHERE invoice_no NOT LIKE 'C%' GROUP BY path_period, country) WHERE revenue < 0"""
+# the declared checks, by table; those that only warn say so
+DECLARED_CHECKS = {
+    "raw_orders": (
+        "not_null(invoice_no)",
+        "not_null(stock_code)",
+        "not_null(quantity)",
+        "not_null(invoice_date)",
+        "not_null(unit_price)",
+        "not_null(country)",
+        "not_null(source_system)",
+        "not_null(partition_year)",
+        "not_null(partition_month)",
+        "not_null(source_file)",
+        "accepted_values(source_system)",
+    ),
+    "stg_orders": (
+        "not_null(invoice_no)",
+        "not_null(period)",
+        "not_null(line_type)",
+        "not_null(is_cancellation)",
+        "not_null(line_amount)",
+        "not_null(duplicate_occurrence)",
+        "accepted_values(line_type)",
+        "accepted_values(source_system)",
+        "expression(quantity < 0) : warn",
+    ),
+    "fct_order_lines": (
+        "not_null(invoice_no)",
+        "not_null(stock_code)",
+        "not_null(line_amount)",
+    ),
+    "fct_orders": (
+        "not_null(invoice_no)",
+        "expression(line_item_count > 0)",
+        "unique(invoice_no)",
+    ),
+    "fct_revenue_monthly": (
+        "not_null(total_revenue)",
+        "accepted_range(total_revenue)",
+        "unique(period, country)",
+    ),
+    "dim_customer": (
+        "not_null(customer_id)",
+        "not_null(total_orders)",
+        "not_null(total_revenue)",
+        "accepted_range(cancellation_rate)",
+        "accepted_values(customer_segment)",
+        "unique(customer_id)",
+    ),
+    "dim_product": (
+        "not_null(stock_code)",
+        "accepted_range(avg_unit_price)",
+        "unique(stock_code)",
+    ),
+    "dim_country": (
+        "not_null(retail_country)",
+        "accepted_values(mapping_type)",
+        "unique(retail_country)",
+    ),
+    "dim_date": (
+        "not_null(date_day)",
+        "unique(date_day)",
+    ),
+    "fct_pipeline_reconciliation": (
+        "not_null(period)",
+        "accepted_values(recon_status)",
+        "accepted_range(s3_to_snowflake_diff)",
+        "accepted_range(snowflake_to_staging_diff)",
+        "unique(period)",
+    ),
+    "raw_worldbank_countries": (
+        "not_null(country_id)",
+        "not_null(country_name)",
+        "unique(country_id)",
+    ),
+    "raw_worldbank_indicators": (
+        "not_null(indicator_id)",
+        "accepted_values(indicator_id)",
+    ),
+    "stg_worldbank_countries": (
+        "not_null(country_id)",
+        "not_null(country_name)",
+        "not_null(region_name)",
+        "unique(country_id)",
+    ),
+    "stg_worldbank_indicators": (
+        "not_null(country_id)",
+        "not_null(year)",
+        "unique(country_id, year)",
+    ),
+    "country_mapping": (
+        "not_null(retail_country)",
+        "not_null(mapping_type)",
+        "accepted_values(mapping_type)",
+        "unique(retail_country)",
+    ),
+    "stg_glue_recon": (
+        "not_null(period)",
+        "unique(period)",
+    ),
+    "glue_recon_raw": (
+        "not_null(recon_record)",
+    ),
+}
+DECLARED = ", ".join(
+    f"('{table}', '{name.split(' : ')[0]}', '{name.split(' : ')[1] if ' : ' in name else 'error'}')"
+    for table, names in DECLARED_CHECKS.items()
+    for name in names
+)
+
+
 def converted(columns: str, extra: str = "") -> str:
     return sql(
         "landed",
@@ -399,6 +516,12 @@ ORACLES: dict[str, str] = {
         f"""SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id, country,
          'batch_historical' AS source_system, CAST(invoice_date AS DATE) AS event_date FROM raw WHERE NOT ({UNDATED})""",
     ),
+    "csv_source_scan_uci": sql(
+        "raw",
+        f"""SELECT invoice_no, stock_code, description || chr(10) || 'said "new"' AS description, quantity, invoice_date, unit_price,
+         customer_id, country, 'batch_historical' AS source_system, CAST(invoice_date AS DATE) AS event_date
+  FROM raw WHERE NOT ({UNDATED})""",
+    ),
     "source_profile": sql(
         "raw",
         f"""SELECT count(*) AS row_count, CAST(min(invoice_date) AS DATE) AS first_date,
@@ -463,6 +586,13 @@ ORACLES: dict[str, str] = {
         """SELECT path_period AS period, CASE WHEN is_cut THEN 'corrupt' ELSE 'undated' END AS reason,
          count(*) AS line_count FROM landed WHERE is_cut OR is_undated GROUP BY ALL""",
     ),
+    "quarantine_after_rerun": sql(
+        "landed",
+        """SELECT path_period AS period, CASE WHEN is_cut THEN 'corrupt' ELSE 'undated' END AS reason,
+         count(*) AS line_count FROM landed
+  WHERE (is_cut OR is_undated) AND CAST(substr(path_period, 6, 2) AS INTEGER) % 2 = 1 GROUP BY ALL""",
+    ),
+    "convert_effort": sql("landed", "SELECT DISTINCT path_period AS period, true AS has_bytes, true AS has_seconds FROM landed"),
     "raw_orders_load": sql(
         "raw",
         f"SELECT {ORDER_FIELDS}, partition_year, partition_month, TIMESTAMP '2001-12-01' AS loaded_at, "
@@ -813,4 +943,25 @@ ORACLES: dict[str, str] = {
          rows_written_back AS snowflake_loaded, rows_written_back AS dbt_staging_rows,
          CAST(0 AS BIGINT) AS s3_to_snowflake_diff, CAST(0 AS BIGINT) AS snowflake_to_staging_diff, 'ok' AS recon_status"""
     ),
+    "full_run_tables": sql(
+        "landed mapping",
+        f"""SELECT *, CASE WHEN ({NEGATIVE_MONTHS}) > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS state FROM (
+  SELECT t AS table_name, (SELECT count(*) FROM landed WHERE NOT is_cut AND NOT is_undated) AS row_count
+  FROM (VALUES ('raw_orders'), ('stg_orders')) AS x(t)
+  UNION ALL SELECT 'fct_order_lines', count(*) FROM (SELECT DISTINCT invoice_no, stock_code, quantity, invoice_date, unit_price
+    FROM landed WHERE NOT is_cut AND NOT is_undated)
+  UNION ALL SELECT 'fct_orders', count(*) FROM (SELECT DISTINCT invoice_no FROM landed WHERE NOT is_cut AND NOT is_undated)
+  UNION ALL SELECT 'fct_revenue_monthly', count(*) FROM (SELECT DISTINCT path_period, country FROM landed WHERE NOT is_cut AND NOT is_undated)
+  UNION ALL SELECT 'dim_customer', count(DISTINCT customer_id) FROM landed WHERE NOT is_cut AND NOT is_undated
+  UNION ALL SELECT 'dim_product', count(*) FROM (SELECT DISTINCT stock_code FROM landed WHERE NOT is_cut AND NOT is_undated)
+  UNION ALL SELECT 'dim_country', count(*) FROM mapping
+  UNION ALL SELECT t, (SELECT count(DISTINCT path_period) FROM landed)
+  FROM (VALUES ('stg_glue_recon'), ('fct_pipeline_reconciliation')) AS x(t))""",
+    ),
+    "declared_checks": sql(
+        "landed",
+        f"""SELECT table_name, check_name, severity,
+         CASE WHEN check_name = 'accepted_range(total_revenue)' THEN ({NEGATIVE_MONTHS}) ELSE CAST(0 AS BIGINT) END AS violations
+  FROM (VALUES {DECLARED}) AS x(table_name, check_name, severity)""",
+    ),
 }

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.env import Env
 from linetally.fixed_values import BATCH, LINE_TYPES, REVENUE_TOLERANCE, STREAM
 from linetally.functions.columns import money, money_out, path_number, total_units
 from linetally.operators import checks as C
 from linetally.operators import diff as D
+from linetally.plans import catalog
 from linetally.plans import convert as V
 from linetally.plans import marts as M
 from linetally.plans import pipeline as P
@@ -81,6 +81,23 @@ def csv_source_scan(w):
     return CSV.split_undated(_csv(w))[0]
 
 
+@query
+def csv_source_scan_uci(w):
+    """The same lines as a file with month-first dates, quoted line breaks and doubled quotes."""
+    path = w.scratch("source_csv_uci")
+    w.raw.select(
+        F.col("invoice_no").alias("InvoiceNo"),
+        F.col("stock_code").alias("StockCode"),
+        F.concat("description", F.lit('\nsaid "new"')).alias("Description"),
+        F.col("quantity").alias("Quantity"),
+        F.when(A.is_undated(), F.lit("17850")).otherwise(F.date_format("invoice_date", "M/d/yyyy H:mm:ss")).alias("InvoiceDate"),
+        F.col("unit_price").alias("UnitPrice"),
+        F.concat("customer_id", F.lit(".0")).alias("CustomerID"),
+        F.col("country").alias("Country"),
+    ).write.option("header", "true").option("encoding", "ISO-8859-1").option("escape", '"').option("ignoreLeadingWhiteSpace", "false").csv(path)
+    return CSV.split_undated(CSV.prepare(CSV.scan_csv(w.spark, path)))[0]
+
+
 @query
 def source_profile(w):
     return CSV.profile(CSV.split_undated(_csv(w))[0])
@@ -190,6 +207,25 @@ def undated_quarantine(w):
     return aside.groupBy("period", "reason").agg(F.count("line").alias("line_count"))
 
 
+@query
+def quarantine_after_rerun(w):
+    """All periods are converted, the bad lines of even months are mended, and all are converted again."""
+    staged, audit, aside, mended = (w.scratch(x) for x in ("staged", "audit", "aside", "mended"))
+    V.convert_months(w.spark, w.landing, staged, audit, w.periods, quarantine=aside)
+    parsed = L.parse_lines(L.read_lines(w.spark, w.landing).withColumn("copy", F.col("value")))
+    fine = parsed.where(F.col("line").isNull() | (F.substring("path_period", 6, 2).cast("int") % 2 == 1))
+    fine.select(F.col("copy").alias("value"), "event_date").write.partitionBy("event_date").text(mended)
+    V.convert_months(w.spark, mended, staged, audit, w.periods, quarantine=aside)
+    left = w.spark.read.schema("reason string, line string, period string").json(aside)
+    return left.groupBy("period", "reason").agg(F.count("line").alias("line_count"))
+
+
+@query
+def convert_effort(w):
+    """Bytes and seconds in the record of every conversion: present and above zero."""
+    return w.converted.select("period", (F.col("output_bytes") > 0).alias("has_bytes"), (F.col("job_run_seconds") > 0).alias("has_seconds"))
+
+
 def _stage(rows: DataFrame, staged: str) -> None:
     """RAW rows back to staged files."""
     body = [c for c in ORDER_FIELDS]
@@ -811,10 +847,23 @@ def stream_batch_recon(w):
 @query
 def full_run(w):
     """Every period from the landing zone to the marts; what the reconciliation then shows."""
-    env = Env("run", w.scratch("run"), w.env.salt, landing_root=w.landing)
-    copies = {env.raw_countries: w.raw_countries, env.raw_indicators: w.raw_indicators}
-    for path, df in copies.items():
-        df.write.parquet(path)
-    w.mapping.write.option("header", "true").csv(env.country_mapping)
-    report = P.run(w.spark, env, w.periods, A.FIRST_LOAD, raise_on_failure=False)
-    return report.table()
+    return w.finished[1].table()
+
+
+@query
+def full_run_tables(w):
+    """How the whole run ended, and the rows of its tables as a SQL user sees them."""
+    env, report = w.finished
+    found = catalog.tables(w.spark, env)
+    names = ("raw_orders", "stg_orders", "fct_order_lines", "fct_orders", "fct_revenue_monthly", "dim_customer", "dim_product")
+    out = None
+    for name in (*names, "dim_country", "stg_glue_recon", "fct_pipeline_reconciliation"):
+        part = found[name].agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.lit(report.state).alias("state"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def declared_checks(w):
+    """Every declared check on the tables of the whole run."""
+    return P.declared_checks(catalog.tables(w.spark, w.finished[0]))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linetally.env import Env, scratch_path, written
-from linetally.plans import marts, staging
+from linetally.plans import marts, pipeline, staging
 from linetally.plans.convert import convert_months
 from linetally.sources import reference
 from linetally.sources.files import write_periods
@@ -89,6 +89,15 @@ class Warehouse:
             quarantine=self.env.quarantine,
         )
 
+    @functools.cached_property
+    def finished(self) -> tuple[Env, pipeline.RunReport]:
+        """Every period taken from the landing zone to the marts, in an environment of its own."""
+        env = Env("run", self.scratch("run"), self.env.salt, landing_root=self.landing)
+        self.raw_countries.write.parquet(env.raw_countries)
+        self.raw_indicators.write.parquet(env.raw_indicators)
+        self.mapping.write.option("header", "true").csv(env.country_mapping)
+        return env, pipeline.run(self.spark, env, self.periods, adapter.FIRST_LOAD, raise_on_failure=False)
+
     # ------------------------------------------------------------------ audit
 
     @functools.cached_property
