@@ -75,3 +75,11 @@ def test_money_sum_does_not_depend_on_order(spark):
         df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
         sums.add(df.agg(K.money_out(F.sum(K.money("v")))).first()[0])
     assert sums == {30.0}
+
+
+def test_totals_beyond_a_bigint(spark):
+    df = spark.createDataFrame([(i % 2, 9_000_000_000_000_000_000 * (1 if i % 3 else -1)) for i in range(30)], "k int, v long")
+    want = sum(9_000_000_000_000_000_000 * (1 if i % 3 else -1) for i in range(30))
+    assert int(df.agg(K.total_units(F.col("v")).alias("t")).first().t) == want
+    folded = df.groupBy("k").agg(*K.unit_sums(F.col("v"), "x"))
+    assert int(folded.agg(K.folded_units("x").alias("t")).first().t) == want

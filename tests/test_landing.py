@@ -100,3 +100,9 @@ def test_set_aside_keeps_the_text(spark, tmp_path):
         {"period": "2011-01", "reason": "corrupt", "line": "{bad"},
         {"period": "2011-01", "reason": "undated", "line": undated},
     ]
+
+
+def test_numbers_that_are_not_finite_are_corrupt(spark, tmp_path):
+    write_day(tmp_path, "2011-01-04", landed(), landed(unit_price=float("nan")), landed(unit_price=float("inf")))
+    parsed = parse_lines(read_lines(spark, str(tmp_path)))
+    assert parsed.where("is_corrupt").count() == 2 and good(parsed).count() == 1

@@ -162,3 +162,12 @@ def test_calendar(spark):
     }
     assert (days[1]["day_name"], days[1]["is_weekend"], days[1]["is_month_end"]) == ("Monday", False, True)
     assert days[2]["is_month_end"] is False
+
+
+def test_order_lines_are_folded_by_hash(spark, tmp_path):
+    columns = "invoice_no string, stock_code string, customer_id string, country string, period string, invoice_date timestamp_ntz, quantity int, line_amount double, is_cancellation boolean"
+    spark.createDataFrame([], columns).write.parquet(str(tmp_path / "lines"))
+    plan = M.fct_orders(spark.read.parquet(str(tmp_path / "lines")))._jdf.queryExecution().sparkPlan().toString()
+    # from the scan up, the first aggregate is a hash aggregate
+    aggregates = [line for line in plan.splitlines() if "Aggregate(" in line]
+    assert "HashAggregate" in aggregates[-1] and "SortAggregate" not in aggregates[-1]

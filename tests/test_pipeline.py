@@ -131,3 +131,25 @@ def test_next_month_and_rerun_leave_the_first_alone(spark, finished):
     assert [(r.period, r.recon_status) for r in report.table().collect()] == [("2011-01", "ok"), ("2011-02", "ok")]
     january = read_stg(spark, env.stg_orders).where("period = '2011-01'")
     assert january.drop("source_file").count() == len(before)
+
+
+def test_reader_views_need_a_salt(spark):
+    with pytest.raises(ValueError, match="salt"):
+        R.reader_views({}, Env("dev", "/d", ""))
+
+
+def test_declared_checks_cover_all_tables(spark, finished):
+    from linetally.plans.catalog import tables
+
+    found = tables(spark, finished[0])
+    checks = P.declared_checks(found).collect()
+    assert {r.table_name for r in checks} == {*P.row_checks(), *P.UNIQUE_KEYS}
+    assert all(r.violations == 0 for r in checks if r.severity == "error")
+    del found["stg_glue_recon"]
+    with pytest.raises(LookupError, match="stg_glue_recon"):
+        P.declared_checks(found)
+
+
+def test_report_after_a_failed_conversion(spark, finished):
+    report = P.run(spark, finished[0], ["1999-01"], AT, raise_on_failure=False)
+    assert [(r.period, r.recon_status) for r in report.table().collect()] == [("1999-01", "no_source_lines")]

@@ -139,3 +139,19 @@ def test_mapping_seed_roundtrip(spark, tmp_path):
         43, 34, 5, 1, 3,
     )
     assert all((r.worldbank_country_id is None) == (r.mapping_type == "unmappable") for r in rows)
+
+
+def test_repeated_page_is_refused(spark, tmp_path):
+    save(tmp_path, "gdp", page(1, 1, figure("FRA", 1)), page(1, 1, figure("FRA", 1)))
+    with pytest.raises(R.ReferenceDataError, match="gdp"):
+        R.require_complete(R.read_pages(spark, str(tmp_path)))
+
+
+def test_every_landed_dataset_is_loaded(spark, tmp_path):
+    save(tmp_path / "pages", "countries", page(1, 1, country("FRA")))
+    for dataset, code in (("gdp", "NY.GDP.MKTP.CD"), ("population", "SP.POP.TOTL"), ("area", "AG.LND.TOTL.K2")):
+        save(tmp_path / "pages", dataset, page(1, 1, figure("FRA", 4, code)))
+    pages, landed, now = R.read_pages(spark, str(tmp_path / "pages")), str(tmp_path / "landed"), F.current_timestamp()
+    R.land_reference(R.flatten_countries(pages, now), R.flatten_indicators(pages, now), landed)
+    R.load_indicators(spark, landed, str(tmp_path / "raw"))
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 3
