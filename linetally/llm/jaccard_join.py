@@ -8,7 +8,7 @@ shingles: with sizes r <= s, in no more than (r + s) / 7. The join finds every s
   the larger sets.
 * **Segments.** In a group the universe is cut by hash into m segments. A pair differs in at most H of them, so of the N
   segments in which a set has shingles, it shares at least N - H subsets with each partner.
-* **Cost-based allocation.** A set may leave out its most frequent subsets, up to a quarter of its slack N - H - 1, and
+* **Cost-based allocation.** A set may leave out its most frequent subsets, up to two fifths of its slack N - H - 1, and
   a pair still shares a known number of the rest. What is frequent is read from a count of all shingles in a fixed
   sketch. Sets with few segments in use (N <= H) index empty segments, too, among themselves. The smallest sets, where H
   is 1, index the whole set against its one-deletion neighbourhood; for larger sets the neighbourhoods (a row for each
@@ -16,8 +16,9 @@ shingles: with sizes r <= s, in no more than (r + s) / 7. The join finds every s
 * **Counting.** Pairs that share fewer index entries than they must are dropped; the others are verified on the texts.
 
 Equal sets are one class throughout and joined as one. Large groups of near copies are not expanded: sets are first
-compared with the smallest set that has the same minimum hash (three hash functions), and links found so make
-components; the index then only yields pairs of different components, as a pair inside one would add nothing. Index
+compared with one set that has the same minimum hash, and links found so make components. Three rounds with other hash
+functions and other pivots leave few near copies apart. The index then only yields pairs of different components, as a
+pair inside one would add nothing. Index
 entries travel packed, as rows of a few thousand sets for a bucket of the index.
 
 Null, empty and blank texts have empty sets, are linked with nothing, and are their own component. With one to four
@@ -47,11 +48,14 @@ SHINGLE = 5
 STEP = 2 << 20
 #: Cells of the sketch that counts shingles: 16 MB.
 SKETCH = 1 << 22
-PIVOT_HASHES = 3
+PIVOT_ROUNDS = ((0, 1, 2), (3, 4, 5, 6, 7), (8, 9, 10, 11, 12, 13, 14, 15))
+PIVOT_HASHES = 16
 #: Entries of the index that a bucket should have.
-BUCKET_ROWS = 700_000
+BUCKET_ROWS = 1_200_000
 #: Rows (a few numbers each) that are broadcast at most.
 MOST_ROWS = 500_000
+#: The part of its slack up to which a set leaves out frequent subsets; under a half, so that some are shared.
+LEFT = (2, 5)
 NO_ID = -(1 << 63)
 
 
@@ -146,7 +150,7 @@ def index_entries(values: np.ndarray, at: np.ndarray, sketch: np.ndarray) -> tup
             used = np.bincount(of, minlength=len(sets))
             spare = used - bound
             slack = np.where(tiny, 1, spare)
-            left_out = np.where(tiny, 0, np.maximum(0, (spare - 1) // 4))
+            left_out = np.where(tiny, 0, np.maximum(0, (spare - 1) * LEFT[0] // LEFT[1]))
             key = mixed(mixed(subset + salt[of]) + seg.astype(np.uint64))
             rank_order = np.lexsort((key, -cost.astype(np.int64), of))
             begin = np.searchsorted(of[rank_order], np.arange(len(sets)))
@@ -327,13 +331,24 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     classes = written(
         sets.where("n > 0").groupBy("key").agg(F.min("id").alias("class"), F.first("least").alias("least"), F.count(F.lit(1)).alias("copies")), "join-classes"
     )
-    # sets of one minimum hash against the smallest of them
-    hashed = classes.select("class", F.posexplode("least").alias("which", "hash"))
-    pivots = written(hashed.groupBy("which", "hash").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("sets")).where("sets > 1"), "join-pivots")
-    near = hashed.join(pivots, ["which", "hash"]).where(F.col("class") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    near = written(near, "join-near")
-    links = written(_linked(near, _texts_of(rows, near)), "join-links")
-    found = components(links)
+    # sets of one minimum hash against one of them; later rounds take other hashes and other pivots, for those left apart
+    links, found = None, None
+    for turn, slots in enumerate(PIVOT_ROUNDS):
+        hashed = classes.select("class", F.posexplode("least").alias("which", "hash")).where(F.col("which").isin(list(slots)))
+        if found is None:
+            hashed = hashed.withColumn("component", F.col("class"))
+        else:
+            known = found.select(F.col("v").alias("class"), "label")
+            hashed = hashed.join(known, "class", "left").withColumn("component", F.coalesce("label", "class")).drop("label")
+        turns = (F.col("class"), F.bitwise_not("class"), F.xxhash64("class"))
+        first = F.min(F.struct(turns[turn % 3].alias("place"), F.col("class").alias("pivot"), F.col("component").alias("of"))).alias("p")
+        groups = hashed.groupBy("which", "hash").agg(first, F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        pivots = written(groups.select("which", "hash", "p.pivot", "p.of"), "join-pivots")
+        near = hashed.join(pivots, ["which", "hash"]).where(F.col("component") != F.col("of"))
+        near = written(near.select(F.least("pivot", "class").alias("a"), F.greatest("pivot", "class").alias("b")).distinct(), "join-near")
+        new = written(_linked(near, _texts_of(rows, near)), "join-links")
+        links = new if links is None else written(links.unionByName(new), "join-links")
+        found = components(links)
     # what the index has to know of each document: the ones without a class of their own are left out
     copies = sets.join(classes.where("copies > 1").select("key", "class"), "key").select("id", "class")
     copies = copies.groupBy("id").agg(F.min("class").alias("class")).where(F.col("id") != F.col("class")).select("id", F.lit(None).cast("long").alias("component"))
