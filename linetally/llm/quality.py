@@ -37,7 +37,7 @@ from linetally.llm.words import Words, mixed, word_bytes
 MOST_POSITIVE = 4_000
 MOST_UNLABELLED = 8_000
 #: Training steps of 512 rows at least, also on few rows.
-LEAST_STEPS = 600
+LEAST_STEPS = 250
 STEP = 2 << 20
 #: Byte classes: lower, upper, digit, space, line end, full stop and comma, other marks, beyond ASCII.
 CLASSES = 8
