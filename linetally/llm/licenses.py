@@ -1,14 +1,16 @@
 """License scan: fixed phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text. A template is met where the block holds at least ``threshold`` of the template's distinct
-words (containment). The join is exact and compares few pairs:
+A block is a run of lines of a text that follow each other, none of them without words. A template is met where the block
+holds at least ``threshold`` of the template's distinct words (containment) and no shorter run inside it does: that is a
+line, or the lines over which a template wraps. The join is exact and compares few pairs. Its filters look at paragraphs,
+the longest such runs:
 
 * words are ordered by how often they occur in the whole corpus, rarest first (one counting pass over all texts; only
   the templates' words matter);
-* prefix filter: of a template with n words of which k have to be met, one of the n - k + 1 rarest is in the block;
-* length filter: the block has at least k words;
+* prefix filter: of a template with n words of which k have to be met, one of the n - k + 1 rarest is in the paragraph;
+* length filter: the paragraph has at least k words;
 * positional filter: the words after the first common one, on either side, suffice for k;
-* what is left is counted in full.
+* what is left is counted in full, along the paragraph's lines.
 
 Null text counts as empty: no words, null places, empty labels, score 0. A line of any length is one block. Rows that
 repeat are scanned each for itself. An empty table gives an empty result. Other columns are not looked at.
@@ -17,6 +19,7 @@ repeat are scanned each for itself. An empty table gives an empty result. Other
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,14 +122,39 @@ def license_scan(
     rare[list(starts)] = True
     base = [([vocabulary.code[w] for w in text.split()], label) for text, label in phrases]
 
-    def blocks_of(codes: np.ndarray, lines: np.ndarray) -> Iterator[tuple[int, int, str, float]]:
-        """Blocks that meet a template: first and last word (in the run), label, containment."""
+    def runs(at: np.ndarray, lines: np.ndarray, ranks: list[int], need: int) -> Iterator[tuple[int, int, int]]:
+        """Shortest runs of lines that hold ``need`` of the ranks: first and last line, ranks held. ``at``: a rank a word, or -1."""
+        own = np.flatnonzero(np.isin(at, ranks))
+        held: Counter[int] = Counter()
+        left, last = 0, -1
+        ends = np.append(np.flatnonzero(np.diff(lines[own])) + 1, len(own)).tolist()
+        words, rows = at[own].tolist(), lines[own].tolist()
+        for start, end in zip([0, *ends[:-1]], ends, strict=True):
+            held.update(words[start:end])
+            best = None
+            while len(held) >= need:
+                best = rows[left], rows[start], len(held)
+                row = rows[left]
+                while left < end and rows[left] == row:
+                    held[words[left]] -= 1
+                    if not held[words[left]]:
+                        del held[words[left]]
+                    left += 1
+            if best and best[0] > last:
+                last = best[0]
+                yield best
+
+    def blocks_of(codes: np.ndarray, lines: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int, str, float]]:
+        """Blocks that meet a template: first and last word (in the slice), label, containment."""
         known = np.flatnonzero(codes >= 0)
         hits = known[rare[order[codes[known]]]]
-        for line in np.unique(lines[hits]):
-            a, b = np.searchsorted(lines, [line, line + 1])
-            got = codes[a:b]
-            block = np.unique(order[got[got >= 0]]).tolist()
+        # paragraphs: lines with words that follow each other in one text
+        step = np.diff(lines)
+        paragraph = np.concatenate([[0], np.cumsum((step > 1) | (np.diff(doc) > 0))]) if len(lines) else lines
+        for p in np.unique(paragraph[hits]):
+            a, b = np.searchsorted(paragraph, [p, p + 1])
+            got = np.where(codes[a:b] >= 0, order[codes[a:b]], -1)
+            block = np.unique(got[got >= 0]).tolist()
             tried = set()
             for j, r in enumerate(block):
                 for t, i in starts.get(r, ()):
@@ -136,9 +164,10 @@ def license_scan(
                     tried.add(t)
                     if 1 + min(len(ranks) - i - 1, len(block) - j - 1) < need:
                         continue
-                    common = len(set(ranks).intersection(block))
-                    if common >= need:
-                        yield int(a), int(b) - 1, label, common / len(ranks)
+                    if len(set(ranks).intersection(block)) >= need:
+                        for first, last, common in runs(got, lines[a:b], ranks, need):
+                            x, y = np.searchsorted(lines[a:b], [first, last + 1])
+                            yield int(a + x), int(a + y) - 1, label, common / len(ranks)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = word_bytes("alnum")
@@ -159,7 +188,7 @@ def license_scan(
                             places[d].append(int(i - found.first[d]))
                             labels[d].add(label)
                 blocks: list[list[dict]] = [[] for _ in range(n)]
-                for a, b, label, share in blocks_of(codes, found.lines()):
+                for a, b, label, share in blocks_of(codes, found.lines(), found.doc):
                     d = found.doc[a]
                     blocks[d].append({"label": label, "first_word": a - int(found.first[d]), "last_word": b - int(found.first[d]), "containment": share})
                 yield pa.RecordBatch.from_arrays(

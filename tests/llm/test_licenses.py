@@ -1,4 +1,5 @@
 import math
+import random
 import re
 
 from linetally.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, license_scan
@@ -52,3 +53,45 @@ def test_words_do_not_run_over_texts(frame):
 
 def test_empty(frame):
     assert license_scan(frame([])).count() == 0
+
+
+def by_lines(text):
+    """Every run of lines with words that meets a template while no shorter run inside it does."""
+    found, lines = [], [words_of(x) for x in (text or "").split("\n")]
+    for template, label in TEMPLATES:
+        need = set(template.split())
+        least = math.ceil(THRESHOLD * len(need) - 1e-9)
+        met = {
+            (i, j): len(need.intersection(sum(lines[i : j + 1], []))) for i in range(len(lines)) for j in range(i, len(lines)) if all(lines[i : j + 1])
+        }
+        met = {k: n for k, n in met.items() if n >= least}
+        for (i, j), n in met.items():
+            if not any(i <= k and m <= j and (k, m) != (i, j) for k, m in met):
+                found.append((label, sum(map(len, lines[:i])), sum(map(len, lines[: j + 1])) - 1, n / len(need)))
+    return sorted(found)
+
+
+def test_templates_that_wrap(frame):
+    layouts = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software",
+        "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted",
+        "mpl": "/* This Source Code Form is subject to the terms of the Mozilla Public\r\n * License, v. 2.0.",
+        "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General\nPublic License as published",
+        "all-rights-reserved": "Copyright (c) 2020 Somebody\nAll rights reserved.",
+    }
+    rows = [(i, f"Other words before\n{t}\nother words after") for i, t in enumerate(layouts.values())]
+    got = {r["doc_id"]: r["labels"] for r in license_scan(frame(rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == list(layouts)
+    apart = [(1, "Copyright\n\nAll rights reserved"), (2, "Copyright"), (3, "All rights reserved")]
+    assert all(r["labels"] == "" for r in license_scan(frame(apart)).collect())
+
+
+def test_wrapped_same_as_brute_force(frame):
+    rng = random.Random(6)
+    rows = []
+    for i in range(150):
+        words = [w for _ in range(rng.randint(1, 3)) for w in rng.choice(TEMPLATES)[0].split() + ["x"] * rng.randint(0, 3)]
+        rows.append((i, "".join(w + rng.choice([" ", " ", " ", "\n", " \n", "\n\n" if rng.random() < 0.2 else " "]) for w in words)))
+    got = {r["doc_id"]: sorted(tuple(b) for b in r["blocks"]) for r in license_scan(frame(rows)).collect()}
+    assert got == {i: by_lines(t) for i, t in rows}
+    assert sum(map(len, got.values())) > 100
