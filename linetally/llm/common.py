@@ -70,6 +70,17 @@ def held_out(doc_id: str, modulus: int, held: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == held, F.lit(False))
 
 
+def last_drawn(most: int, rows: int) -> int:
+    """The greatest 63-bit hash that is drawn if about ``most`` of so many rows are to be; the greatest of all where
+    there are no more rows."""
+    return most * (1 << 63) // max(1, rows, most) - 1
+
+
+def hash_63(*columns: str | Column) -> Column:
+    """A hash from 0 to 2^63 - 1."""
+    return F.xxhash64(*columns).bitwiseAND(F.lit((1 << 63) - 1))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column, one after another, and the n + 1 offsets of its rows; null is empty."""
     if pa.types.is_string(column.type):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linetally.llm.common import ship, slices
+from linetally.llm.common import hash_63, last_drawn, ship, slices
 from linetally.llm.words import Words, mixed
 
 MOST_ROWS = 400
@@ -253,8 +253,8 @@ def trained(docs: DataFrame, learns: Column, most_rows: int = MOST_ROWS, most_wo
     counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not counts:
         return None
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, int(min(1.0, most_rows / n) * (1 << 20)))])
-    drawn = usable.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) < share[F.col("lang")])
+    last = F.create_map(*[x for lang, n in sorted(counts.items()) for x in (F.lit(lang), F.lit(last_drawn(most_rows, n)).cast("long"))])
+    drawn = usable.where(hash_63("doc_id", F.length("text")) <= last[F.col("lang")])
     part = F.array_join(F.slice(F.split("text", " "), 1, most_words), " ")
     rows = drawn.select(part.alias("text"), "lang").toPandas().sort_values(["lang", "text"])
     return fit(rows["text"].tolist(), rows["lang"].tolist())

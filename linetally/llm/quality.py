@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from linetally.llm.common import ship, slices, utf8
+from linetally.llm.common import hash_63, last_drawn, ship, slices, utf8
 from linetally.llm.words import Words, mixed, word_bytes
 
 MOST_POSITIVE = 4_000
@@ -207,7 +207,7 @@ def fit(pos: np.ndarray, unl: np.ndarray, prior: float | None = None, seed: int
 def _drawn(ids: DataFrame, most: int) -> DataFrame:
     """About ``most`` ids at most, by a hash of the id."""
     n = ids.count()
-    return ids if n <= most else ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(most / n * (1 << 20)))
+    return ids if n <= most else ids.where(hash_63("doc_id") <= F.lit(last_drawn(most, n)))
 
 
 def trained(

@@ -68,3 +68,11 @@ def test_learns_from_marked_rows_only(spark):
     found = trained(docs, F.col("doc_id") % 200 < 100)
     assert found.languages == sorted(VOICES)
     assert trained(docs.limit(0), F.lit(True)) is None
+
+
+def test_many_rows_of_a_language_still_teach(spark):
+    rows = spark.range(9_000_000).withColumnRenamed("id", "doc_id")
+    a = F.col("doc_id") % 2 == 0
+    docs = rows.select("doc_id", F.when(a, "banana lama kara tala").otherwise("gold wolk storm torf").alias("text"), F.when(a, "aa").otherwise("oo").alias("lang"))
+    found = trained(docs, F.lit(True), most_rows=4)
+    assert found is not None and found.languages == ["aa", "oo"]

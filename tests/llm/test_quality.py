@@ -5,7 +5,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from linetally.llm.quality import DIMENSIONS, estimate_prior, features, fit, scored, trained, with_score
+from linetally.llm.common import hash_63, last_drawn
+from linetally.llm.quality import DIMENSIONS, _drawn, estimate_prior, features, fit, scored, trained, with_score
 
 
 def good(rng):
@@ -59,3 +60,11 @@ def test_edges(frame, edge):
     assert got.columns == [*docs.columns, "score_2"] and len(docs.columns) == 10
     assert all(0 <= r["score_2"] <= 1 for r in got.collect())
     assert scored(frame([]), model).count() == 0
+
+
+def test_many_rows_still_give_a_sample(spark):
+    n = _drawn(spark.range(9_000_000).withColumnRenamed("id", "doc_id"), 8).count()
+    assert 1 <= n <= 24
+    assert _drawn(spark.range(500).withColumnRenamed("id", "doc_id"), 500).count() == 500
+    assert last_drawn(5, 5) == last_drawn(5, 0) == (1 << 63) - 1 and last_drawn(4_000, 10**13) > 10**9
+    assert spark.range(1000).agg(F.min(hash_63("id"))).first()[0] >= 0
