@@ -34,7 +34,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced-seed hashing, on built-in expressions only.
 
-Words are runs of letters and digits, in lower case. A seed is a mask over consecutive words: at each position the
+Words are runs of letters and digits, in lower case; in scripts without blanks each letter is one. A seed is a mask over consecutive words: at each position the
 words under the mask's ones are hashed and the others ignored, so a substituted word breaks only the seeds that look at
 it. Seeds of the benchmark's items are joined with the seeds at every position of every text (three masks each). A
 common seed puts an item on a diagonal of a text: its first word would stand at that place.
@@ -13,8 +13,9 @@ Texts are never shuffled in the first pass: positions are narrow rows that meet
 task (broadcast up to ``most_seeds``; beyond it both sides are shuffled by seed). Hits are kept per text hash, so copies
 share them, and meet the texts again by that hash (broadcast up to ``most_hits`` texts with hits, shuffled beyond).
 
-Null and empty texts and items overlap with nothing. An item with fewer words than the longest mask spans (12) is no
-evidence and never found. Rows that repeat, or share an id, are judged each for itself; so are
+Null and empty texts and items overlap with nothing. An item with fewer words than the longest mask spans (12) is found
+if ``short_items`` is given, and only whole: one more mask for each such number of words looks at all of them, and all
+have to be equal. Without it such an item is no evidence. Rows that repeat, or share an id, are judged each for itself; so are
 items. Empty tables give empty results. Extra columns pass through.
 """
 
@@ -36,8 +37,15 @@ MOST_SEEDS = 1_000_000
 MOST_HITS = 200_000
 
 
+#: Thai, Lao, Burmese, Khmer, kana and Han: words are not set apart by blanks.
+_UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}"
+_WORDS = r"([\p{L}\p{N}]+)"
+_MIXED_WORDS = rf"([{_UNSPACED}&&[\p{{L}}\p{{N}}]]|[\p{{L}}\p{{N}}&&[^{_UNSPACED}]]+)"
+
+
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    low = F.lower(text)
+    return F.when(low.rlike(f"[{_UNSPACED}]"), F.regexp_extract_all(low, F.lit(_MIXED_WORDS), F.lit(1))).otherwise(F.regexp_extract_all(low, F.lit(_WORDS), F.lit(1)))
 
 
 def _once(value: Column, use) -> Column:
@@ -45,7 +53,7 @@ def _once(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _seeds(text: Column) -> Column:
+def _seeds(text: Column, masks: tuple[str, ...]) -> Column:
     """Seeds of all positions, mask after mask; places past the end hash fewer words and equal no seed of an item."""
 
     def under(mask: str, h: Column) -> Column:
@@ -53,22 +61,24 @@ def _seeds(text: Column) -> Column:
         return F.transform(h, lambda x, i: F.xxhash64(F.lit(mask), x, *[F.get(h, i + o) for o in looks]))
 
     hashes = F.transform(words_of(text), lambda w: F.xxhash64(w))
-    return _once(hashes, lambda h: F.concat(*[under(m, h) for m in MASKS]))
+    return _once(hashes, lambda h: F.concat(*[under(m, h) for m in masks]))
 
 
-def _positions(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _positions(rows: DataFrame, keys: list[str], masks: tuple[str, ...] = MASKS) -> DataFrame:
     """One row per seed: the keys, the seed, its mask and place, and the number of words."""
-    seeds = rows.select(*keys, _seeds(F.col("text")).alias("seeds"))
-    seeds = seeds.select(*keys, (F.size("seeds") / len(MASKS)).cast("int").alias("n"), F.posexplode("seeds").alias("at", "seed"))
+    seeds = rows.select(*keys, _seeds(F.col("text"), masks).alias("seeds"))
+    seeds = seeds.select(*keys, (F.size("seeds") / len(masks)).cast("int").alias("n"), F.posexplode("seeds").alias("at", "seed"))
     return seeds
 
 
-def item_seeds(benchmark: DataFrame) -> DataFrame:
-    """Seeds of the items, only those that look at whole masks: seed, item (number), place."""
+def item_seeds(benchmark: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
+    """Seeds of the items, only those that look at whole masks: seed, item (number), place. Masks without a gap are for
+    the items of just as many words."""
     at = F.col("at") % F.col("n")
     mask = (F.col("at") / F.col("n")).cast("int")
-    span = F.element_at(F.array(*[F.lit(len(m)) for m in MASKS]), mask + 1)
-    rows = _positions(benchmark, ["item"]).where("n >= %d" % SPAN)
+    span = F.element_at(F.array(*[F.lit(len(m)) for m in masks]), mask + 1)
+    whole = mask >= len(MASKS)
+    rows = _positions(benchmark, ["item"], masks).where((whole & (span == F.col("n"))) | (~whole & (F.col("n") >= SPAN)))
     return rows.where(at + span <= F.col("n")).select("seed", "item", at.alias("place"))
 
 
@@ -109,19 +119,29 @@ def _verified(text: Column, hits: Column) -> Column:
         )
 
     found = _once(words_of(text), lambda dw: F.transform(hits, lambda x: item(dw, x)))
-    need = lambda x: F.least(F.lit(LEAST_SCORE), F.ceil(F.lit(LEAST_SHARE) * x["item_words"]))
+    long_need = lambda x: F.least(F.lit(LEAST_SCORE), F.ceil(F.lit(LEAST_SHARE) * x["item_words"]))
+    need = lambda x: F.when(x["item_words"] < SPAN, x["item_words"]).otherwise(long_need(x))
     return F.when(hits.isNotNull(), F.filter(found, lambda x: x["score"] >= need(x)))
 
 
+def _whole_masks(items: DataFrame) -> tuple[str, ...]:
+    """A mask without a gap for each number of words that items under 12 words have."""
+    n = F.size(words_of(F.col("text")))
+    found = items.select(n.alias("n")).where(F.col("n").between(1, SPAN - 1)).distinct().collect()  # 11 rows at most
+    return tuple("1" * n for n in sorted(r["n"] for r in found))
+
+
 def with_overlaps(
-    docs: DataFrame, benchmark: DataFrame, overlaps: str, text_column: str = "text", most_seeds: int = MOST_SEEDS, most_hits: int = MOST_HITS
-) -> DataFrame:
+    docs: DataFrame, benchmark: DataFrame, overlaps: str, text_column: str = "text", most_seeds: int = MOST_SEEDS, most_hits: int = MOST_HITS,
+    short_items: bool = False,
+) -> DataFrame:
     """``docs`` with one more column: the items found in each text (null or empty: none), as an array of struct
     (item_id, item_words, first_word in the text, n_words looked at, n_equal, score). ``benchmark``: item_id, text."""
     items = written(benchmark.select(F.monotonically_increasing_id().alias("item"), "item_id", whole_text("text").alias("text")), "bench-items")
-    seeds = written(item_seeds(items), "bench-seeds")
+    masks = MASKS + (_whole_masks(items) if short_items else ())
+    seeds = written(item_seeds(items, masks), "bench-seeds")
     text = whole_text(text_column)
-    positions = _positions(docs.select(F.xxhash64(text).alias("key"), text.alias("text")), ["key"])
+    positions = _positions(docs.select(F.xxhash64(text).alias("key"), text.alias("text")), ["key"], masks)
     met = sized_join(positions, seeds, "seed", "inner", seeds.count(), most_seeds)
     diagonals = met.select("key", "item", (F.col("at") % F.col("n") - F.col("place")).alias("diagonal")).distinct()
     words = items.select("item", "item_id", words_of(F.col("text")).alias("words"))
@@ -133,13 +153,13 @@ def with_overlaps(
     return joined.withColumn(overlaps, _verified(text, F.col(hit))).select(*docs.columns, overlaps)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", short_items: bool = False) -> DataFrame:
     """One row per document and benchmark item found in it, at its best place."""
-    found = with_overlaps(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")), benchmark, "found")
+    found = with_overlaps(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")), benchmark, "found", short_items=short_items)
     return found.where(F.size("found") > 0).select("doc_id", F.explode("found").alias("x")).select("doc_id", "x.*")
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", short_items: bool = False) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found."""
     (found,) = fresh(docs.columns, "__found")
-    return with_overlaps(docs, benchmark, found, text_column).where(F.coalesce(F.size(found), F.lit(0)) <= 0).select(*docs.columns)
+    return with_overlaps(docs, benchmark, found, text_column, short_items=short_items).where(F.coalesce(F.size(found), F.lit(0)) <= 0).select(*docs.columns)

@@ -29,7 +29,7 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @_query
 def op1_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, substitutions tolerated."""
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 @_query

@@ -88,3 +88,33 @@ def test_no_python(frame, spark):
 def test_empty(spark, frame):
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks(frame([]), none).count() == 0 and without_leaks(frame([(1, "x")]), none).count() == 1
+
+
+def test_short_items_are_found_whole(spark, frame, tmp_path):
+    import corpus_pipeline
+    from linetally.llm.queries import QUERIES
+
+    items = [(n, " ".join(some(n))) for n in range(1, 12)] + [(20, ""), (21, None), (30, " ".join(some(30)))]
+    rows = []
+    for k, item in items:
+        w = words_of(item)
+        rows += [(len(rows), " ".join(["before", *w, "after"])), (len(rows) + 1, " ".join(w).upper()), (len(rows) + 2, " ".join(["x", *w[:-1]]))]
+    rows += [(200 + i, " ".join(some(300))) for i in range(5)]
+    held = lambda w, d: next((i for i in range(len(d) - len(w) + 1) if d[i : i + len(w)] == w), None) if w else None
+    want = {(i, k, held(words_of(t), words_of(d))) for k, t in items[:11] for i, d in rows if held(words_of(t), words_of(d)) is not None}
+    frame(rows).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = QUERIES["op1_spaced_seed_leaks"](spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["item_id"], r["first_word"]) for r in got if r["item_id"] < 20} == want and len(want) > 22
+    assert all(r["score"] == r["n_words"] == r["n_equal"] == r["item_words"] == r["item_id"] for r in got if r["item_id"] < 20)
+    kept = corpus_pipeline.without_leaks(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows} - {r["doc_id"] for r in got}
+
+
+def test_scripts_without_blanks(spark, frame):
+    item = "春眠不覚暁処処聞啼鳥夜来風雨声花落知多少"
+    rows = [(1, f"序文です。{item}と続く"), (2, item[:9] + "一" + item[10:]), (3, "春眠"), (4, "english words only"), (5, "mixed 春 " + item[:8])]
+    got = leaks(frame(rows), spark.createDataFrame([(1, item), (2, "春眠")], "item_id long, text string"), short_items=True).collect()
+    assert {(r["doc_id"], r["item_id"], r["first_word"], r["n_equal"]) for r in got} == {
+        (1, 1, 4, 20), (2, 1, 0, 19), (1, 2, 4, 2), (2, 2, 0, 2), (3, 2, 0, 2), (5, 2, 2, 2),
+    }
