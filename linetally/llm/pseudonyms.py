@@ -8,8 +8,9 @@ and whoever holds the key can turn a pseudonym back (``decrypt=True``).
 
 | kind | validated by | permuted | kept |
 |---|---|---|---|
-| card | 16 digits, Luhn | digits 2 to 15 | first digit, separators; the check digit is computed anew |
-| phone | +1 and ten digits | the ten digits | +1 and the punctuation |
+| card | 13 to 19 digits, Luhn | all digits but the first and last, a domain for each length | first digit, separators; the check digit is computed anew |
+| phone | +1 and ten digits, or the ten alone in groups | the ten digits | +1 or 1 and the punctuation |
+| phone | + and 8 to 15 digits | all digits but the country code, a domain for each code and length | country code and punctuation |
 | ssn | area, group and serial in range | area, group and serial, in range | hyphens |
 | date | a real day from 1900-01-01 to 2099-11-13 | the day | layout (year first, day/month/year, day.month.year) |
 | ip | four numbers to 255 | the 32 bits | dots |
@@ -34,8 +35,10 @@ KINDS = ("email", "card", "phone", "ssn", "date", "ip")
 #: Patterns by kind. None starts or ends inside a longer run of its characters.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}+(?![A-Za-z0-9-])",
-    "card": r"(?<![\d.-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\d-]|\.\d)",
-    "phone": r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4}(?!\d)",
+    "card": r"(?<![\d.-])(?:\d{4}(?<sep>[ -]?)\d{4}\k<sep>\d{4}\k<sep>\d{4}|\d{4}(?:-\d{4}){3}-\d{3}|\d{4}(?<gap>[ -])\d{6}\k<gap>\d{4,5}|\d{13,19})(?![\d-]|\.\d)",
+    "phone": r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4}(?!\d)"
+    r"|(?<![\d+])\+[2-9](?:[ .-]?(?:\d|\(\d{1,4}\) ?)){7,14}(?!\d)"
+    r"|(?<![\d+.-])(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)",
@@ -44,9 +47,13 @@ _FIRST_DAY, _DAYS = "1900-01-01", (250, 292)  # 73,000 days
 _LAYOUTS = {"-": "yyyy-MM-dd", "/": "dd/MM/yyyy", ".": "dd.MM.yyyy"}
 
 
+#: Country codes of one or two digits; all others have three.
+_SHORT_CODES = "^(?:7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+
+
 def _any() -> str:
-    """All kinds as alternatives; the back references are numbered anew."""
-    return "|".join(PATTERNS[k].replace("([ -]?)", r"(?<sep>[ -]?)").replace(r"\1", r"\k<sep>") for k in KINDS)
+    """All kinds as alternatives."""
+    return "|".join(PATTERNS[k] for k in KINDS)
 
 
 def _noise(key: Column, kind: str, r: Column, value: Column) -> Column:
@@ -54,7 +61,7 @@ def _noise(key: Column, kind: str, r: Column, value: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.concat_ws("|", key, F.lit(kind), r.cast("string"), value), 256), 1, 15), 16, 10).cast("long")
 
 
-def permuted(x: Column, y: Column, a: int, b: int, key: Column, kind: str, decrypt: bool = False) -> Column:
+def permuted(x: Column, y: Column, a: int | Column, b: int | Column, key: Column, kind: str | Column, decrypt: bool = False) -> Column:
     """The pair (x, y) of Z_a x Z_b moved by the keyed permutation, as a struct."""
     rounds = [F.lit(r) for r in (reversed(range(ROUNDS)) if decrypt else range(ROUNDS))]
     sign = -1 if decrypt else 1
@@ -106,12 +113,13 @@ def permuted_text(text: Column, key: Column, kind: str, decrypt: bool = False) -
     return F.aggregate(F.array(*rounds), start, step, lambda s: F.array_join(F.concat(s["x"], s["y"]), ""))
 
 
-def _luhn(digits: Column) -> Column:
-    """Luhn sum of the first fifteen digits of a card, doubled from the first."""
+def _luhn(payload: Column) -> Column:
+    """Luhn sum of a card's digits without the last, doubled from the end."""
+    digits = F.lpad(payload, 18, "0")
     total = F.lit(0)
-    for i in range(15):
+    for i in range(18):
         d = F.substring(digits, i + 1, 1).cast("int")
-        total = total + (F.when(d > 4, d * 2 - 9).otherwise(d * 2) if i % 2 == 0 else d)
+        total = total + (F.when(d > 4, d * 2 - 9).otherwise(d * 2) if i % 2 else d)
     return total
 
 
@@ -148,16 +156,28 @@ def pseudonym(value: Column, key: Column, decrypt: bool = False) -> Column:
     def result(kind: str, text: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), text.alias("text"))
 
-    def card(d: Column) -> Column:
-        def made(s: Column) -> Column:
-            payload = F.concat(F.substring(d, 1, 1), _padded(s["x"], 7), _padded(s["y"], 7))
-            return _once(payload, lambda p: F.concat(p, F.pmod(-_luhn(p), F.lit(10)).cast("string")))
+    def halves(d: Column, first: Column, size: Column, kind: Column) -> Column:
+        """``size`` digits from the place ``first``, permuted."""
+        h = F.floor(size / 2).cast("int")
+        x, y = F.substr(d, first, h).cast("long"), F.substr(d, first + h, size - h).cast("long")
+        ten = lambda n: F.pow(F.lit(10), n).cast("long")
+        pair = permuted(x, y, ten(h), ten(size - h), key, kind, decrypt)
+        return _once(pair, lambda s: F.concat(F.lpad(s["x"].cast("string"), h, F.lit("0")), F.lpad(s["y"].cast("string"), size - h, F.lit("0"))))
 
-        return _refill(value, _once(permuted(_number(d, 2, 7), _number(d, 9, 7), 10**7, 10**7, key, "card", decrypt), made))
+    def card(d: Column) -> Column:
+        n = F.length(d)
+        kind = F.when(n == 16, "card").otherwise(F.concat(F.lit("card"), n.cast("string")))
+        payload = F.concat(F.substring(d, 1, 1), halves(d, F.lit(2), n - 2, kind))
+        return _refill(value, _once(payload, lambda p: F.concat(p, F.pmod(-_luhn(p), F.lit(10)).cast("string"))))
 
     def phone(d: Column) -> Column:
-        pair = permuted(_number(d, 2, 5), _number(d, 7, 5), 10**5, 10**5, key, "phone", decrypt)
-        return _refill(value, _once(pair, lambda s: F.concat(F.lit("1"), _padded(s["x"], 5), _padded(s["y"], 5))))
+        lead = F.length(d) - 10
+        return _refill(value, F.concat(F.substr(d, F.lit(1), lead), halves(d, lead + 1, F.lit(10), F.lit("phone"))))
+
+    def abroad(d: Column) -> Column:
+        code = F.when(d.startswith("7"), 1).when(d.rlike(_SHORT_CODES), 2).otherwise(3)
+        number = lambda c: F.concat(F.substr(d, F.lit(1), c), halves(d, c + 1, F.length(d) - c, F.concat(F.lit("phone"), F.substr(d, F.lit(1), c), F.lit("/"), F.length(d).cast("string"))))
+        return _refill(value, _once(code, number))
 
     def ssn(d: Column) -> Column:
         area, group, serial = _number(d, 1, 3), _number(d, 4, 2), _number(d, 6, 4)
@@ -196,17 +216,20 @@ def pseudonym(value: Column, key: Column, decrypt: bool = False) -> Column:
     def full(kind: str) -> Column:
         return value.rlike(f"^(?:{PATTERNS[kind]})$")
 
+    stays = F.struct(F.lit(None).cast("string").alias("kind"), value.alias("text"))
+    payload = F.substr(digits, F.lit(1), F.length(digits) - 1)
     octets = F.forall(F.split(value, r"\."), lambda x: x.cast("int") <= 255)
     day = day_number(value)
     area, group, serial = _number(digits, 1, 3), _number(digits, 4, 2), _number(digits, 6, 4)
     return (
         F.when(value.contains("@"), result("email", email(value)))
-        .when(value.startswith("+"), result("phone", _once(digits, phone)))
-        .when(full("card") & (F.pmod(_luhn(digits) + F.substring(digits, 16, 1).cast("int"), F.lit(10)) == 0), result("card", _once(digits, card)))
+        .when(full("phone") & value.startswith("+") & ~value.startswith("+1"), F.when(F.length(digits).between(8, 15), result("phone", _once(digits, abroad))).otherwise(stays))
+        .when(full("phone"), result("phone", _once(digits, phone)))
+        .when(full("card") & (F.pmod(_luhn(payload) + F.substring(digits, -1, 1).cast("int"), F.lit(10)) == 0), result("card", _once(digits, card)))
         .when(full("ssn") & area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0), result("ssn", _once(digits, ssn)))
         .when(full("ip") & octets, result("ip", ip(value)))
         .when(full("date") & (day >= 0) & (day < _DAYS[0] * _DAYS[1]), result("date", date(value)))
-        .otherwise(F.struct(F.lit(None).cast("string").alias("kind"), value.alias("text")))
+        .otherwise(stays)
     )
 
 

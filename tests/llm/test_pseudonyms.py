@@ -67,3 +67,30 @@ def test_edges(frame, edge):
     assert {(i, t) for i, t in edge} <= same and (60, "4041894974608795") not in same
     assert pseudonymised(frame([]), "k").count() == 0
     assert not re.search("Python|Pandas|Arrow", got._jdf.queryExecution().toString())
+
+
+def card_of(digits):
+    return next(digits + c for c in "0123456789" if luhn(digits + c))
+
+
+CARDS = [card_of("4" + "123456789012345678"[: n - 2]) for n in range(13, 20)]
+PHONES = ["(555) 123-4567", "555-123-4567", "555.123.4567", "1-555-123-4567", "+44 20 7946 0958", "+442079460958", "+49 (0)30 901820", "+353 1 234 5678", "+7 495 123-45-67"]
+
+
+def test_other_card_lengths_and_phones(spark):
+    grouped = ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904", "-".join(CARDS[6][i : i + 4] for i in range(0, 19, 4))]
+    values = CARDS + grouped + PHONES
+    texts = [f"value {v}, here" for v in values]
+    got = run(spark, texts)
+    for v, t, (new, found) in zip(values, texts, got, strict=True):
+        assert found == {"phone" if v in PHONES else "card": 1} and new != t, v
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", t)
+        if v not in PHONES:
+            assert luhn(re.sub(r"\D", "", new)) and new[6] == v[0]
+    digits = dict(zip(values, (re.sub(r"\D", "", new) for new, _ in got), strict=True))
+    assert digits["(555) 123-4567"] == digits["555.123.4567"] == digits["1-555-123-4567"][1:] == run(spark, ["+1 555 123 4567"])[0][0].replace(" ", "")[2:]
+    assert digits["+44 20 7946 0958"] == digits["+442079460958"] and digits["+353 1 234 5678"].startswith("353")
+    assert [t for t, _ in run(spark, [t for t, _ in got], decrypt=True)] == texts
+    wrong = ["378282246310006", "4123456789013", "12345678901234567890", "+44 123", "2024.12.01", "1.2.3.4.5"]
+    wrong = [w for w in wrong if not (w.isdigit() and luhn(w))]
+    assert run(spark, wrong) == [(w, {}) for w in wrong]
