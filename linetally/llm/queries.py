@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.llm import decontaminate, exact_dedup, jaccard_join, language, licenses, packing, pseudonyms, quality, repeats, token_files
+from linetally.llm import decontaminate, exact_dedup, jaccard_join, language, licenses, manifest, packing, pseudonyms, quality, repeats, token_files
 from linetally.llm.common import held_out, learns, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -190,6 +191,87 @@ FROM texts t LEFT JOIN kept k USING (doc_id)
 """
 
 
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests, roots and proofs of all documents; a fifth of them is checked with its capitals lost."""
+    docs = table(spark, sf_dir, "documents")
+    lost = F.translate("text", ascii_uppercase, ascii_lowercase)
+    probe = manifest.row_digest(*[lost if f == "text" else F.col(f) for f in manifest.FIELDS])
+    return manifest.manifest(docs, F.when(held_out("doc_id", 5, 0), probe))
+
+
+#: Unsigned crc32 of a list of bytes; ``crc_table`` has one row, the table of the 256 remainders.
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+           lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS remainders
+)"""
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len({hex}), 2),
+  lambda k: ('0x' || substr({hex}, k + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])))"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode({value}::VARCHAR)) || ':' || {value} END"
+
+
+def _tree(name: str, rows: str, levels: int) -> str:
+    """CTEs that fold ``rows`` (tree, k from 0, digest, proof, nodes) level by level; ``name`` holds what remains."""
+    parts = [f"{name}0 AS ({rows})"]
+    for level in range(levels):
+        below = f"{name}{level}"
+        parts.append(f"""{name}{level}up AS (
+  SELECT tree, k // 16 AS k, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(digest, '' ORDER BY k)) ELSE any_value(digest) END AS digest
+  FROM {below} GROUP BY tree, k // 16
+), {name}{level + 1} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}{level}up), {name}{level}beside AS (
+  SELECT a.tree, a.k, coalesce(string_agg(b.digest, '' ORDER BY b.k), '') AS beside
+  FROM {below} a LEFT JOIN {below} b ON a.tree = b.tree AND a.k // 16 = b.k // 16 AND a.k <> b.k GROUP BY a.tree, a.k
+)""")
+    return ", ".join(parts)
+
+
+#: Levels of the oracle: sources of up to 16 ** 4 rows, up to 16 ** 2 sources.
+_HIGH, _WIDE = 4, 2
+_FOLD = """{name}fold{level} AS (
+  SELECT f.* EXCLUDE (folded), CASE WHEN b.beside = '' AND u.n = 1 THEN folded ELSE
+         sha256(substr(b.beside, 1, 64 * (place // {size} % 16)) || folded || substr(b.beside, 64 * (place // {size} % 16) + 1)) END AS folded
+  FROM {before} f JOIN {name}{level}beside b ON b.tree = f.{tree} AND b.k = f.{place} // {size}
+  JOIN {name}{level} u ON u.tree = b.tree AND u.k = b.k
+)"""
+
+
+def _folds(name: str, levels: int, before: str, tree: str, place: str) -> tuple[str, str]:
+    parts = []
+    for level in range(levels):
+        parts.append(_FOLD.replace("(place //", f"({place} //").format(name=name, level=level, size=16**level, before=before, tree=tree, place=place))
+        before = f"{name}fold{level}"
+    return ", ".join(parts), before
+
+
+_UP, _LAST = _folds("node", _HIGH, "started", "tree", "place")
+_OVER, _DONE = _folds("source", _WIDE, _LAST, "top", "source_place")
+_SIDES = [("node", i, "tree", "place") for i in range(_HIGH)] + [("source", i, "top", "source_place") for i in range(_WIDE)]
+ORACLES["op13_merkle_manifest"] = f"""
+WITH {_CRC_TABLE}, leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, sha256(concat({", ".join(_field(f) for f in manifest.FIELDS)})) AS leaf,
+         CASE WHEN {_CRC.format(hex="hex(encode(doc_id::VARCHAR))")} % 5 = 0
+              THEN sha256(concat({", ".join(_field(f if f != "text" else "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") for f in manifest.FIELDS)})) END AS probe
+  FROM documents, crc_table
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+), {_tree("node", "SELECT tree, place AS k, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM numbered", _HIGH)}
+, {_tree("source", f"SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS k, digest, count(*) OVER () AS n FROM node{_HIGH}", _WIDE)}
+, subroots AS (
+  SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS source_place FROM node{_HIGH}
+), started AS (
+  SELECT n.*, s.subroot, s.source_place, '' AS top, coalesce(probe, leaf) AS folded FROM numbered n JOIN subroots s USING (tree)
+), {_UP}, {_OVER}
+SELECT doc_id, leaf, subroot, (SELECT any_value(digest) FROM source{_WIDE}) AS root,
+       sha256({" || ".join(f"b{j}.beside" for j in range(len(_SIDES)))}) AS proof_sha256, folded AS folded_root,
+       folded = (SELECT any_value(digest) FROM source{_WIDE}) AS verified
+FROM {_DONE} f
+{" ".join(f"JOIN {name}{i}beside b{j} ON b{j}.tree = f.{tree} AND b{j}.k = f.{place} // {16**i}" for j, (name, i, tree, place) in enumerate(_SIDES))}
+"""
+
+
 _MASKED = " UNION ALL ".join(
     f"SELECT {{keys}}, i, '{m}' || ' ' || array_to_string([{', '.join(f'words[i + {o + 1}]' for o, bit in enumerate(m) if bit == '1')}], ' ') AS seed "
     f"FROM (SELECT {{keys}}, words, unnest(range(0, len(words) - {len(m) - 1})) AS i FROM {{rows}})"
