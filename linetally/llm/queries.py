@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.llm import decontaminate, exact_dedup, jaccard_join, language, licenses, manifest, packing, pseudonyms, quality, repeats, token_files
+from linetally.llm import decontaminate, exact_dedup, jaccard_join, language, licenses, manifest, packing, pseudonyms, quality, repeats, spelling, token_files
 from linetally.llm.common import held_out, learns, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -191,6 +191,12 @@ FROM texts t LEFT JOIN kept k USING (doc_id)
 """
 
 
+@_query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, their spelling variants and forms; one run in 31 loses a code point first."""
+    return spelling.variants(table(spark, sf_dir, "documents"), noise=spelling.NOISE)
+
+
 @_query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests, roots and proofs of all documents; a fifth of them is checked with its capitals lost."""
@@ -272,6 +278,44 @@ FROM {_DONE} f
 """
 
 
+ORACLES["op12_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC_TABLE}, runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= {spelling.LEAST_LENGTH} GROUP BY ALL
+), hashed AS (
+  SELECT run, times, {_CRC.format(hex="h")} AS crc
+  FROM (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs), crc_table
+), noisy AS (
+  SELECT times, CASE WHEN crc % {spelling.NOISE} = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word
+  FROM hashed
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM noisy
+  WHERE length(word) >= {spelling.LEAST_LENGTH} GROUP BY word HAVING sum(times) >= {spelling.LEAST_COUNT}
+), cuts AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS cut FROM (SELECT *, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS top_n FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= {spelling.TIMES} * w.n THEN top_n END AS form_n,
+         CASE WHEN top_n >= {spelling.TIMES} * w.n THEN (SELECT min(other) FROM near x WHERE x.word = w.word AND x.other_n = top_n) END AS form
+  FROM words w LEFT JOIN best USING (word)
+), ways AS (
+  SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+  UNION ALL
+  SELECT ways.word, forms.form FROM ways JOIN forms ON forms.word = ways.at WHERE forms.form IS NOT NULL
+)
+SELECT f.word, f.form, coalesce(r.at, f.word) AS root, f.n, f.n_near, f.form_n
+FROM forms f LEFT JOIN (
+  SELECT ways.word, ways.at FROM ways JOIN forms ON forms.word = ways.at WHERE forms.form IS NULL
+) r ON r.word = f.word
+"""
+
+
 _MASKED = " UNION ALL ".join(
     f"SELECT {{keys}}, i, '{m}' || ' ' || array_to_string([{', '.join(f'words[i + {o + 1}]' for o, bit in enumerate(m) if bit == '1')}], ' ') AS seed "
     f"FROM (SELECT {{keys}}, words, unnest(range(0, len(words) - {len(m) - 1})) AS i FROM {{rows}})"
