@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.llm import decontaminate, exact_dedup, jaccard_join, language, licenses, manifest, packing, pseudonyms, quality, repeats, spelling, token_files
+from linetally.llm import decontaminate, exact_dedup, jaccard_join, language, licenses, main_text, manifest, packing, pseudonyms, quality, repeats, spelling, token_files
 from linetally.llm.common import held_out, learns, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -191,6 +191,12 @@ FROM texts t LEFT JOIN kept k USING (doc_id)
 """
 
 
+@_query
+def op11_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents, their spelling variants and forms; one run in 31 loses a code point first."""
