@@ -22,16 +22,16 @@ come out each. An empty table gives an empty result. Other columns are not looke
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from linetally.env import written
 from linetally.llm.common import ship, slices, whole_text
@@ -44,7 +44,7 @@ TRUST = 8
 #: A marked article with this share of the page's text is the article.
 ARTICLE_SHARE = 0.25
 #: Bytes of pages held by a task at once.
-STEP = 4 << 20
+STEP = 1 << 20
 
 # Elements, roles and words in names that mark what is not the article.
 OTHER_TAGS = frozenset(
@@ -69,9 +69,9 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _DIGITS = re.compile(r"\d+")
 _SENTENCE = re.compile(r"[.!?…。！？:;,][\"'”’)»]*(?:\s|$)")
 
-NODES = "key long, key2 long, styles array<struct<id: bigint, style: bigint, n: bigint, pages: bigint>>, texts array<struct<id: bigint, text: bigint>>"
+NODES = "key long, styles array<struct<id: bigint, style: bigint, n: bigint, pages: bigint>>, texts array<struct<id: bigint, text: bigint>>"
 _NODES = pa.schema([
-    ("key", pa.int64()), ("key2", pa.int64()),
+    ("key", pa.int64()),
     ("styles", pa.list_(pa.struct([(c, pa.int64()) for c in ("id", "style", "n", "pages")]))),
     ("texts", pa.list_(pa.struct([("id", pa.int64()), ("text", pa.int64())]))),
 ])
@@ -106,13 +106,13 @@ def node_ids(page: Page, host: str) -> tuple[list[int], list[int]]:
     return ids, styles
 
 
-def text_key(block: str) -> int:
-    """Texts that differ in numbers or case only are the same content."""
-    return _hash(_DIGITS.sub("0", block).casefold())
+def text_key(node: int, block: str) -> int:
+    """A text of a node; texts that differ in numbers or case only are the same content."""
+    return _hash(f"{node}/{_DIGITS.sub('0', block).casefold()}")
 
 
 def nodes(pages: DataFrame) -> DataFrame:
-    """``pages``: key, key2, host, html. The styles and texts of each page by node."""
+    """``pages``: key, host, html. The styles and texts of each page by node."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,26 +127,25 @@ def nodes(pages: DataFrame) -> DataFrame:
                     for (node, style), n in counts.items():
                         presentation.append({"id": node, "style": style, "n": n, "pages": int(node not in seen)})
                         seen.add(node)
-                    texts = {(ids[e], text_key(page.blocks[~part])) for e, x in enumerate(page.elements) for part in x.parts if part < 0}
-                    out.append({"key": row["key"], "key2": row["key2"], "styles": presentation, "texts": [{"id": i, "text": t} for i, t in sorted(texts)]})
+                    texts = {(ids[e], text_key(ids[e], page.blocks[~part])) for e, x in enumerate(page.elements) for part in x.parts if part < 0}
+                    out.append({"key": row["key"], "styles": presentation, "texts": [{"id": i, "text": t} for i, t in sorted(texts)]})
                 yield pa.RecordBatch.from_pylist(out, schema=_NODES)
 
     return pages.mapInArrow(read, NODES)
 
 
 def importance(distinct: DataFrame) -> DataFrame:
-    """``distinct``: :func:`nodes` of distinct pages. Rows (id, text, value, styles, pages) of nodes in two or more pages.
-
-    ``text`` is 0 for a node's presentation; texts of one page only are left out, their content counts 1.
+    """``distinct``: :func:`nodes` of distinct pages. Rows (id, value, styles, pages): importance of the presentation of each
+    node in two or more pages, and of each of its texts (``id`` is that of the text, ``styles`` 0) that stands in two or more.
     """
     style = distinct.select(F.explode("styles").alias("s")).groupBy("s.id", "s.style").agg(F.sum("s.n").alias("n"), F.sum("s.pages").alias("pages"))
     node = style.groupBy("id").agg(
         F.sum("n").alias("all"), F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("styles"), F.sum(F.col("n") * F.log("n")).alias("n_log_n")
     ).where("pages > 1")
     entropy = F.greatest(F.lit(0.0), 1 - F.col("n_log_n") / (F.col("all") * F.log("all")))
-    presentation = node.select("id", F.lit(0).cast("long").alias("text"), entropy.alias("value"), "styles", "pages")
+    presentation = node.select("id", entropy.alias("value"), F.col("styles").cast("int").alias("styles"), F.col("pages").cast("int").alias("pages"))
     shared = distinct.select(F.explode("texts").alias("t")).groupBy("t.id", "t.text").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    content = shared.join(node.select("id", "pages"), "id").select("id", "text", (1 - F.log("n") / F.log("pages")).alias("value"), F.lit(0).cast("long").alias("styles"), "pages")
+    content = shared.join(node.select("id", "pages"), "id").select(F.col("text").alias("id"), (1 - F.log("n") / F.log("pages")).alias("value"), F.lit(0).alias("styles"), F.col("pages").cast("int").alias("pages"))
     return presentation.unionByName(content)
 
 
@@ -223,14 +222,14 @@ class Looks:
         return self.articles[e] > 0.5 * whole or self.heads[e] and self.size[e] > 0.6 * whole
 
 
-def kept_blocks(page: Page, ids: list[int], known: dict[tuple[int, int], tuple[float, int, int]]) -> list[str]:
+def kept_blocks(page: Page, ids: list[int], known: dict[int, tuple[float, int, int]]) -> list[str]:
     """Blocks of the branches that are important enough, in page order."""
     looks = Looks(page)
     n = len(page.elements)
     value, pages = [1.0] * n, [1] * n
     for e in range(n - 1, -1, -1):
-        presentation, styles, pages[e] = known.get((ids[e], 0), (1.0, 1, 1))
-        below = [known.get((ids[e], text_key(page.blocks[~p])), (1.0, 0, 0))[0] if p < 0 else value[p] for p in page.elements[e].parts if p < 0 or looks.size[p]]
+        presentation, styles, pages[e] = known.get(ids[e], (1.0, 1, 1))
+        below = [known.get(text_key(ids[e], page.blocks[~p]), (1.0, 0, 0))[0] if p < 0 else value[p] for p in page.elements[e].parts if p < 0 or looks.size[p]]
         if not below:
             continue
         mean = sum(below) / len(below)
@@ -267,35 +266,42 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
     (``n_chars``) and of all text of the page (``n_page_chars``)."""
     ship(pages.sparkSession)
     host = F.regexp_extract(F.lower(F.coalesce(F.col(url_column), F.lit(""))), r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    html = whole_text(html_column)
-    keyed = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), host.alias("host"), html.alias("html"))
-    keyed = keyed.withColumn("key", F.xxhash64("host", "html")).withColumn("key2", F.xxhash64("html", "host"))
+    keyed = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), host.alias("host"), whole_text(html_column).alias("html"))
+    keyed = keyed.withColumn("key", F.xxhash64("host", "html"))
 
-    found = written(nodes(keyed.select("key", "key2", "host", "html")).withColumn("serial", F.monotonically_increasing_id()), "site-nodes")
-    copies = found.groupBy("key", "key2").agg(F.min("serial").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    distinct = found.join(copies, ["key", "key2"], "left").where("least IS NULL OR least = serial").drop("least", "serial")
+    found = written(nodes(keyed.select("key", "host", "html")).withColumn("serial", F.monotonically_increasing_id()), "site-nodes")
+    copies = found.groupBy("key").agg(F.min("serial").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    distinct = found.join(copies, "key", "left").where("least IS NULL OR least = serial").drop("least", "serial")
     known = written(importance(distinct), "site-importance")
 
-    entries = F.concat(F.transform(F.array_distinct(F.transform("styles", lambda s: s["id"])), lambda i: F.struct(i.alias("id"), F.lit(0).cast("long").alias("text"))), F.col("texts"))
-    entries = distinct.select("key", "key2", F.explode(entries).alias("x")).select("key", "key2", "x.id", "x.text")
-    told = entries.join(known, ["id", "text"]).groupBy("key", "key2").agg(F.collect_list(F.struct("id", "text", "value", "styles", "pages")).alias("known"))
+    # of each page the nodes and texts that it has in common with another one
+    entries = F.concat(F.array_distinct(F.transform("styles", lambda s: s["id"])), F.transform("texts", lambda t: t["text"]))
+    entries = distinct.select("key", F.explode(entries).alias("id"))
+    told = entries.join(known, "id").groupBy("key").agg(F.collect_list(F.struct("id", "value", "styles", "pages")).alias("known"))
 
     fields = [pages.schema[id_column].dataType, pages.schema[url_column].dataType, StringType(), LongType(), LongType()]
     schema = StructType([StructField(n, t) for n, t in zip(("page_id", "url", "text", "n_chars", "n_page_chars"), fields)])
 
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = pa.array([zstandard.compress(h.encode("utf-8", "surrogatepass"), 1) for h in batch.column("html").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), packed], names=names)
+
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "html", STEP):
                 texts, sizes, wholes = [], [], []
                 for source, at, entries in zip(rows.column("html").to_pylist(), rows.column("host").to_pylist(), rows.column("known").to_pylist()):
-                    page = parsed(source)
+                    page = parsed(zstandard.decompress(source).decode("utf-8", "surrogatepass"))
                     ids, _ = node_ids(page, at)
-                    blocks = kept_blocks(page, ids, {(x["id"], x["text"]): (x["value"], x["styles"], x["pages"]) for x in entries or ()})
+                    blocks = kept_blocks(page, ids, {x["id"]: (x["value"], x["styles"], x["pages"]) for x in entries or ()})
                     texts.append("\n\n".join(blocks))
                     sizes.append(len(texts[-1]))
                     wholes.append(sum(map(len, page.blocks)))
                 columns = [rows.column("page_id"), rows.column("url"), pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(wholes, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    joined = keyed.join(told, ["key", "key2"], "left").select("page_id", "url", "host", "html", "known")
-    return joined.mapInArrow(extract, schema)
+    # pages meet what is known of their nodes in a shuffle; they travel compressed
+    names = ["key", "page_id", "url", "host", "html"]
+    small = keyed.select(*names).mapInArrow(shrink, StructType([*(keyed.schema[c] for c in names[:-1]), StructField("html", BinaryType())]))
+    return small.join(told, "key", "left").select("page_id", "url", "host", "html", "known").mapInArrow(extract, schema)

@@ -111,8 +111,8 @@ def test_importance_same_as_counting(spark):
     rng = random.Random(5)
     around = [sentence(rng, 5) for _ in range(7)]
     htmls = [page(rng, "a", k, around)[0] for k in range(25)]
-    rows = [(k, -k, "h", html) for k, html in enumerate(htmls)]
-    found = main_text.importance(main_text.nodes(spark.createDataFrame(rows, "key long, key2 long, host string, html string")))
+    rows = [(k, "h", html) for k, html in enumerate(htmls)]
+    found = main_text.importance(main_text.nodes(spark.createDataFrame(rows, "key long, host string, html string")))
     styles, inside, texts = defaultdict(Counter), defaultdict(set), defaultdict(set)
     for k, html in enumerate(htmls):
         p = parsed(html)
@@ -122,16 +122,16 @@ def test_importance_same_as_counting(spark):
             inside[ids[e]].add(k)
             for part in x.parts:
                 if part < 0:
-                    texts[ids[e], main_text.text_key(p.blocks[~part])].add(k)
+                    texts[ids[e], main_text.text_key(ids[e], p.blocks[~part])].add(k)
     want = {}
     for i, c in styles.items():
         if len(inside[i]) > 1:
             n = sum(c.values())
-            want[i, 0] = -sum(v / n * math.log(v / n, n) for v in c.values())
+            want[i] = -sum(v / n * math.log(v / n, n) for v in c.values())
     for (i, t), at in texts.items():
         if len(at) > 1:
-            want[i, t] = 1 - math.log(len(at), len(inside[i]))
-    got = {(r["id"], r["text"]): r["value"] for r in found.collect()}
+            want[t] = 1 - math.log(len(at), len(inside[i]))
+    got = {r["id"]: r["value"] for r in found.collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
 
 
