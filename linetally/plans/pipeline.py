@@ -54,6 +54,7 @@ class RunReport:
 
     state: str = "FAILED"
     failed_step: str | None = None
+    error: Exception | None = None
     steps: list[str] = field(default_factory=list)
     recon: DataFrame | None = None
     # what is known of the periods when no reconciliation could be made
@@ -200,33 +201,44 @@ def declared_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def check_marts(spark: SparkSession, env: Env) -> None:
-    """All checks on RAW, staging, reference data, records and marts; raises at the first that fails."""
+def check_marts(spark: SparkSession, env: Env) -> C.Findings:
+    """All checks on RAW, staging, reference data, records and marts.
+
+    Every check runs; what fails is raised together, and warnings come back with the findings.
+    """
     from linetally.plans.catalog import tables as all_tables
 
     tables = all_tables(spark, env)
     require_tables(tables)
-    lines, stg, mapping = tables["fct_order_lines"], tables["stg_orders"], tables["country_mapping"]
+    lines, stg, mapping, raw = (tables[t] for t in ("fct_order_lines", "stg_orders", "country_mapping", "raw_orders"))
+    findings = C.Findings()
     for name, row_check_list in row_checks().items():
-        C.enforce_counts(C.count_violations(tables[name], name, row_check_list))
+        findings.add_counts(C.count_violations(tables[name], name, row_check_list))
     for name, key in UNIQUE_KEYS.items():
-        C.enforce(C.not_unique(tables[name], key), f"unique {name}{key}")
-    # audit records count batch lines; streamed ones have records of their own
-    batch = stg.where(F.col("source_system") == BATCH)
-    C.enforce(C.staging_differs_from_recon(batch, tables["stg_glue_recon"]), "staging against the audit record")
-    C.enforce(C.unresolved_mappings(mapping, tables["stg_worldbank_countries"]), "unresolved mappings", severity="warn")
-    C.enforce(C.several_files_per_period(tables["raw_orders"]), "periods from several files", severity="warn")
-    fresh = C.freshness(tables["raw_orders"], datetime.now(timezone.utc), FRESH_WARN_DAYS, FRESH_ERROR_DAYS)
-    C.enforce(fresh.where("state <> 'pass'"), "freshness of RAW", severity="warn")
-    C.enforce(C.orphans(lines, "customer_id", tables["dim_customer"], "customer_id"), "lines without customer")
-    C.enforce(C.orphans(lines, "country", tables["dim_country"], "retail_country"), "lines without country")
-    C.enforce(C.unmapped_countries(stg, mapping), "unmapped countries")
-    C.enforce(C.mixed_cancellation_flags(lines), "mixed cancellation flags")
-    C.enforce(C.marts_rows_differ(stg, lines, strict=True), "mart rows")
-    C.enforce(C.marts_revenue_differs(stg, lines, REVENUE_TOLERANCE, strict=True), "mart revenue")
-    C.enforce(
-        C.duplicate_rate_outside(stg, DUPLICATE_RATE_LIMIT, DUPLICATE_RATE_EXCEPTIONS), "duplicate rate", severity="warn"
-    )
+        findings.add(C.not_unique(tables[name], key), f"unique {name}{key}")
+    streamed = read_streamed(spark, env.raw_orders_stream)
+    fresh = C.freshness(raw, datetime.now(timezone.utc), FRESH_WARN_DAYS, FRESH_ERROR_DAYS)
+    errors = {
+        "staging against the audit record": C.staging_differs_from_recon(stg, tables["stg_glue_recon"], streamed),
+        "lines without customer": C.orphans(lines, "customer_id", tables["dim_customer"], "customer_id"),
+        "lines without country": C.orphans(lines, "country", tables["dim_country"], "retail_country"),
+        "unmapped countries": C.unmapped_countries(stg, mapping),
+        "mixed cancellation flags": C.mixed_cancellation_flags(lines),
+        "mart rows": C.marts_rows_differ(stg, lines, strict=True),
+        "mart revenue": C.marts_revenue_differs(stg, lines, REVENUE_TOLERANCE, strict=True),
+    }
+    warnings = {
+        "unresolved mappings": C.unresolved_mappings(mapping, tables["stg_worldbank_countries"]),
+        "periods from several files": C.several_files_per_period(raw),
+        "freshness of RAW": fresh.where("state <> 'pass'"),
+        "duplicate rate": C.duplicate_rate_outside(stg, DUPLICATE_RATE_LIMIT, DUPLICATE_RATE_EXCEPTIONS),
+    }
+    for name, violations in errors.items():
+        findings.add(violations, name)
+    for name, violations in warnings.items():
+        findings.add(violations, name, "warn")
+    findings.require_none()
+    return findings
 
 
 def run(
@@ -269,7 +281,7 @@ def run(
         try:
             step()
         except Exception as error:
-            report.failed_step = name
+            report.failed_step, report.error = name, error
             if report.recon is None:
                 report.known = known_so_far(spark, wanted, error)
             if raise_on_failure:

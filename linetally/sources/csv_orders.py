@@ -12,6 +12,7 @@ from linetally.functions.columns import is_cancellation, order_time, ratio, whol
 from linetally.operators.aggregates import exact_copies
 from linetally.schemas import LANDED_ORDER
 from linetally.sources.files import write_periods
+from linetally.sources.quoted_csv import records
 
 CSV_COLUMNS = tuple(dict.fromkeys(CSV_HEADERS.values()))
 
@@ -25,22 +26,26 @@ def scan_csv_rows(spark: SparkSession, path: str, multi_line: bool = True) -> Da
 
     Only the header line is looked at before the scan; nothing is inferred.
     The file is parsed once, into shared scratch, where profile, landing and
-    what is set aside read it. Quoted fields may hold line breaks; a file is then read by one task. For
-    big files known to hold none, ``multi_line=False`` lets Spark split them.
+    what is set aside read it. Quoted fields may hold line breaks, and the file is read by ranges all the same
+    (:mod:`linetally.sources.quoted_csv`). For files known to hold none, ``multi_line=False`` saves the shuffle of lines.
     """
-    reader = (
-        spark.read.option("header", "true")
-        .option("encoding", CSV_ENCODING)
-        .option("escape", '"')
-        .option("multiLine", str(multi_line).lower())
-    )
+    dialect = {"encoding": CSV_ENCODING, "escape": '"'}
+    reader = spark.read.options(header="true", **dialect)
     found = reader.csv(path).columns
     names = [CSV_HEADERS.get(c, c) for c in found]
     missing = [c for c in CSV_COLUMNS if c not in names]
     if missing:
         raise ValueError(f"CSV lacks columns {missing}; it has {found}")
     schema = StructType([StructField(c, StringType()) for c in (*found, MALFORMED)])
-    lines = reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED).csv(path)
+    if multi_line:
+        options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+        fields = F.from_csv("record", ", ".join(f"`{c}` string" for c in schema.fieldNames()), options).alias("fields")
+        lines = records(spark, path, CSV_ENCODING).select(fields, "record", "whole").select(
+            *[F.col(f"fields.`{c}`") for c in found],
+            F.when(F.col("whole"), F.col(f"fields.{MALFORMED}")).otherwise(F.col("record")).alias(MALFORMED),
+        )
+    else:
+        lines = reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED).csv(path)
     lines = lines.withColumnsRenamed(dict(zip(found, names, strict=True))).select(*CSV_COLUMNS, MALFORMED)
     return written(lines, "source-csv")
 

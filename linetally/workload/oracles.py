@@ -891,6 +891,12 @@ ORACLES: dict[str, str] = {
     SELECT period, source_file, count(*) OVER (PARTITION BY period) AS distinct_files FROM (
       SELECT DISTINCT {PERIOD.format(y="partition_year", m="partition_month")} AS period, source_file FROM raw))
   WHERE distinct_files > 1""",
+    ),
+    "check_duplicate_raw_files_listed": sql(
+        "raw",
+        f"""SELECT period, count(*) AS distinct_files, string_agg(source_file, ', ' ORDER BY source_file) AS file_list FROM (
+      SELECT DISTINCT {PERIOD.format(y="partition_year", m="partition_month")} AS period, source_file FROM raw)
+  GROUP BY period HAVING count(*) > 1""",
     ),
     "check_double_load": sql(
         "raw",
@@ -941,7 +947,8 @@ ORACLES: dict[str, str] = {
     "full_run": converted(
         """period, source_lines AS ndjson_source_lines, rows_written_back AS glue_wrote_to_s3,
          rows_written_back AS snowflake_loaded, rows_written_back AS dbt_staging_rows,
-         CAST(0 AS BIGINT) AS s3_to_snowflake_diff, CAST(0 AS BIGINT) AS snowflake_to_staging_diff, 'ok' AS recon_status"""
+         CAST(0 AS BIGINT) AS s3_to_snowflake_diff, CAST(0 AS BIGINT) AS snowflake_to_staging_diff, 'ok' AS recon_status,
+         """ + f"CASE WHEN ({NEGATIVE_MONTHS}) > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS run_state"
     ),
     "full_run_tables": sql(
         "landed mapping",

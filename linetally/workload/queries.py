@@ -737,6 +737,11 @@ def check_duplicate_raw_files(w):
     return C.several_files_per_period(w.raw)
 
 
+@query
+def check_duplicate_raw_files_listed(w):
+    return C.files_listed(w.raw)
+
+
 @query
 def check_double_load(w):
     """RAW in which the files of every March were loaded twice, against the files' own counts."""
@@ -846,8 +851,9 @@ def stream_batch_recon(w):
 
 @query
 def full_run(w):
-    """Every period from the landing zone to the marts; what the reconciliation then shows."""
-    return w.finished[1].table()
+    """Every period from the landing zone to the marts: how the run ended and what the reconciliation then shows."""
+    _, report = w.finished
+    return report.table().withColumn("run_state", F.lit(report.state))
 
 
 @query

@@ -182,3 +182,8 @@ def test_environment_diff(spark):
         ("U", "dev", 1),
         ("U", "prod", 1),
     ]
+
+
+def test_files_of_a_period_as_one_text(raw_frame):
+    raw = raw_frame({"source_file": "b"}, {"source_file": "a"}, {"source_file": "a"}, {"source_file": "c", "partition_month": 2})
+    assert [tuple(r) for r in C.files_listed(raw).collect()] == [("2011-01", 2, "a, b")]

@@ -153,3 +153,25 @@ def test_declared_checks_cover_all_tables(spark, finished):
 def test_report_after_a_failed_conversion(spark, finished):
     report = P.run(spark, finished[0], ["1999-01"], AT, raise_on_failure=False)
     assert [(r.period, r.recon_status) for r in report.table().collect()] == [("1999-01", "no_source_lines")]
+
+
+def test_streamed_labels_in_the_landing_zone(spark, tmp_path):
+    """Converted lines labelled as streamed are counted by the audit record like all others; lines of the stream store are not."""
+    env = environment(spark, tmp_path)
+    write_day(env.landing, "2011-01-07", *[landed(invoice_date="2011-01-07T10:00:00", source_system="stream_live", quantity=k + 1) for k in range(3)])
+    report = P.run(spark, env, ["2011-01"], AT)
+    assert (report.state, report.steps[-1], report.error) == ("SUCCESS", "checks", None)
+    late = read_raw(spark, env.raw_orders).limit(2).withColumn("source_system", F.lit("stream_live"))
+    late = late.withColumn("query_id", F.lit("q")).withColumn("batch_id", F.lit(0).cast("long"))
+    late.write.partitionBy("partition_year", "partition_month", "query_id", "batch_id").parquet(env.raw_orders_stream)
+    assert P.run(spark, env, ["2011-01"], AT).state == "SUCCESS"
+    assert read_stg(spark, env.stg_orders).count() == 5 + 3 + 2
+
+
+def test_all_failing_checks_are_reported_together(spark, tmp_path):
+    env = environment(spark, tmp_path)
+    write_day(env.landing, "2011-01-07", landed(invoice_date="2011-01-07T10:00:00", country="Atlantis", invoice_no="A9", quantity=-5, unit_price=9999.0))
+    report = P.run(spark, env, ["2011-01"], AT, raise_on_failure=False)
+    assert (report.state, report.failed_step) == ("FAILED", "checks")
+    message = str(report.error)
+    assert all(part in message for part in ("accepted_range(total_revenue)", "lines without country", "unmapped countries"))
