@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from linetally.env import Env, build_session, written
 from linetally.plans import catalog, convert
 from linetally.plans import pipeline as P
 from linetally.plans.recon import overall_state, status_report
-from linetally.plans.staging import refresh_stg_orders
+from linetally.plans.staging import refresh_from_ledgers, refresh_stg_orders
 from linetally.sources import csv_orders as CSV
 from linetally.sources import raw_orders as RAW
 from linetally.sources import reference as REF
@@ -77,8 +78,10 @@ def main(argv: Sequence[str] | None = None) -> int:
         rows = CSV.scan_csv_rows(spark, args.input, not args.plain_lines)
         dated, undated = CSV.split_undated(CSV.prepare(CSV.well_formed(rows)))
         malformed = CSV.malformed_rows(rows)
-        undated.drop("event_date").write.mode("overwrite").json(f"{env.quarantine_csv}/undated")
-        malformed.write.mode("overwrite").json(f"{env.quarantine_csv}/malformed")
+        # what an earlier run set aside of this file goes, that of other files stays
+        source = f"source={quote(args.input, safe='')}"
+        undated.drop("event_date").write.mode("overwrite").json(f"{env.quarantine_csv}/undated/{source}")
+        malformed.write.mode("overwrite").json(f"{env.quarantine_csv}/malformed/{source}")
         profile = CSV.profile(dated)
         left_out, broken, kept = undated.count(), malformed.count(), profile.first()["row_count"]
         if left_out:
@@ -113,8 +116,12 @@ def main(argv: Sequence[str] | None = None) -> int:
         else:
             print(f"{RAW.load_new_files(spark, env.staged, env.raw_orders)} files loaded")
     elif args.job == "stage":
-        raw = RAW.read_all_raw(spark, env.raw_orders, env.raw_orders_stream)
-        print("rebuilt:", refresh_stg_orders(spark, raw, env.stg_orders, args.periods or None))
+        if args.periods:
+            raw = RAW.read_all_raw(spark, env.raw_orders, env.raw_orders_stream)
+            rebuilt = refresh_stg_orders(spark, raw, env.stg_orders, args.periods)
+        else:
+            rebuilt = refresh_from_ledgers(spark, env.raw_orders, env.raw_orders_stream, env.stg_orders)
+        print("rebuilt:", rebuilt)
     elif args.job == "reference":
         pages = written(REF.read_pages(spark, args.pages), "pages")
         REF.require_complete(pages)

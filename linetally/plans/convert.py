@@ -9,9 +9,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from linetally.env import forget, written
 from linetally.functions.columns import QUALITY_FIELDS, ORDER_COLUMNS, period_key, raw_order_quality
+from linetally.schemas import STAGED_ORDER
+from linetally.sources import ledger
 from linetally.sources.files import drop_partition, existing, write_periods
 from linetally.sources.landing import good, parse_lines, read_lines
 
@@ -59,7 +62,8 @@ def period_metrics(parsed: DataFrame) -> DataFrame:
         F.count_if(is_good & F.startswith("invoice_no", F.lit("C"))).alias("cancellations"),
         F.count_if(undated).alias("unparseable_date"),
     ]
-    return counted.groupBy("path_period").agg(*counts, *quality).withColumnRenamed("path_period", "period")
+    lines = ledger.line_sums(is_good & F.col("invoice_date").isNotNull())
+    return counted.groupBy("path_period").agg(*counts, *quality, *lines).withColumnRenamed("path_period", "period")
 
 
 def quality_metrics(parsed: DataFrame) -> DataFrame:
@@ -87,21 +91,22 @@ def replace_quarantine(aside: DataFrame, quarantine: str, periods: Iterable[str]
 
 
 def staged_counts(spark: SparkSession, staged: str, periods: list[str]) -> DataFrame:
-    """Rows, files and bytes per period, read back from what was written."""
-    schema = "invoice_no string, year int, month int"
+    """Rows, bytes and fingerprint per period, read back from what was written."""
+    schema = StructType([*STAGED_ORDER.fields, StructField("year", IntegerType()), StructField("month", IntegerType())])
     # only the folders of these periods are listed
     names = [f"{staged}/year={int(p[:4])}/month={int(p[5:7])}" for p in periods]
     folders = existing(spark, names)
     rows = spark.read.schema(schema).option("basePath", staged).parquet(*folders) if folders else None
     if rows is None:
-        return spark.createDataFrame([], "period string, rows_written_back bigint, output_bytes bigint")
+        sums = ", ".join(f"{c} bigint" for c in ledger.RAW_SUMS)
+        return spark.createDataFrame([], f"period string, rows_written_back bigint, output_bytes bigint, {sums}")
     files = (
         rows
         .groupBy("year", "month", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("bytes"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), *ledger.line_sums())
     )
     return files.groupBy(period_key("year", "month").alias("period")).agg(
-        F.sum("n").alias("rows_written_back"), F.sum("bytes").alias("output_bytes")
+        F.sum("n").alias("rows_written_back"), F.sum("bytes").alias("output_bytes"), *[F.sum(c).alias(c) for c in ledger.RAW_SUMS]
     )
 
 
@@ -110,6 +115,7 @@ def _status(expected: Column) -> Column:
         F.when(F.col("source_lines") == 0, "no_source_lines")
         .when(F.col("stray_rows") > 0, "stray_rows")
         .when(F.col("rows_written_back") != expected, "unbalanced")
+        .when(~F.col("content_same"), "content_differs")
         .otherwise("converted")
     )
 
@@ -144,16 +150,26 @@ def convert_months(
     metrics = written(period_metrics(parsed), "metrics")
     clean = [r["period"] for r in metrics.where("stray_rows = 0").select("period").collect()]
     rows = good(parsed).where(F.col("path_period").isin(clean) & F.col("invoice_date").isNotNull())
+    ledger.strike(spark, staged, clean)
     write_periods(rows.select(*ORDER_COLUMNS, "year", "month"), staged, ("year", "month"))
+    # a dynamic overwrite leaves the folder of a period that has no good row any more
+    for r in metrics.where("stray_rows = 0 AND rows_total = undated_rows").select("period").collect():
+        drop_partition(spark, f"{staged}/year={int(r['period'][:4])}/month={int(r['period'][5:7])}")
     if quarantine:
         replace_quarantine(set_aside(parsed.where(F.col("path_period").isin(clean))), quarantine, clean)
 
     back = staged_counts(spark, staged, clean)
     expected = F.col("source_lines") - F.col("corrupt_rows") - F.col("undated_rows")
     asked = spark.createDataFrame([(p,) for p in wanted], "period string")
+    back_sums = [f"back_{c}" for c in ledger.RAW_SUMS]
+    same = F.lit(True)
+    for c, b in zip(ledger.RAW_SUMS, back_sums, strict=True):
+        same = same & (F.coalesce(c, F.lit(0)) == F.coalesce(b, F.lit(0)))
+    back = written(back.withColumnsRenamed(dict(zip(ledger.RAW_SUMS, back_sums, strict=True))), "read-back")
     counts = (
         asked.join(metrics, "period", "left")
         .join(back, "period", "left")
+        .withColumn("content_same", same)
         .na.fill(0, ["source_lines", "corrupt_rows", "undated_rows", "stray_rows", "rows_written_back", "output_bytes"])
     )
     recon = written(
@@ -184,9 +200,12 @@ def convert_months(
         ),
         "recon",
     )
-    write_audit(recon.where(F.col("status").isin("converted", "unbalanced")), audit)
-    forget(parsed)
-    forget(metrics)
+    write_audit(recon.where(F.col("status").isin("converted", "unbalanced", "content_differs")), audit)
+    # the ledger of the staged files: what was read back, by period
+    held = back.select("period", F.col("rows_written_back").alias("n"), F.lit(None).cast("timestamp").alias("newest"), *[F.col(b).alias(c) for b, c in zip(back_sums, ledger.RAW_SUMS, strict=True)], *[F.lit(None).cast("bigint").alias(c) for c in ledger.CLEAN_SUMS])
+    ledger.enter(held, staged)
+    for scratch in (parsed, metrics, back):
+        forget(scratch)
 
     failed = recon.where("status <> 'converted'").orderBy("period").collect()  # one row per period
     fatal = [r for r in failed if fail_on_mismatch or r["status"] != "unbalanced"]

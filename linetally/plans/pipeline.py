@@ -25,16 +25,18 @@ from linetally.fixed_values import (
 from linetally.operators import checks as C
 from linetally.plans import marts as M
 from linetally.plans.convert import ConversionError, convert_months
-from linetally.plans.recon import pipeline_reconciliation, require_reconciled, status_report
+from linetally.plans.recon import content_reconciliation, pipeline_reconciliation, require_reconciled, require_same_content, status_report
 from linetally.plans.staging import (
     load_recon_raw,
     read_stg,
     refresh_stg_orders,
+    stg_entries,
     stg_glue_recon,
     stg_worldbank_countries,
     stg_worldbank_indicators,
 )
-from linetally.sources.raw_orders import load_periods, read_all_raw, read_raw, read_streamed
+from linetally.sources import ledger
+from linetally.sources.raw_orders import load_periods, raw_entries, read_all_raw, read_raw, read_streamed, stream_entries
 from linetally.sources.reference import read_country_mapping
 
 MARTS = (
@@ -71,6 +73,17 @@ def reconciliation(spark: SparkSession, env: Env) -> DataFrame:
     return pipeline_reconciliation(glue, raw, read_stg(spark, env.stg_orders), streamed)
 
 
+def contents(spark: SparkSession, env: Env) -> DataFrame:
+    """Content compared from the staged files to staging, by the ledgers written with each step.
+
+    A conversion has compared its lines with the files read back, and stops if they differ.
+    """
+    files = ledger.entries(spark, env.staged)
+    return content_reconciliation(
+        files, files, raw_entries(spark, env.raw_orders), stg_entries(spark, env.stg_orders), stream_entries(spark, env.raw_orders_stream)
+    )
+
+
 def known_so_far(spark: SparkSession, wanted: list[str], error: Exception) -> DataFrame:
     """The report's columns for the asked periods after a failure before the reconciliation."""
     asked = spark.createDataFrame([(p,) for p in wanted], "period string")
@@ -264,6 +277,7 @@ def run(
     def gate() -> None:
         report.recon = reconciliation(spark, env)
         require_reconciled(report.recon, wanted)
+        require_same_content(contents(spark, env), wanted)
 
     steps = {
         "convert": lambda: convert_months(

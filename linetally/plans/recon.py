@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linetally.functions.columns import period_key, ratio
 from linetally.plans.staging import recon_fields
+from linetally.sources.ledger import CLEAN_SUMS, RAW_SUMS, added_up, same_content
 
 
 class ReconciliationError(ValueError):
@@ -73,6 +74,41 @@ def pipeline_reconciliation(
     )
 
 
+def content_reconciliation(lines: DataFrame, staged: DataFrame, raw: DataFrame, stg: DataFrame, streamed: DataFrame | None = None) -> DataFrame:
+    """Content compared at every hop, by ledger entries (:mod:`linetally.sources.ledger`) of each side.
+
+    Equal counts do not show rows that were exchanged; fingerprints do. ``raw`` and ``streamed`` together are what staging
+    holds. One row per period with a status naming the first hop that disagrees.
+    """
+    sides = {"l": lines, "f": staged, "r": raw, "a": raw if streamed is None else added_up(raw, streamed), "s": stg}
+    periods = None
+    for side in sides.values():
+        periods = side.select("period") if periods is None else periods.union(side.select("period"))
+    joined = periods.distinct().alias("p")
+    for name, side in sides.items():
+        joined = joined.join(side.alias(name), F.col("p.period") == F.col(f"{name}.period"), "left")
+
+    def differ(sums: tuple[str, ...], left: str, right: str):
+        rows = F.coalesce(f"{left}.n", F.lit(0)) != F.coalesce(f"{right}.n", F.lit(0))
+        return rows | ~same_content(sums, left, right)
+
+    status = (
+        F.when(differ(RAW_SUMS, "l", "f"), "lines_to_staged_differ")
+        .when(differ(RAW_SUMS, "f", "r"), "staged_to_raw_differ")
+        .when(differ(CLEAN_SUMS, "a", "s"), "raw_to_staging_differ")
+        .otherwise("ok")
+    )
+    counts = {"rows_in_lines": "l", "rows_in_files": "f", "rows_in_raw": "r", "rows_in_staging": "s"}
+    return joined.select("p.period", *[F.coalesce(f"{side}.n", F.lit(0)).alias(c) for c, side in counts.items()], status.alias("content_status"))
+
+
+def require_same_content(recon: DataFrame, periods: list[str]) -> None:
+    """Raise unless the content of every given period is the same at every hop."""
+    bad = recon.where((F.col("content_status") != "ok") & F.col("period").isin(periods)).orderBy("period").collect()
+    if bad:
+        raise ReconciliationError("; ".join(f"{r['period']}: {r['content_status']}" for r in bad))
+
+
 def gate_findings(recon: DataFrame, periods: list[str] | None = None) -> DataFrame:
     """Why each period would be stopped; no row means it may pass.
 

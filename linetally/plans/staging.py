@@ -13,8 +13,9 @@ from linetally.functions.columns import QUALITY_FIELDS, is_cancellation, line_ty
 from linetally.operators.aggregates import latest_by, pivot_max
 from linetally.operators.ranking import ONE_TASK_ROWS, number_within, tasks_for
 from linetally.schemas import STG_ORDER
+from linetally.sources import ledger
 from linetally.sources.files import drop_partition, path_exists, write_periods
-from linetally.sources.raw_orders import in_periods
+from linetally.sources.raw_orders import all_entries, in_periods, read_all_raw
 
 DUPLICATE_KEY = ("invoice_no", "stock_code", "quantity", "invoice_date", "unit_price")
 # load order first; the rest only settles ties, so that a rerun numbers alike
@@ -122,6 +123,7 @@ def _write_stg(rows: DataFrame, table: str) -> None:
 
 def build_stg_orders(raw: DataFrame, table: str) -> None:
     """First build, or a rebuild of every period RAW holds."""
+    ledger.strike(raw.sparkSession, table)
     _write_stg(stg_orders(raw), table)
 
 
@@ -152,6 +154,7 @@ def rebuild_periods(spark: SparkSession, raw: DataFrame, table: str, periods: It
     periods = list(periods)
     if not periods:
         return
+    ledger.strike(spark, table, periods)
     slice_ = raw.where(in_periods(periods))
     period = period_key("partition_year", "partition_month").alias("period")
     held = {r["period"] for r in slice_.select(period).distinct().collect()}
@@ -176,6 +179,30 @@ def refresh_stg_orders(
     return periods
 
 
+def stg_entries(spark: SparkSession, table: str) -> DataFrame:
+    """The ledger of staging. No row of staging is read but of unmeasured periods."""
+    return ledger.brought_up(spark, table, lambda periods: read_stg(spark, table).where(F.col("period").isin(periods)))
+
+
+def differing_periods(raw: DataFrame, stg: DataFrame) -> DataFrame:
+    """Periods whose ledger entries differ in rows, newest load or content, or that stand on one side only."""
+    r, s = raw.alias("r"), stg.alias("s")
+    same = F.col("r.n").eqNullSafe(F.col("s.n")) & F.col("r.newest").eqNullSafe(F.col("s.newest")) & ledger.same_content(ledger.CLEAN_SUMS, "r", "s")
+    return r.join(s, F.col("r.period") == F.col("s.period"), "full").where(~same).select(F.coalesce("r.period", "s.period").alias("period"))
+
+
+def refresh_from_ledgers(spark: SparkSession, raw: str, stream_raw: str, table: str) -> list[str]:
+    """Incremental run over stored tables: rebuild the periods in which the ledgers of RAW and staging differ.
+
+    Neither table is scanned to find them. Returns the periods rebuilt.
+    """
+    differ = differing_periods(all_entries(spark, raw, stream_raw), stg_entries(spark, table))
+    periods = sorted(r["period"] for r in differ.collect())  # one row per period
+    rebuild_periods(spark, read_all_raw(spark, raw, stream_raw), table, periods)
+    stg_entries(spark, table)
+    return periods
+
+
 # ------------------------------------------------------------- reference data
 
 

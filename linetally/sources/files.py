@@ -25,13 +25,13 @@ def write_periods(df: DataFrame, path: str, by: tuple[str, ...], rebalance: bool
         writer.option("compression", "snappy").parquet(path)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+def hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop_path(spark, path)
+    fs, p = hadoop_path(spark, path)
     return fs.exists(p)
 
 
@@ -39,7 +39,7 @@ def existing(spark: SparkSession, globs: Iterable[str]) -> list[str]:
     """Those of the folder patterns that match something."""
     out = []
     for glob in globs:
-        fs, p = _hadoop_path(spark, glob)
+        fs, p = hadoop_path(spark, glob)
         if fs.globStatus(p):
             out.append(glob)
     return out
@@ -47,7 +47,7 @@ def existing(spark: SparkSession, globs: Iterable[str]) -> list[str]:
 
 def drop_partition(spark: SparkSession, path: str) -> bool:
     """Remove one partition folder. A dynamic overwrite never empties one."""
-    fs, p = _hadoop_path(spark, path)
+    fs, p = hadoop_path(spark, path)
     return fs.delete(p, True)
 
 

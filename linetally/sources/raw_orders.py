@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from linetally.env import forget, written
 from linetally.functions.columns import path_number
 from linetally.schemas import RAW_ORDER, STAGED_ORDER
+from linetally.sources import ledger
 from linetally.sources.files import drop_partition, file_listing, path_exists, write_periods
 
 STAGED_FILES = "part-*.snappy.parquet"
@@ -45,6 +46,24 @@ def read_all_raw(spark: SparkSession, raw: str, stream_raw: str) -> DataFrame:
     return batch if streamed is None else batch.unionByName(streamed)
 
 
+def raw_entries(spark: SparkSession, raw: str) -> DataFrame:
+    """The ledger of RAW. No row of RAW is read but of periods not measured yet."""
+    return ledger.brought_up(spark, raw, lambda periods: read_raw(spark, raw).where(in_periods(periods)))
+
+
+def stream_entries(spark: SparkSession, stream_raw: str) -> DataFrame | None:
+    """The ledger of the lines that came as a stream; None when none did."""
+    if not path_exists(spark, stream_raw):
+        return None
+    return raw_entries(spark, stream_raw)
+
+
+def all_entries(spark: SparkSession, raw: str, stream_raw: str) -> DataFrame:
+    """RAW's ledger with that of its stream store."""
+    own, beside = raw_entries(spark, raw), stream_entries(spark, stream_raw)
+    return own if beside is None else ledger.added_up(own, beside)
+
+
 def read_staged_files(spark: SparkSession, *paths: str) -> DataFrame:
     """Staged files as RAW rows, without ``loaded_at``.
 
@@ -84,10 +103,9 @@ def files_to_load(spark: SparkSession, staged: str, raw: str) -> DataFrame:
     if not path_exists(spark, raw):
         return found
     candidates = found.select(*PARTITION).distinct().collect()  # one row per period
-    of_candidates = F.lit(False)
-    for year, month in {(r[0], r[1]) for r in candidates}:
-        own = F.col("partition_year").eqNullSafe(F.lit(year)) & F.col("partition_month").eqNullSafe(F.lit(month))
-        of_candidates = of_candidates | own
+    of_candidates = in_periods(f"{r[0]:04d}-{r[1]:02d}" for r in candidates if None not in r)
+    if any(None in r for r in candidates):
+        of_candidates = of_candidates | F.col("partition_year").isNull() | F.col("partition_month").isNull()
     held = read_raw(spark, raw).where(of_candidates).select(_uri("source_file").alias("uri")).distinct()
     return found.withColumn("uri", _uri("source_file")).join(held, "uri", "left_anti").drop("uri")
 
@@ -108,7 +126,10 @@ def load_new_files(spark: SparkSession, staged: str, raw: str, loaded_at: dateti
         names = new.select(_uri("source_file").alias("uri"))
         rows = read_staged_files(spark, *paths).withColumn("uri", _uri("source_file")).join(names, "uri", "left_semi")
         rows = _stamped(rows, loaded_at)
+        touched = {f"{r[0]:04d}-{r[1]:02d}" for r in new.select(*PARTITION).distinct().collect() if None not in r}
+        ledger.strike(spark, raw, touched)
         rows.write.mode("append").partitionBy(*PARTITION).option("compression", "snappy").parquet(raw)
+        raw_entries(spark, raw)
     forget(new)
     return count
 
@@ -127,6 +148,8 @@ def load_periods(
     files already belong to one month each, so no shuffle is needed.
     """
     paths = []
+    periods = list(periods)
+    ledger.strike(spark, raw, periods)
     for period in periods:
         year, month = split_period(period)
         folder = f"{staged}/year={year}/month={month}"
@@ -137,6 +160,7 @@ def load_periods(
     if paths:
         rows = _stamped(read_staged_files(spark, *paths), loaded_at)
         write_periods(rows, raw, PARTITION, rebalance=False)
+    raw_entries(spark, raw)
 
 
 def partition_summary(raw: DataFrame) -> DataFrame:

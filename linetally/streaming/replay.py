@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from linetally.env import forget, written
 from linetally.functions.columns import period_key
-from linetally.plans.staging import read_stg, rebuild_periods, touched_periods
+from linetally.plans.staging import refresh_from_ledgers
 from linetally.schemas import RAW_ORDER
+from linetally.sources import ledger
 from linetally.sources.files import path_exists
 from linetally.sources.landing import LANDED_FILES, parse_lines
-from linetally.sources.raw_orders import PARTITION, in_periods, read_all_raw
+from linetally.sources.raw_orders import PARTITION
 
 STREAM_PARTITION = (*PARTITION, "query_id", "batch_id")
 
@@ -57,15 +58,45 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def _fate(held: DataFrame | None) -> Column:
-    """What becomes of a parsed line; each line has exactly one fate."""
+def _files(stream_raw: str, state: str) -> str:
+    return f"{stream_raw}/_files/{state}"  # readers of the store pass over it
+
+
+def _known_files(spark: SparkSession, stream_raw: str, query_id: str, batch_id: int) -> DataFrame | None:
+    """Files that another batch has taken in, whatever became of their lines.
+
+    A batch notes its files before it stores anything and again once all is stored. Of a batch that stopped in between,
+    and of a store from before there were notes, the files are those with stored rows.
+    """
+    schema = "source_file string, query_id string, batch_id long"
+    other = ~((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
+
+    def noted(state: str) -> DataFrame:
+        path = _files(stream_raw, state)
+        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+    if not path_exists(spark, stream_raw):
+        return None
+    done = noted("done").where(other)
+    store = spark.read.schema(schema).parquet(stream_raw).where(other)
+    if path_exists(spark, _files(stream_raw, "begun")):
+        batches = noted("begun").where(other).select("query_id", "batch_id").distinct()
+        stopped = batches.join(done.select("query_id", "batch_id").distinct(), ["query_id", "batch_id"], "left_anti").collect()  # as a rule none
+        if not stopped:
+            return done.select("source_file").distinct()
+        store = store.where(F.array_contains(F.lit([f"{r[0]} {r[1]}" for r in stopped]), F.concat_ws(" ", "query_id", "batch_id")))
+    return done.select("source_file").union(store.select("source_file")).distinct()
+
+
+def _fate() -> Column:
+    """What becomes of a parsed line; each line has exactly one fate. A file taken in before is repeated as a whole."""
     own = F.date_format("invoice_date", "yyyy-MM")
     return (
-        F.when(F.col("is_blank"), "blank")
+        F.when(F.col("is_held"), "repeated")
+        .when(F.col("is_blank"), "blank")
         .when(F.col("is_corrupt"), "corrupt")
         .when(F.col("invoice_date").isNull(), "undated")
         .when(own != F.col("path_period"), "stray")
-        .when(F.col("is_held") if held is not None else F.lit(False), "repeated")
         .otherwise("written")
     )
 
@@ -91,8 +122,8 @@ def replay(
     ``foreachBatch`` may run a batch again after a failure. All it writes is
     keyed by query and batch, so a second run replaces the first. A lost
     checkpoint gives a new query, which reads all files again: lines of files
-    that the store holds from another batch are counted as repeated and not
-    stored twice. Blank, corrupt, undated and stray lines are set aside; the
+    that another batch took in are counted as repeated, and neither stored nor
+    set aside twice. Blank, corrupt, undated and stray lines are set aside; the
     audit row of a batch says how many, and whether the counts add up.
     """
 
@@ -102,18 +133,16 @@ def replay(
         key = [F.lit(query_id).alias("query_id"), F.lit(batch_id).cast("long").alias("batch_id")]
         # files are read and parsed once; executors may be lost between the jobs that follow
         parsed = written(parse_lines(batch), "stream-batch")
-        held = None
-        if path_exists(session, stream_raw):
-            dated = parsed.where("not is_blank and not is_corrupt and invoice_date is not null")
-            touched = dated.select(period_key("year", "month").alias("period")).distinct()
-            periods = [r["period"] for r in touched.collect()]  # one row per period
-            store = session.read.schema("source_file string, partition_year int, partition_month int, query_id string, batch_id long").parquet(stream_raw)
-            other = ~((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
-            held = store.where(in_periods(periods) & other).select("source_file", F.lit(True).alias("is_held")).distinct()
-            parsed_lines = parsed.join(held, "source_file", "left").withColumn("is_held", F.coalesce("is_held", F.lit(False)))
+        held = _known_files(session, stream_raw, query_id, batch_id)
+        is_held = F.lit(False)
+        if held is not None:
+            parsed_lines = parsed.join(held.withColumn("is_held", F.lit(True)), "source_file", "left")
+            is_held = F.coalesce("is_held", F.lit(False))
         else:
             parsed_lines = parsed
-        fated = parsed_lines.withColumn("fate", _fate(held))
+        fated = parsed_lines.withColumn("is_held", is_held).withColumn("fate", _fate())
+        files = parsed.select("source_file", *key).distinct()
+        _store(files, _files(stream_raw, "begun"), ("query_id", "batch_id"))
         stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
         rows = (
             fated.where("fate = 'written'")
@@ -126,6 +155,8 @@ def replay(
             F.coalesce("line", F.to_json(F.struct("invoice_no", "stock_code", "quantity", "invoice_date", "unit_price", "customer_id", "country"))).alias("line"),
             *key,
         )
+        touched = rows.select(period_key("partition_year", "partition_month").alias("period")).distinct().collect()  # one row per period
+        ledger.strike(session, stream_raw, [r["period"] for r in touched])
         _store(rows, stream_raw, STREAM_PARTITION)
         _store(aside, quarantine, ("period", "query_id", "batch_id"))
         # what was written is counted where it lies
@@ -142,6 +173,7 @@ def replay(
             (difference == 0).alias("balanced"), status.alias("status"),
         )
         _store(record, audit, ("query_id", "batch_id"))
+        _store(files, _files(stream_raw, "done"), ("query_id", "batch_id"))
         forget(parsed)
 
     query = (
@@ -153,7 +185,4 @@ def replay(
     )
     query.awaitTermination()
     # once for all batches; a run that stopped between the two is caught up on here
-    all_raw = read_all_raw(spark, raw, stream_raw)
-    periods = touched_periods(all_raw, read_stg(spark, stg) if path_exists(spark, stg) else None)
-    rebuild_periods(spark, all_raw, stg, periods)
-    return periods
+    return refresh_from_ledgers(spark, raw, stream_raw, stg)

@@ -667,6 +667,7 @@ ORACLES: dict[str, str] = {
     ),
     "stg_orders_incremental": sql("stg", by_period("stg")),
     "stg_orders_incremental_after_reprocess": sql("stg", by_period("stg")),
+    "stg_orders_incremental_ledger": sql("stg", by_period("stg")),
     "stg_orders_reprocess": sql(
         "raw",
         f"""SELECT * FROM ({by_period(f'''({_TYPED} (SELECT * FROM raw WHERE NOT (partition_year = 1996 AND partition_month = 2)
@@ -944,6 +945,14 @@ ORACLES: dict[str, str] = {
   FROM resplit WHERE source_system = 'stream_live'""",
     ),
     # --------------------------------------------------------------- whole run
+    "recon_content": sql(
+        "landed",
+        """SELECT path_period AS period, count(*) AS rows_in_lines, count(*) AS rows_in_files, count(*) AS rows_in_raw,
+         count(*) AS rows_in_staging,
+         CASE WHEN NOT bool_or(CAST(stock_code AS BIGINT) % 389 = 0) THEN 'ok' WHEN path_period LIKE '%-05' THEN 'staged_to_raw_differ'
+              WHEN path_period LIKE '%-08' THEN 'raw_to_staging_differ' ELSE 'ok' END AS content_status
+  FROM landed WHERE NOT is_cut AND NOT is_undated GROUP BY path_period""",
+    ),
     "full_run": converted(
         """period, source_lines AS ndjson_source_lines, rows_written_back AS glue_wrote_to_s3,
          rows_written_back AS snowflake_loaded, rows_written_back AS dbt_staging_rows,

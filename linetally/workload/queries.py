@@ -20,6 +20,7 @@ from linetally.plans import recon as N
 from linetally.plans import staging as S
 from linetally.sources import csv_orders as CSV
 from linetally.sources import landing as L
+from linetally.sources import ledger as K
 from linetally.sources import raw_orders as RAW
 from linetally.sources import reference as REF
 from linetally.sources.files import write_periods
@@ -395,6 +396,20 @@ def stg_orders_incremental_after_reprocess(w):
     return by_period(S.read_stg(w.spark, table))
 
 
+@query
+def stg_orders_incremental_ledger(w):
+    """The second load is appended to a stored RAW; the ledgers of RAW and staging say which periods to rebuild."""
+    raw, stream, table = (w.scratch(x) for x in ("raw", "stream_raw", "stg"))
+    first = F.col("loaded_at") == F.lit(A.FIRST_LOAD)
+    write_periods(w.raw.where(first), raw, RAW.PARTITION)
+    S.refresh_from_ledgers(w.spark, raw, stream, table)
+    second = w.raw.where(~first)
+    K.strike(w.spark, raw, S.touched_periods(second, None))
+    second.write.mode("append").partitionBy(*RAW.PARTITION).parquet(raw)
+    S.refresh_from_ledgers(w.spark, raw, stream, table)
+    return by_period(S.read_stg(w.spark, table))
+
+
 @query
 def stg_orders_reprocess(w):
     """After a full build RAW loses the June copies and all of 1996-02; both are reprocessed."""
@@ -456,6 +471,25 @@ def recon_gate(w):
     return N.gate_findings(N.pipeline_reconciliation(w.recon, w.raw, _stale_staging(w)))
 
 
+@query
+def recon_content(w):
+    """Content from lines to staging, when RAW has other descriptions each May and staging has each August; no count differs."""
+    w.converted
+    lines = L.good(L.parse_lines(L.read_lines(w.spark, w.landing))).where(F.col("invoice_date").isNotNull())
+    path = w.scratch("raw")
+    RAW.load_periods(w.spark, w.env.staged, path, w.periods, A.FIRST_LOAD)
+
+    def altered(rows: DataFrame, month: int) -> DataFrame:
+        other = (F.month("invoice_date") == month) & (F.col("stock_code").cast("bigint") % 389 == 0)
+        return rows.withColumn("description", F.when(other, F.lit("altered")).otherwise(F.col("description")))
+
+    raw = altered(RAW.read_raw(w.spark, path), 5)
+    stg = altered(S.stg_orders(raw), 8)
+    return N.content_reconciliation(
+        K.measured_lines(lines, F.col("path_period")), K.entries(w.spark, w.env.staged), K.measured(raw), K.measured(stg)
+    )
+
+
 @query
 def recon_vs_loaded(w):
     return N.recon_vs_loaded(w.recon_raw, w.raw)

@@ -108,3 +108,13 @@ def test_results_are_written_in_full(spark, shop):
 def test_source_with_too_few_dates_stops(shop):
     with pytest.raises(ValueError, match="usable date"):
         shop("land", "--input", shop.csv, "--most-undated", "0.1")
+
+
+def test_lines_set_aside_of_several_files_stay(spark, shop):
+    """Landing a second file leaves what was set aside of the first; landing the first again replaces its own."""
+    other = shop.tmp / "other.csv"
+    other.write_bytes(open(shop.csv, "rb").read())
+    for path in (shop.csv, str(other), shop.csv):
+        shop("land", "--input", path)
+    aside = spark.read.json(f"{shop.env.quarantine_csv}/undated")
+    assert sorted(r["count"] for r in aside.groupBy("source").count().collect()) == [1, 1]

@@ -132,3 +132,31 @@ def test_period_range():
     assert period_range("2011-08", "2011-08") == ["2011-08"]
     with pytest.raises(ValueError, match="before"):
         period_range("2011-02", "2011-01")
+
+
+def test_rerun_without_good_rows_leaves_no_stale_partition(spark, job):
+    """A period converted again whose lines are all undated or corrupt holds nothing afterwards, and converts."""
+    write_day(job.landing, "2011-01-04", landed())
+    write_day(job.landing, "2011-02-03", february())
+    job("2011-01", "2011-02")
+    write_day(job.landing, "2011-01-04", landed(invoice_date="no date"), "{cut")
+    row = job("2011-01").first()
+    assert (row["status"], row["rows_written_back"], row["undated_rows"], row["corrupt_rows"]) == ("converted", 0, 1, 1)
+    assert not Path(job.staged, "year=2011", "month=1").exists() and staged(spark, job).count() == 1
+
+
+def test_content_read_back_is_compared(spark, job, monkeypatch):
+    """Rows that were exchanged on the way to the files stop the conversion, though the counts agree."""
+    from linetally.plans import convert
+
+    write = convert.write_periods
+
+    def write_other(rows, path, *args, **more):
+        if path == job.staged:
+            rows = rows.replace("85123A", "85123B", "stock_code")
+        write(rows, path, *args, **more)
+
+    monkeypatch.setattr(convert, "write_periods", write_other)
+    write_day(job.landing, "2011-01-04", landed(), landed(quantity=2))
+    with pytest.raises(ConversionError, match="2011-01: content_differs"):
+        job("2011-01")

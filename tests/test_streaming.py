@@ -109,3 +109,27 @@ def test_load_then_replay_then_stage(spark, raw_frame, tmp_path):
     raw = read_all_raw(spark, paths["raw"], paths["stream_raw"])
     S.refresh_stg_orders(spark, raw, paths["stg"])
     assert {r[1] for r in staged(spark, paths)} == {"5", "7", "536365"}
+
+
+def test_lost_checkpoint_sets_nothing_aside_twice(spark, raw_frame, tmp_path):
+    """After a second checkpoint files are repeated as a whole: broken lines, and files of nothing but broken lines."""
+    paths = setup(spark, raw_frame, tmp_path, {})
+    write_day(tmp_path / "in", "2011-01-05", live("1", "2011-01-05T09:00:00"), "{bad")
+    write_day(tmp_path / "in", "2011-01-06", "{worse", live("2", "never"))
+    run(spark, tmp_path, paths)
+    write_day(tmp_path / "in", "2011-01-07", live("3", "2011-01-07T09:00:00"), "{new")
+    run(spark, tmp_path, paths | {"checkpoint": str(tmp_path / "another")})
+    assert spark.read.parquet(paths["quarantine"]).count() == 4
+    assert spark.read.parquet(paths["stream_raw"]).count() == 2
+    audit = sorted(tuple(r) for r in read_stream_audit(spark, paths["audit"]).select("source_lines", "repeated_rows", "corrupt_rows", "undated_rows", "rows_written", "balanced").collect())
+    assert audit == [(4, 0, 2, 1, 1, True), (6, 4, 1, 0, 1, True)]
+
+
+def test_batch_that_stopped_before_its_end(spark, raw_frame, tmp_path):
+    """Of a batch without a closing note the files with stored rows count as taken in."""
+    paths = setup(spark, raw_frame, tmp_path, {})
+    write_day(tmp_path / "in", "2011-01-05", live("1", "2011-01-05T09:00:00"))
+    run(spark, tmp_path, paths)
+    shutil.rmtree(f"{paths['stream_raw']}/_files/done")
+    run(spark, tmp_path, paths | {"checkpoint": str(tmp_path / "another")})
+    assert spark.read.parquet(paths["stream_raw"]).count() == 1
