@@ -115,6 +115,12 @@ def lean() -> None:
     pa.default_memory_pool().release_unused()
 
 
+def give_back() -> None:
+    """Have a Python worker give freed memory, small objects' too, back to the system, where the C library can."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows that hold up to ``most_bytes`` of text each; a longer row comes alone."""
     lean()

@@ -197,6 +197,7 @@ def packed(
                 yield from given(20_000)
         flush()
         yield from given(0)
+        words.forget()
 
     ship(docs.sparkSession)
     read = docs.select(F.col(id_column).cast("long").alias("__id"), F.col(text_column).alias("__text"))

@@ -7,9 +7,9 @@ difference would fall under zero (over-fitting) the step goes the other way: the
     pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)).
 
 The prior is estimated from the data. A first model tells positives from unlabelled text; above any score, the share of
-unlabelled text cannot be less than pi times the share of positives, and the smallest such ratio (with a margin for
-chance, on rows the first model has not seen) is the estimate. The loss is logistic, so the score estimates the
-probability of a positive.
+unlabelled text cannot be less than pi times the share of positives, and the smallest such ratio, with a margin for
+chance and on rows the first model has not seen, is the estimate. The loss is logistic; the trusted positives say where on
+its scale texts stop being like them.
 
 Inputs are the text's bytes alone: a histogram of trigrams of byte classes, and shares of repeated words and lines,
 capitals, digits, marks and the like. Training takes at most ``most_positive`` and ``most_unlabelled`` rows, drawn by a
@@ -34,10 +34,16 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from linetally.llm.common import hash_63, last_drawn, ship, slices, utf8
 from linetally.llm.words import Words, mixed, word_bytes
 
-MOST_POSITIVE = 4_000
-MOST_UNLABELLED = 8_000
+MOST_POSITIVE = 6_000
+MOST_UNLABELLED = 14_000
 #: Training steps of 512 rows at least, also on few rows.
-LEAST_STEPS = 250
+LEAST_STEPS = 100
+#: Weights decay by this over the number of rows: what a prior of one strength comes to at any size.
+DECAY = 1.0
+#: Networks whose outputs are averaged, each from weights and an order of its own; folds of the estimate of the prior.
+NETWORKS, FOLDS = 5, 5
+#: The score at and above which a text counts as good, and where it lies below the trusted positives.
+CUT, REACH = 0.3, 3.0
 STEP = 2 << 20
 #: Byte classes: lower, upper, digit, space, line end, full stop and comma, other marks, beyond ASCII.
 CLASSES = 8
@@ -145,12 +151,15 @@ class Model:
 def _fit(pos: np.ndarray, unl: np.ndarray, prior: float | None, epochs: int, seed: int, hidden: int = 16) -> Model:
     """``prior`` None: tell positives from unlabelled rows; else the non-negative risk under this prior."""
     rng = np.random.default_rng(seed)
-    both = np.concatenate([pos, unl])
-    model = Model(both.mean(0), both.std(0) + 0.01, [])
+    n = len(pos) + len(unl)
+    mean = (pos.sum(0, dtype=np.float64) + unl.sum(0, dtype=np.float64)) / n
+    square = (np.einsum("ij,ij->j", pos, pos, dtype=np.float64) + np.einsum("ij,ij->j", unl, unl, dtype=np.float64)) / n
+    model = Model(mean.astype(np.float32), (np.sqrt(np.maximum(square - mean**2, 0)) + 0.01).astype(np.float32), [])
     pos, unl = (pos - model.mean) / model.scale, (unl - model.mean) / model.scale
     d = pos.shape[1]
     model.layers = [rng.normal(0, 1 / np.sqrt(d), (d, hidden)).astype(np.float32), np.zeros(hidden, np.float32), rng.normal(0, 0.3, hidden).astype(np.float32), np.zeros(1, np.float32)]
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in model.layers]
+    decay = 1e-4 + DECAY / n
     steps, size, t = max(1, len(unl) // 512), min(512, len(unl)), 0
     for _ in range(max(epochs, -(-LEAST_STEPS // steps))):
         order_u, order_p = rng.permutation(len(unl)), rng.integers(0, len(pos), (steps, min(256, len(pos))))
@@ -172,7 +181,7 @@ def _fit(pos: np.ndarray, unl: np.ndarray, prior: float | None, epochs: int, see
                     g = np.concatenate([prior * gp_neg, -gu_neg])
             g = g.astype(np.float32)
             back = np.outer(g, w2) * (1 - hid * hid)
-            grads = [x.T @ back + 1e-4 * w1, back.sum(0), hid.T @ g + 1e-4 * w2, np.array([g.sum()], np.float32)]
+            grads = [x.T @ back + decay * w1, back.sum(0), hid.T @ g + decay * w2, np.array([g.sum()], np.float32)]
             t += 1
             for p, grad, (m, v) in zip(model.layers, grads, state, strict=True):
                 m *= 0.9
@@ -183,17 +192,43 @@ def _fit(pos: np.ndarray, unl: np.ndarray, prior: float | None, epochs: int, see
     return model
 
 
+def _averaged(models: list[Model]) -> Model:
+    """One network with the mean output of several that share their scaling."""
+    w1, b1, w2, b2 = (np.concatenate(x, -1) for x in zip(*(m.layers for m in models), strict=True))
+    return Model(models[0].mean, models[0].scale, [w1, b1, w2 / len(models), b2.mean(keepdims=True)])
+
+
 def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 7) -> float:
-    """Share of positives among unlabelled rows: the smallest bound over all scores, from rows held out of the model."""
-    model = _fit(pos[::2], unl[::2], None, 12, seed)
-    p, u = np.sort(model.raw(pos[1::2])), np.sort(model.raw(unl[1::2]))
-    if not len(p) or not len(u):
+    """Share of positives among unlabelled rows: the smallest bound over all scores.
+
+    Each fold of the rows is scored by a model that has not seen it, so that every row counts once.
+    """
+    if len(pos) < FOLDS or len(unl) < FOLDS:
         return 0.5
+    seen: tuple[list, list] = [], []
+    for k in range(FOLDS):
+        p, u = np.arange(len(pos)) % FOLDS == k, np.arange(len(unl)) % FOLDS == k
+        model = _fit(pos[~p], unl[~u], None, 12, seed + k)
+        seen[0].append(model.raw(pos[p]))
+        seen[1].append(model.raw(unl[u]))
+    p, u = (np.sort(np.concatenate(x)) for x in seen)
     above_p = 1 - np.arange(len(p)) / len(p)
     above_u = 1 - np.searchsorted(u, p) / len(u)
     margin = np.sqrt(0.25 / len(p)) + np.sqrt(0.25 / len(u))
-    bounds = (above_u + margin) / above_p
-    return float(np.clip(above_u[k := int(np.argmin(bounds))] / above_p[k], 0.05, 0.99))
+    # the smallest of many ratios is too small by chance; with the margin it is a bound, which few rows widen
+    return float(np.clip(((above_u + margin) / above_p).min(), 0.05, 0.99))
+
+
+def _set_by_trusted(model: Model, pos: np.ndarray) -> Model:
+    """The model with its output shifted so that the score ``CUT`` lies well below the trusted positives' outputs.
+
+    A prior that is somewhat too large moves all outputs up and changes no order; the positives, which are known, say where
+    their outputs end: ``REACH`` times as far below their median as their lowest twentieth begins.
+    """
+    z = model.raw(pos)
+    middle, low = np.median(z), np.quantile(z, 0.05)
+    *layers, b2 = model.layers
+    return Model(model.mean, model.scale, [*layers, (b2 - (middle - REACH * (middle - low)) + np.log(CUT / (1 - CUT))).astype(np.float32)])
 
 
 def fit(pos: np.ndarray, unl: np.ndarray, prior: float | None = None, seed: int = 11) -> tuple[Model | None, float]:
@@ -201,7 +236,7 @@ def fit(pos: np.ndarray, unl: np.ndarray, prior: float | None = None, seed: int
     if not len(pos) or not len(unl):
         return None, 0.5
     prior = estimate_prior(pos, unl) if prior is None else prior
-    return _fit(pos, unl, prior, 40, seed), prior
+    return _set_by_trusted(_averaged([_fit(pos, unl, prior, 40, seed + k) for k in range(NETWORKS)]), pos), prior
 
 
 def _drawn(ids: DataFrame, most: int) -> DataFrame:
@@ -228,9 +263,9 @@ def trained(
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x.tobytes() for x in features(part.column(2))], pa.binary())], ["doc_id", "is_positive", "x"])
 
     rows = docs.select("doc_id", "text").join(drawn, "doc_id").select("doc_id", "is_positive", "text")
-    got = rows.mapInArrow(read, "doc_id long, is_positive int, x binary").toPandas().sort_values(["is_positive", "doc_id", "x"])
-    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(-1, DIMENSIONS)
+    got = rows.mapInArrow(read, "doc_id long, is_positive int, x binary").toArrow().sort_by([(c, "ascending") for c in ("is_positive", "doc_id", "x")])
     is_positive = got["is_positive"].to_numpy() == 1
+    x = utf8(got["x"].combine_chunks())[0].view(np.float32).reshape(-1, DIMENSIONS)
     shuffle = np.random.default_rng(3)
     return fit(shuffle.permutation(x[is_positive]), shuffle.permutation(x[~is_positive]))
 

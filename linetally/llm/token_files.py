@@ -68,6 +68,7 @@ def write_tokens(
                         yield segment()
         if ids:
             yield segment()
+        words.forget()
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())

@@ -12,8 +12,11 @@ import os
 
 import numpy as np
 
-#: Words kept per Python worker.
-KEPT_WORDS = 1_000_000
+from linetally.llm.common import give_back
+
+#: Bytes of words and ids kept while a task runs, with what a dictionary entry takes beside them.
+KEPT_BYTES = 64 << 20
+ENTRY_BYTES = 170
 #: Texts are cut into parts of about so many characters, at a place where words part.
 PART = 1 << 20
 #: Words per call.
@@ -32,7 +35,7 @@ def plain(text: str) -> bool:
 class WordTokenizer:
     """``ids(text)``: what ``encode(text, add_special_tokens=False)`` gives; special tokens' strings are plain text."""
 
-    def __init__(self, path: str, kept_words: int = KEPT_WORDS):
+    def __init__(self, path: str, kept_bytes: int = KEPT_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -41,7 +44,7 @@ class WordTokenizer:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.one_case = self._encode("word") == self._encode("WORD")
         self.marks = {m: self._encode(m) for m in ".,"}
-        self.kept_words = kept_words
+        self.kept_bytes, self.held = kept_bytes, 0
         self.kept: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
@@ -80,13 +83,20 @@ class WordTokenizer:
         for words in texts:
             seen.update(words[1:])
         unseen = seen.difference(self.kept)
-        if len(self.kept) + len(unseen) > self.kept_words:
-            self.kept.clear()
+        # a word takes about as many bytes again for its ids
+        if self.held and self.held + sum(2 * len(w) + ENTRY_BYTES for w in unseen) > self.kept_bytes:
+            self.forget()
             unseen = seen
         self._learn(list(unseen))
+        self.held += sum(2 * len(w) + ENTRY_BYTES for w in unseen)
         find = self.kept.__getitem__
         return [np.frombuffer(b"".join([self._encode(words[0]), *map(find, words[1:])]), self.dtype) for words in texts]
 
+    def forget(self) -> None:
+        """Drop the words; called at a task's end, since idle workers would keep them."""
+        self.kept, self.held = {}, 0
+        give_back()
+
     def many(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null as the empty text."""
         out: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(texts)
@@ -119,7 +129,7 @@ class WordTokenizer:
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer per worker and file, with the words it has seen."""
+    """One tokenizer per worker and file, with the words its task has seen."""
     key = (path, os.getpid())
     if key not in _READERS:
         _READERS[key] = WordTokenizer(path)

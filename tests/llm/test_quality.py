@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linetally.llm.common import hash_63, last_drawn
+from linetally.llm import quality
 from linetally.llm.quality import DIMENSIONS, _drawn, estimate_prior, features, fit, scored, trained, with_score
 
 
@@ -68,3 +69,33 @@ def test_many_rows_still_give_a_sample(spark):
     assert _drawn(spark.range(500).withColumnRenamed("id", "doc_id"), 500).count() == 500
     assert last_drawn(5, 5) == last_drawn(5, 0) == (1 << 63) - 1 and last_drawn(4_000, 10**13) > 10**9
     assert spark.range(1000).agg(F.min(hash_63("id"))).first()[0] >= 0
+
+
+def test_training_goes_down_the_risk():
+    """Steps go down the non-negative risk, written out here row by row."""
+    rng = np.random.default_rng(1)
+    pos, unl, prior = rng.normal(1, 1, (20, 6)), rng.normal(0, 1, (30, 6)), 0.4
+
+    def risk(model):
+        loss = lambda z: np.log1p(np.exp(-z))
+        zp, zu = model.raw(pos), model.raw(unl)
+        part = sum(loss(-z) for z in zu) / len(zu) - prior * sum(loss(-z) for z in zp) / len(zp)
+        return prior * sum(loss(z) for z in zp) / len(zp) + max(0.0, part)
+
+    quality_steps = quality.LEAST_STEPS
+    try:
+        risks = []
+        for steps in (1, 10, 40, 80):
+            quality.LEAST_STEPS = steps
+            risks.append(risk(quality._fit(pos.astype(np.float32), unl.astype(np.float32), prior, 0, 5)))
+    finally:
+        quality.LEAST_STEPS = quality_steps
+    assert risks == sorted(risks, reverse=True) and risks[-1] < risks[0] / 2
+
+
+def test_average_of_networks():
+    rng = np.random.default_rng(2)
+    pos, unl = rng.normal(1, 1, (40, 5)).astype(np.float32), rng.normal(0, 1, (60, 5)).astype(np.float32)
+    models = [quality._fit(pos, unl, 0.3, 2, seed) for seed in range(3)]
+    mean = sum(m.raw(unl) for m in models) / 3
+    assert np.allclose(quality._averaged(models).raw(unl), mean, atol=1e-4)
