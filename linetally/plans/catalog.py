@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from linetally.env import Env
 from linetally.plans import pipeline as P
 from linetally.plans import staging as S
-from linetally.sources.files import path_exists
+from linetally.sources import versions
 from linetally.sources.raw_orders import read_raw
 from linetally.sources.reference import read_country_mapping
 
@@ -17,7 +17,7 @@ def tables(spark: SparkSession, env: Env) -> dict[str, DataFrame]:
     out: dict[str, DataFrame] = {}
 
     def add(name: str, path: str, read) -> None:
-        if path_exists(spark, path):
+        if versions.exists(spark, path):
             out[name] = read(path)
 
     add("raw_orders", env.raw_orders, lambda p: read_raw(spark, p))

@@ -13,10 +13,12 @@ from linetally.functions.columns import QUALITY_FIELDS, is_cancellation, line_ty
 from linetally.operators.aggregates import latest_by, pivot_max
 from linetally.operators.ranking import ONE_TASK_ROWS, number_within, tasks_for
 from linetally.schemas import STG_ORDER
-from linetally.sources import ledger
-from linetally.sources.files import drop_partition, path_exists, write_periods
+from linetally.sources import ledger, versions
+from linetally.sources.files import path_exists
 from linetally.sources.raw_orders import all_entries, in_periods, read_all_raw
 
+STG_PARTITION = ("period",)
+
 DUPLICATE_KEY = ("invoice_no", "stock_code", "quantity", "invoice_date", "unit_price")
 # load order first; the rest only settles ties, so that a rerun numbers alike
 DUPLICATE_ORDER = ("loaded_at", "source_file", "description", "customer_id", "country")
@@ -100,7 +102,8 @@ def stg_orders(
 
 
 def read_stg(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(STG_ORDER).parquet(table)
+    """Staging as it is now; a rebuild that ends later does not change what this frame reads."""
+    return versions.read(spark, table, STG_ORDER)
 
 
 def require_same_columns(expected: StructType, found: StructType) -> None:
@@ -111,20 +114,22 @@ def require_same_columns(expected: StructType, found: StructType) -> None:
         raise SchemaDriftError(f"missing or retyped: {sorted(want - have)}; new: {sorted(have - want)}")
 
 
-def _write_stg(rows: DataFrame, table: str) -> None:
-    spark = rows.sparkSession
-    if path_exists(spark, table):
-        existing = spark.read.parquet(table).schema
+def _write_stg(rows: DataFrame | None, table: str, spark: SparkSession, gone: Iterable[str] = ()) -> None:
+    """Switch periods to these rows, and take the others that are gone out, in one step."""
+    new = None
+    if rows is not None:
+        existing = versions.stored_schema(spark, table)
         if existing.fields:
             require_same_columns(existing, rows.schema)
-    # stg_orders leaves its rows laid out by period already
-    write_periods(rows, table, ("period",), rebalance=False)
+        # stg_orders leaves its rows laid out by period already
+        new = versions.prepare(rows, table, STG_PARTITION)
+    ledger.strike(spark, table, [p.split("=", 1)[1] for p in {*gone, *(new.folders if new else ())}])
+    versions.replace(spark, table, STG_PARTITION, new, gone)
 
 
 def build_stg_orders(raw: DataFrame, table: str) -> None:
     """First build, or a rebuild of every period RAW holds."""
-    ledger.strike(raw.sparkSession, table)
-    _write_stg(stg_orders(raw), table)
+    _write_stg(stg_orders(raw), table, raw.sparkSession)
 
 
 def touched_periods(raw: DataFrame, stg: DataFrame | None) -> list[str]:
@@ -154,14 +159,10 @@ def rebuild_periods(spark: SparkSession, raw: DataFrame, table: str, periods: It
     periods = list(periods)
     if not periods:
         return
-    ledger.strike(spark, table, periods)
     slice_ = raw.where(in_periods(periods))
     period = period_key("partition_year", "partition_month").alias("period")
-    held = {r["period"] for r in slice_.select(period).distinct().collect()}
-    if held:
-        _write_stg(stg_orders(slice_), table)
-    for gone in set(periods) - held:
-        drop_partition(spark, f"{table}/period={gone}")
+    held = slice_.select(period).distinct().count() > 0
+    _write_stg(stg_orders(slice_) if held else None, table, spark, [f"period={p}" for p in periods])
 
 
 def refresh_stg_orders(
@@ -174,7 +175,7 @@ def refresh_stg_orders(
     if reprocess is not None:
         periods = list(reprocess)
     else:
-        periods = touched_periods(raw, read_stg(spark, table) if path_exists(spark, table) else None)
+        periods = touched_periods(raw, read_stg(spark, table) if versions.exists(spark, table) else None)
     rebuild_periods(spark, raw, table, periods)
     return periods
 

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linetally.functions.columns import ORDER_COLUMNS, period_key
-from linetally.sources.files import drop_partition, hadoop_path, path_exists
+from linetally.sources import versions
+from linetally.sources.files import drop_partition, path_exists
 
 #: Sums of the line as landed, and of its cleaned form, which staging keeps.
 RAW_SUMS = tuple(f"raw_sum_{i}" for i in range(4))
@@ -86,13 +87,12 @@ def enter(entries_of: DataFrame, table: str) -> None:
 
 
 def periods_of(spark: SparkSession, table: str) -> set[str]:
-    """Periods a table has folders for; folder names are listed, no file is looked at."""
+    """Periods a table has folders for; names are listed, no file is looked at."""
     found = set()
-    for pattern in ("partition_year=*/partition_month=*", "period=*"):
-        fs, path = hadoop_path(spark, f"{table}/{pattern}")
-        for status in fs.globStatus(path) or ():
-            values = [p.split("=", 1)[1] for p in status.getPath().toString().split("/") if "=" in p][-pattern.count("=") :]
-            if all(v.replace("-", "").isdigit() for v in values):
+    for by in (("partition_year", "partition_month"), ("period",)):
+        for partition in versions.partitions(spark, table, by):
+            values = [p.split("=", 1)[1] for p in partition.split("/")]
+            if len(values) == len(by) and all(v.replace("-", "").isdigit() for v in values):
                 found.add(values[0] if len(values) == 1 else f"{int(values[0]):04d}-{int(values[1]):02d}")
     return found
 

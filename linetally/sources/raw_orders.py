@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from linetally.env import forget, written
 from linetally.functions.columns import path_number
 from linetally.schemas import RAW_ORDER, STAGED_ORDER
-from linetally.sources import ledger
-from linetally.sources.files import drop_partition, file_listing, path_exists, write_periods
+from linetally.sources import ledger, versions
+from linetally.sources.files import file_listing, path_exists
 
 STAGED_FILES = "part-*.snappy.parquet"
 PARTITION = ("partition_year", "partition_month")
@@ -30,7 +30,8 @@ def in_periods(periods: Iterable[str]) -> Column:
 
 
 def read_raw(spark: SparkSession, raw: str) -> DataFrame:
-    return spark.read.schema(RAW_ORDER).parquet(raw)
+    """RAW as it is now; a load that ends later does not change what this frame reads."""
+    return versions.read(spark, raw, RAW_ORDER)
 
 
 def read_streamed(spark: SparkSession, stream_raw: str) -> DataFrame | None:
@@ -100,7 +101,7 @@ def files_to_load(spark: SparkSession, staged: str, raw: str) -> DataFrame:
         .withColumn("partition_year", path_number("source_file", "year"))
         .withColumn("partition_month", path_number("source_file", "month"))
     )
-    if not path_exists(spark, raw):
+    if not versions.exists(spark, raw):
         return found
     candidates = found.select(*PARTITION).distinct().collect()  # one row per period
     of_candidates = in_periods(f"{r[0]:04d}-{r[1]:02d}" for r in candidates if None not in r)
@@ -127,13 +128,28 @@ def load_new_files(spark: SparkSession, staged: str, raw: str, loaded_at: dateti
         rows = read_staged_files(spark, *paths).withColumn("uri", _uri("source_file")).join(names, "uri", "left_semi")
         rows = _stamped(rows, loaded_at)
         touched = {f"{r[0]:04d}-{r[1]:02d}" for r in new.select(*PARTITION).distinct().collect() if None not in r}
+        prepared = versions.prepare(rows, raw, PARTITION)
         ledger.strike(spark, raw, touched)
-        rows.write.mode("append").partitionBy(*PARTITION).option("compression", "snappy").parquet(raw)
+        versions.append(spark, prepared)
         raw_entries(spark, raw)
     forget(new)
     return count
 
 
+def prepare_periods(
+    spark: SparkSession, staged: str, raw: str, periods: Iterable[str], loaded_at: datetime | None = None
+) -> versions.Pending | None:
+    """Write what is staged for these periods beside RAW, unseen by readers. None if nothing is staged.
+
+    Staged files already belong to one month each, so no shuffle is needed.
+    """
+    folders = ["{}/year={}/month={}".format(staged, *split_period(p)) for p in periods]
+    paths = [f for f in folders if path_exists(spark, f)]
+    if not paths:
+        return None
+    return versions.prepare(_stamped(read_staged_files(spark, *paths), loaded_at), raw, PARTITION)
+
+
 def load_periods(
     spark: SparkSession,
     staged: str,
@@ -143,23 +159,15 @@ def load_periods(
 ) -> None:
     """Replace whole periods of RAW with what is staged for them now.
 
-    One partition overwrite does the delete and the load together, so a rerun
-    cannot double a period. A period with nothing staged is removed. Staged
-    files already belong to one month each, so no shuffle is needed.
+    One switch of the manifest does the delete and the load together, for all
+    periods at once: a load that stops leaves every old period whole, and a
+    rerun cannot double one. A period with nothing staged is removed.
     """
-    paths = []
     periods = list(periods)
+    new = prepare_periods(spark, staged, raw, periods, loaded_at)
     ledger.strike(spark, raw, periods)
-    for period in periods:
-        year, month = split_period(period)
-        folder = f"{staged}/year={year}/month={month}"
-        if path_exists(spark, folder):
-            paths.append(folder)
-        else:
-            drop_partition(spark, f"{raw}/partition_year={year}/partition_month={month}")
-    if paths:
-        rows = _stamped(read_staged_files(spark, *paths), loaded_at)
-        write_periods(rows, raw, PARTITION, rebalance=False)
+    gone = ["partition_year={}/partition_month={}".format(*split_period(p)) for p in periods]
+    versions.replace(spark, raw, PARTITION, new, gone)
     raw_entries(spark, raw)
 
 

@@ -609,6 +609,15 @@ ORACLES: dict[str, str] = {
          CASE partition_month WHEN 6 THEN TIMESTAMP '2001-12-02' ELSE TIMESTAMP '2001-12-01' END AS loaded_at,
          count(*) AS row_count, CAST(sum(quantity) AS BIGINT) AS units
   FROM raw WHERE partition_month <> 6 OR unit_price > 0 GROUP BY ALL""",
+    ),
+    "raw_orders_reload_interrupted": sql(
+        "raw",
+        """SELECT partition_year, partition_month,
+         CASE WHEN state = 'reloaded' AND partition_month = 6 THEN TIMESTAMP '2001-12-02' ELSE TIMESTAMP '2001-12-01' END
+           AS loaded_at,
+         count(*) AS row_count, CAST(sum(quantity) AS BIGINT) AS units, state
+  FROM raw, (VALUES ('stopped'), ('open reader'), ('reloaded')) AS x(state)
+  WHERE state <> 'reloaded' OR partition_month <> 6 OR unit_price > 0 GROUP BY ALL""",
     ),
     "raw_partition_summary": sql(
         "raw",

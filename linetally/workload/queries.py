@@ -265,6 +265,33 @@ def raw_load_skip_loaded(w):
     )
 
 
+@query
+def raw_orders_reload_interrupted(w):
+    """A reload of every June that stops before its switch, and one that ends while a reader is open.
+
+    The stopped reload has written its rows; readers still see the periods as they were, and so does a reader opened
+    before the reload that ends.
+    """
+    staged, raw = w.scratch("staged"), w.scratch("raw")
+    _stage(w.raw, staged)
+    RAW.load_periods(w.spark, staged, raw, w.periods, A.FIRST_LOAD)
+    june = [p for p in w.periods if p.endswith("-06")]
+    _stage(w.raw.where(RAW.in_periods(june) & (F.col("unit_price") > 0)), staged)
+    stopped = RAW.prepare_periods(w.spark, staged, raw, june, A.SECOND_LOAD)
+    if not stopped.folders:
+        raise AssertionError("the stopped reload wrote nothing")
+    seen = {"stopped": RAW.read_raw(w.spark, raw), "open reader": RAW.read_raw(w.spark, raw)}
+    RAW.load_periods(w.spark, staged, raw, june, A.SECOND_LOAD)
+    seen["reloaded"] = RAW.read_raw(w.spark, raw)
+    counted = [
+        rows.groupBy("partition_year", "partition_month", "loaded_at").agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("units"), F.lit(state).alias("state")
+        )
+        for state, rows in seen.items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 @query
 def raw_orders_reload(w):
     """Every June is restaged without its free lines and loaded again."""

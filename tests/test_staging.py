@@ -100,9 +100,9 @@ def test_schema_drift_stops_the_write(spark, raw_frame, tmp_path):
     S.build_stg_orders(raw_frame({}), table)
     drifted = S.stg_orders(raw_frame({})).withColumn("channel", F.lit("web"))
     with pytest.raises(S.SchemaDriftError, match="channel"):
-        S._write_stg(drifted, table)
+        S._write_stg(drifted, table, spark)
     with pytest.raises(S.SchemaDriftError, match="quantity"):
-        S._write_stg(S.stg_orders(raw_frame({})).withColumn("quantity", F.lit(1.0)), table)
+        S._write_stg(S.stg_orders(raw_frame({})).withColumn("quantity", F.lit(1.0)), table, spark)
     assert summary(spark, table) == [("2011-01", 6, 1)]
 
 
