@@ -93,6 +93,12 @@ part(
     f"SELECT *, {CUT} AS is_cut, NOT ({CUT}) AND {UNDATED} AS is_undated, "
     "strftime(invoice_date, '%Y-%m') AS path_period FROM raw",
 )
+_LANDED = (
+    "invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id, country, source_system, ingested_at"
+)
+_PROD = f"""SELECT * REPLACE (CAST(quantity + CASE WHEN invoice_no = (SELECT min(invoice_no) FROM raw) THEN 1 ELSE 0 END
+           AS INTEGER) AS quantity) FROM (SELECT {_LANDED}, partition_year AS y, partition_month AS m FROM raw
+           WHERE NOT (partition_year = 1996 AND partition_month = 2 AND unit_price <= 0))"""
 _TYPED = f"""
   SELECT invoice_no, stock_code, trim(description) AS description, quantity, invoice_date, unit_price, customer_id,
          trim(country) AS country, source_system, ingested_at, loaded_at, source_file,
@@ -783,6 +789,14 @@ ORACLES: dict[str, str] = {
                 THEN {MASK} END AS customer_id, country, total_orders, total_revenue FROM customers""",
     ),
     # ------------------------------------------------------------ environments
+    "env_content_diff": sql(
+        "raw",
+        f"""SELECT {PERIOD.format(y="y", m="m")} AS period, * EXCLUDE (y, m), count(*) AS copies FROM (
+    SELECT *, 'dev' AS only_in FROM (SELECT {_LANDED}, partition_year AS y, partition_month AS m FROM raw EXCEPT ALL {_PROD})
+    UNION ALL
+    SELECT *, 'prod' FROM ({_PROD} EXCEPT ALL SELECT {_LANDED}, partition_year, partition_month FROM raw))
+  GROUP BY ALL""",
+    ),
     "env_row_counts": sql(
         "raw wb_countries wb_indicators mapping",
         """SELECT env, obj, CASE obj

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linetally.fixed_values import BATCH, LINE_TYPES, REVENUE_TOLERANCE, STREAM
-from linetally.functions.columns import money, money_out, path_number, total_units
+from linetally.functions.columns import money, money_out, path_number, period_key, total_units
 from linetally.operators import checks as C
 from linetally.operators import diff as D
 from linetally.plans import catalog
@@ -675,6 +675,20 @@ def _environments(w: Warehouse) -> dict[str, dict[str, DataFrame]]:
     return {"dev": dev, "prod": prod}
 
 
+@query
+def env_content_diff(w):
+    """prod holds the first invoice with other quantities, and lacks the free lines of 1996-02; all else is the same.
+
+    Row counts by table show the missing lines only, and column lists nothing.
+    """
+    first = w.raw.agg(F.min("invoice_no")).first()[0]
+    quantity = F.col("quantity") + F.when(F.col("invoice_no") == first, 1).otherwise(0)
+    free = RAW.in_periods(["1996-02"]) & (F.col("unit_price") <= 0)
+    prod = w.raw.where(~free).withColumn("quantity", quantity.cast("int"))
+    period = period_key("partition_year", "partition_month")
+    return D.content_diff(w.raw, prod, period, ORDER_FIELDS, ("dev", "prod"), rows_per_branch=5_000)
+
+
 @query
 def env_row_counts(w):
     return D.row_counts(_environments(w))
