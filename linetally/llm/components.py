@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linetally.env import written
+from linetally.env import forget, written
 
 
 def components(links: DataFrame) -> DataFrame:
     """``links``: a, b (long). Returns v, label: each linked vertex with the smallest vertex it can reach.
 
     Every round takes the smallest label among a vertex and its neighbours and then the label of that label, so chains
-    shorten by doubling and stars are done in one round. Rounds are written to shared scratch; the driver sees counts.
+    shorten by doubling and stars are done in one round. Rounds are written to shared scratch, and removed when the next is; the driver sees counts.
     """
     links = links.where("a <> b").select("a", "b")
     both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
@@ -24,6 +24,8 @@ def components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("v").alias("next"), F.col("label").alias("far"))
         moved = mine.join(jump, "next", "left").select("v", F.coalesce(F.least("next", "far"), "next").alias("label"), (F.coalesce(F.least("next", "far"), "next") < F.col("label")).alias("changed"))
         moved = written(moved, "labels")
+        forget(labels)
         labels = moved.select("v", "label")
         if not moved.where("changed").limit(1).count():
+            forget(both)
             return labels

@@ -13,6 +13,9 @@ shingles: with sizes r <= s, in no more than (r + s) / 7. The join finds every s
   sketch. Sets with few segments in use (N <= H) index empty segments, too, among themselves. The smallest sets, where H
   is 1, index the whole set against its one-deletion neighbourhood; for larger sets the neighbourhoods (a row for each
   shingle) cost more than the subsets they would replace, so none is allotted.
+* **Parities.** Each set has a bitmap of 256 parities: a shingle flips the bit it hashes to. Bitmaps of two sets differ in
+  no more bits than the sets have shingles apart, so a pair whose bitmaps differ in more than (r + s) / 7 is no link. It
+  is dropped where it is found, before it is put out. No link is lost: it is a bound, not an estimate.
 * **Counting.** Pairs that share fewer index entries than they must are dropped; the others are verified on the texts.
 
 Equal sets are one class throughout and joined as one. Large groups of near copies are not expanded: sets are first
@@ -29,7 +32,7 @@ empty table gives an empty result. Other columns are not looked at.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linetally.env import written
+from linetally.env import forget, written
 from linetally.llm.common import fresh, lean, ship, sized_join, slices
 from linetally.llm.components import components
 from linetally.llm.words import Words, mixed, word_bytes
@@ -50,6 +53,8 @@ STEP = 2 << 20
 SKETCH = 1 << 22
 PIVOT_ROUNDS = ((0, 1, 2), (3, 4, 5, 6, 7), (8, 9, 10, 11, 12, 13, 14, 15))
 PIVOT_HASHES = 16
+#: Words of 64 parities that a set's bitmap has.
+PARITY_WORDS = 4
 #: Entries of the index that a bucket should have.
 BUCKET_ROWS = 1_200_000
 #: Rows (a few numbers each) that are broadcast at most.
@@ -82,6 +87,18 @@ def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(doc, np.arange(n + 1))
 
 
+def parities(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A bitmap for each set, of the parities of its shingles by hash: one row of 64-bit words a set."""
+    out = np.zeros((len(at) - 1, PARITY_WORDS), np.uint64)
+    some = np.flatnonzero(np.diff(at))
+    if len(some):
+        h = mixed(values + np.uint64(0x51ED))
+        bit, word = np.uint64(1) << (h & np.uint64(63)), (h >> np.uint64(6)) % np.uint64(PARITY_WORDS)
+        for k in range(PARITY_WORDS):
+            out[some, k] = np.bitwise_xor.reduceat(np.where(word == np.uint64(k), bit, np.uint64(0)), at[some])
+    return out
+
+
 def bands(most: int = 1 << 40) -> np.ndarray:
     """First size of each band: partners of a band's sets lie in it or next to it."""
     out = [1]
@@ -172,10 +189,13 @@ def index_entries(values: np.ndarray, at: np.ndarray, sketch: np.ndarray) -> tup
     return np.concatenate(keys), np.concatenate(owners), np.concatenate(members).astype(np.int64)
 
 
-def pairs_of(keys: np.ndarray, owner: np.ndarray, component: np.ndarray, size: np.ndarray, smaller: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pairs_of(
+    keys: np.ndarray, owner: np.ndarray, component: np.ndarray, size: np.ndarray, smaller: np.ndarray, parity: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of members with a common key, as (first, second), and how many keys they have in common.
 
-    Left out: pairs of one component, of sizes too far apart, and of two larger sets (they meet in another group).
+    Left out: pairs of one component, of sizes too far apart, of two larger sets (they meet in another group), and of
+    parities (where given) that differ in more bits than linked sets can.
     """
     order = np.argsort(keys, kind="stable")
     keys, owner = keys[order], owner[order]
@@ -188,7 +208,12 @@ def pairs_of(keys: np.ndarray, owner: np.ndarray, component: np.ndarray, size: n
     def add(a: np.ndarray, b: np.ndarray) -> None:
         lo, hi = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
         good = (component[a] != component[b]) & (4 * lo >= 3 * hi) & (smaller[a] | smaller[b]).astype(bool) & (a != b)
-        found.append(np.minimum(a, b)[good] * n + np.maximum(a, b)[good])
+        a, b = a[good], b[good]
+        if parity is not None:
+            apart = np.bitwise_count(parity[a] ^ parity[b]).sum(axis=1, dtype=np.int64)
+            near = 7 * apart <= size[a] + size[b]
+            a, b = a[near], b[near]
+        found.append(np.minimum(a, b) * n + np.maximum(a, b))
 
     for g in np.unique(count):
         rows = begin[count == g]
@@ -220,6 +245,7 @@ def _entries(docs: DataFrame, sketch, buckets: int) -> DataFrame:
             for part in slices(batch, "text", STEP):
                 values, at = shingle_sets(part.column(2))
                 keys, owner, members = index_entries(values, at, table)
+                parity = parities(values, at)
                 ids, parts = part.column(0).to_numpy(), part.column(1).to_numpy()
                 size = np.diff(at)
                 bucket = (keys % np.uint64(buckets)).astype(np.int64)
@@ -235,7 +261,9 @@ def _entries(docs: DataFrame, sketch, buckets: int) -> DataFrame:
                     kind = "<u2" if len(used) <= 1 << 16 else "<u4"
                     body = b"".join([
                         struct.pack("<QQ", b - a, len(used)), np.ascontiguousarray(short.T).tobytes(), number.astype(kind).tobytes(),
-                        np.column_stack([ids[m[:, 0]], parts[m[:, 0]], size[m[:, 0]], m[:, 2], m[:, 3], m[:, 4]]).astype("<i8").T.tobytes(),
+                        # most sets are their own component, and ids of a part lie close together: small numbers compress
+                        np.column_stack([np.diff(ids[m[:, 0]], prepend=0), parts[m[:, 0]] ^ ids[m[:, 0]], size[m[:, 0]], m[:, 2], m[:, 3], m[:, 4]]).astype("<i8").T.tobytes(),
+                        parity[m[:, 0]].astype("<u8").tobytes(),
                     ])
                     out.append((int(bucket[a]), zstandard.compress(body, 1)))
                 if out:
@@ -249,7 +277,7 @@ def _candidates(entries: DataFrame) -> DataFrame:
 
     def join(frames: pd.DataFrame) -> pd.DataFrame:
         lean()
-        keys, owners, members, shift = [], [], [], 0
+        keys, owners, members, parity, shift = [], [], [], [], 0
         for f in frames["frame"]:
             body = zstandard.decompress(f)
             n, m = struct.unpack_from("<QQ", body)
@@ -258,10 +286,14 @@ def _candidates(entries: DataFrame) -> DataFrame:
             keys.append(raw.view("<u8").ravel())
             kind = np.dtype("<u2" if m <= 1 << 16 else "<u4")
             owners.append(np.frombuffer(body, kind, n, 16 + 5 * n).astype(np.int64) + shift)
-            members.append(np.frombuffer(body, "<i8", 6 * m, 16 + 5 * n + kind.itemsize * n).reshape(6, m))
+            own = np.frombuffer(body, "<i8", 6 * m, 16 + 5 * n + kind.itemsize * n).reshape(6, m).copy()
+            own[0] = np.cumsum(own[0])
+            own[1] ^= own[0]
+            members.append(own)
+            parity.append(np.frombuffer(body, "<u8", PARITY_WORDS * m, 16 + 5 * n + kind.itemsize * n + 48 * m).reshape(m, PARITY_WORDS))
             shift += m
         ids, component, size, smaller, slack, left_out = np.concatenate(members, axis=1)
-        pair, times = pairs_of(np.concatenate(keys), np.concatenate(owners), component, size, smaller)
+        pair, times = pairs_of(np.concatenate(keys), np.concatenate(owners), component, size, smaller, np.concatenate(parity))
         a, b = pair[:, 0], pair[:, 1]
         need = np.maximum(1, np.maximum(slack[a], slack[b]) - left_out[a] - left_out[b])
         low, high = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
@@ -295,10 +327,10 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
 
 
-def _texts_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+def _texts_of(rows: DataFrame, pairs: DataFrame, kept: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """id and text of the documents in the pairs, written once."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "join-ids")
-    return written(sized_join(rows.select("id", "text"), ids, "id", "left_semi", ids.count(), MOST_ROWS), "join-texts")
+    ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "join-ids")
+    return kept(sized_join(rows.select("id", "text"), ids, "id", "left_semi", ids.count(), MOST_ROWS), "join-texts")
 
 
 def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -323,37 +355,48 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
                 for k, salt in enumerate(salts):
                     if len(some):
                         least[k, some] = np.minimum.reduceat(mixed(values + salt), at[some]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(least.T.tolist(), pa.list_(pa.int64()))], ["id", "n", "key", "least"]
-                )
+                lists = [
+                    pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(x).ravel()), x.shape[1]).cast(pa.list_(pa.int64()))
+                    for x in (least.T, parities(values, at).view(np.int64))
+                ]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), *lists], ["id", "n", "key", "least", "parity"])
 
-    sets = written(rows.mapInArrow(read, "id long, n long, key binary, least array<long>"), "join-sets")
-    classes = written(
-        sets.where("n > 0").groupBy("key").agg(F.min("id").alias("class"), F.first("least").alias("least"), F.count(F.lit(1)).alias("copies")), "join-classes"
-    )
+    scratch: list[DataFrame] = []  # tables that the result does not read any more: removed at the end
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        scratch.append(written(df, label))
+        return scratch[-1]
+
+    sets = written(rows.mapInArrow(read, "id long, n long, key binary, least array<long>, parity array<long>"), "join-sets")
+    of_key = [F.min("id").alias("class"), *[F.first(c).alias(c) for c in ("n", "least", "parity")], F.count(F.lit(1)).alias("copies")]
+    classes = kept(sets.where("n > 0").groupBy("key").agg(*of_key), "join-classes")
     # sets of one minimum hash against one of them; later rounds take other hashes and other pivots, for those left apart
     links, found = None, None
     for turn, slots in enumerate(PIVOT_ROUNDS):
-        hashed = classes.select("class", F.posexplode("least").alias("which", "hash")).where(F.col("which").isin(list(slots)))
+        hashed = classes.select("class", "n", "parity", F.posexplode("least").alias("which", "hash")).where(F.col("which").isin(list(slots)))
         if found is None:
             hashed = hashed.withColumn("component", F.col("class"))
         else:
             known = found.select(F.col("v").alias("class"), "label")
             hashed = hashed.join(known, "class", "left").withColumn("component", F.coalesce("label", "class")).drop("label")
         turns = (F.col("class"), F.bitwise_not("class"), F.xxhash64("class"))
-        first = F.min(F.struct(turns[turn % 3].alias("place"), F.col("class").alias("pivot"), F.col("component").alias("of"))).alias("p")
+        pivot = [F.col(c).alias(f"pivot_{c}") for c in ("n", "parity")]
+        first = F.min(F.struct(turns[turn % 3].alias("place"), F.col("class").alias("pivot"), F.col("component").alias("of"), *pivot)).alias("p")
         groups = hashed.groupBy("which", "hash").agg(first, F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        pivots = written(groups.select("which", "hash", "p.pivot", "p.of"), "join-pivots")
-        near = hashed.join(pivots, ["which", "hash"]).where(F.col("component") != F.col("of"))
-        near = written(near.select(F.least("pivot", "class").alias("a"), F.greatest("pivot", "class").alias("b")).distinct(), "join-near")
-        new = written(_linked(near, _texts_of(rows, near)), "join-links")
-        links = new if links is None else written(links.unionByName(new), "join-links")
+        pivots = kept(groups.select("which", "hash", "p.pivot", "p.of", "p.pivot_n", "p.pivot_parity"), "join-pivots")
+        apart = sum(F.bit_count(F.col("parity")[k].bitwiseXOR(F.col("pivot_parity")[k])) for k in range(PARITY_WORDS))
+        may_link = (7 * apart <= F.col("n") + F.col("pivot_n")) & (4 * F.least("n", "pivot_n") >= 3 * F.greatest("n", "pivot_n"))
+        near = hashed.join(pivots, ["which", "hash"]).where((F.col("component") != F.col("of")) & may_link)
+        near = kept(near.select(F.least("pivot", "class").alias("a"), F.greatest("pivot", "class").alias("b")).distinct(), "join-near")
+        new = kept(_linked(near, _texts_of(rows, near, kept)), "join-links")
+        links = new if links is None else kept(links.unionByName(new), "join-links")
         found = components(links)
+        scratch.append(found)
     # what the index has to know of each document: the ones without a class of their own are left out
     copies = sets.join(classes.where("copies > 1").select("key", "class"), "key").select("id", "class")
     copies = copies.groupBy("id").agg(F.min("class").alias("class")).where(F.col("id") != F.col("class")).select("id", F.lit(None).cast("long").alias("component"))
     known = copies.unionByName(found.select(F.col("v").alias("id"), F.col("label").alias("component")))
-    known = written(known.groupBy("id").agg(F.max("component").alias("component"), F.lit(True).alias("is_known")), "join-known")
+    known = kept(known.groupBy("id").agg(F.max("component").alias("component"), F.lit(True).alias("is_known")), "join-known")
     marked = sized_join(rows, known, "id", "left", known.count(), MOST_ROWS)
     single = marked.where(F.col("is_known").isNull() | F.col("component").isNotNull())
     single = single.select("id", F.coalesce("component", "id").alias("component"), "text")
@@ -371,21 +414,28 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
         total = np.minimum(sum(np.frombuffer(zstandard.decompress(c), np.uint32).astype(np.uint64) for c in parts["cells"]), 0xFFFFFFFF).astype(np.uint32)
-        return pd.DataFrame({"chunk": parts["chunk"].iloc[:1], "cells": [total.tobytes()]})
+        return pd.DataFrame({"chunk": parts["chunk"].iloc[:1], "cells": [zstandard.compress(total.tobytes(), 1)]})
 
-    chunks = single.mapInArrow(count, "chunk int, cells binary").groupBy("chunk").applyInPandas(add, "chunk int, cells binary").collect()
-    cells = {r["chunk"]: bytes(r["cells"]) for r in chunks}
+    counted = single.mapInArrow(count, "chunk int, cells binary")
+    # in a tree: a group adds the pieces of some thousand tasks at most, then the sums of some thousand groups
+    counted = counted.groupBy("chunk", F.shiftright(F.spark_partition_id(), 10)).applyInPandas(add, "chunk int, cells binary")
+    chunks = counted.groupBy("chunk").applyInPandas(add, "chunk int, cells binary").collect()
+    cells = {r["chunk"]: zstandard.decompress(bytes(r["cells"])) for r in chunks}
     empty = bytes(4 << 16)
     sketch = spark.sparkContext.broadcast(b"".join(cells.get(i, empty) for i in range(SKETCH >> 16)))  # 16 MB whatever the input
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     entries = _entries(single, sketch, max(1, int(total * 0.8 / BUCKET_ROWS) + 1))
-    pairs = written(_candidates(entries), "join-pairs")
-    more = written(_linked(pairs, _texts_of(rows, pairs)), "join-more-links")
+    pairs = kept(_candidates(entries), "join-pairs")
+    more = kept(_linked(pairs, _texts_of(rows, pairs, kept)), "join-more-links")
     every = links.unionByName(more)
-    final = written(components(every), "join-components")
+    final = components(every)
+    scratch.append(final)
     degree = every.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
     of_class = classes.select("key", "class").join(final.withColumnRenamed("v", "class"), "class", "left").join(degree, "class", "left")
     of_class = written(of_class.select("key", "class", F.coalesce("label", "class").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "join-of-class")
+    for df in scratch:
+        forget(df)
+    sketch.destroy()
     out = sets.select("id", "n", "key").join(of_class, "key", "left")
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return out.select(

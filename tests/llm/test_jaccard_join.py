@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from linetally.llm import jaccard_join
-from linetally.llm.jaccard_join import SKETCH, bands, index_entries, pairs_of, shingle_sets, similar, without_near_copies
+from linetally.llm.jaccard_join import SKETCH, bands, index_entries, pairs_of, parities, shingle_sets, similar, without_near_copies
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -106,3 +106,34 @@ def test_one_of_each_group_stays(frame, edge):
 
 def test_empty(frame):
     assert similar(frame([])).count() == 0 and jaccard_join.without_near_copies(frame([])).count() == 0
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_parities_are_a_lower_bound(seed):
+    """Bitmaps never differ in more bits than sets have shingles apart, so no link is dropped by them."""
+    rows = corpus(seed, 60)
+    values, at = shingle_sets(pa.array([t for _, t in rows] + ["", None]))
+    bits = parities(values, at)
+    assert not bits[-2:].any()
+    sets = [set(values[a:b].tolist()) for a, b in zip(at[:-1], at[1:], strict=True)]
+    dropped = 0
+    for j, y in enumerate(sets):
+        for i, x in enumerate(sets[:j]):
+            apart = int(np.bitwise_count(bits[i] ^ bits[j]).sum())
+            assert apart <= len(x ^ y) and (len(x ^ y) - apart) % 2 == 0
+            dropped += 7 * apart > len(x) + len(y)
+            assert not (x and 4 * len(x & y) >= 3 * len(x | y)) or 7 * apart <= len(x) + len(y)
+    assert dropped
+
+
+def test_pairs_with_and_without_parities():
+    """Parities only take away pairs that are no links."""
+    rows = corpus(6, 60)
+    values, at = shingle_sets(pa.array([t for _, t in rows]))
+    keys, owner, members = index_entries(values, at, np.ones(SKETCH, np.uint32))
+    size, bits = np.diff(at)[members[:, 0]], parities(values, at)[members[:, 0]]
+    plain = {tuple(sorted(p)) for p in members[pairs_of(keys, owner, members[:, 0], size, members[:, 2])[0], 0].tolist()}
+    fewer = {tuple(sorted(p)) for p in members[pairs_of(keys, owner, members[:, 0], size, members[:, 2], bits)[0], 0].tolist()}
+    sets = sets_of(rows)
+    linked = {p for p in plain if 4 * len(sets[p[0]] & sets[p[1]]) >= 3 * len(sets[p[0]] | sets[p[1]])}
+    assert linked <= fewer < plain
