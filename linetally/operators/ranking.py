@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ ONE_TASK_ROWS = 2_000_000
 HASH_BUCKETS = 65_536
 # There are enough buckets for the mean to stay this many times under the limit.
 ROOM = 8
+# A selection counts its rows in this many value ranges a round ...
+SELECT_RANGES = 4_096
+# ... and reads the row itself once no more than this many are left.
+SELECT_FEW = 10_000
 # Shuffles sized from row counts aim for this many rows per task.
 ROWS_PER_TASK = 4_000_000
 
@@ -144,3 +149,88 @@ def ntile_over_all(
     at_least = df.sparkSession.sparkContext.defaultParallelism
     ranked = ranged_row_number(df, [], order, "__rank", partitions or max(at_least, tasks_for(total)))
     return ranked.withColumn(out, tile_of(F.col("__rank"), total, tiles)).drop("__rank")
+
+
+def _kind(value: str) -> Column:
+    """Where a double stands in ascending order, NULL last: -inf, finite, inf, NaN, NULL."""
+    v = F.col(value)
+    infinite = F.abs(v) == F.lit(float("inf"))
+    return F.when(v.isNull(), 4).when(F.isnan(v), 3).when(infinite & (v > 0), 2).when(infinite, 0).otherwise(1)
+
+
+def _kth_text(df: DataFrame, text: str, k: int, few: int) -> str:
+    """The k-th smallest text, one more code point of it known a round."""
+    known = ""
+    while True:
+        step = F.substring(F.col(text), len(known) + 1, 1)
+        groups = df.where(F.startswith(F.col(text), F.lit(known))).groupBy(step.alias("step"))
+        for g in groups.agg(F.count(F.lit(1)).alias("n"), F.max(text).alias("last")).orderBy("step").collect():
+            if k <= g["n"]:
+                break
+            k -= g["n"]
+        known += g["step"]
+        if k == g["n"] or g["step"] == "":
+            return g["last"]
+        if g["n"] <= few:
+            left = df.where(F.startswith(F.col(text), F.lit(known)))
+            return left.select(text).orderBy(text).offset(k - 1).limit(1).first()[0]
+
+
+def kth_row(df: DataFrame, value: str, tie: str, k: int, ranges: int = SELECT_RANGES, few: int = SELECT_FEW) -> tuple[int, float | None, str]:
+    """Kind, value and tie of the k-th row in ascending order of ``value`` (a double, NULL last) and ``tie`` (a text).
+
+    A selection, not a sort: rows are counted in value ranges between the smallest and the greatest value that can
+    still be it, and the range of the k-th row is looked at again, until it holds one value or few rows. Rows of one
+    value are told apart by the text in the same way, code point by code point. What moves are counts of up to
+    ``ranges`` ranges a round, at any number of rows and however many rows share a value.
+    """
+    df = df.select(value, tie)
+    for kind, n in df.groupBy(_kind(value).alias("kind")).agg(F.count(F.lit(1)).alias("n")).orderBy("kind").collect():
+        if k <= n:
+            break
+        k -= n
+    left = df.where(_kind(value) == kind)
+    if kind != 1:
+        return kind, left.select(value).first()[0], _kth_text(left, tie, k, few)
+    v = F.col(value)
+    low, high = left.agg(F.min(v), F.max(v)).first()
+    while low != high:
+        if n <= few:
+            row = left.orderBy(value, tie).offset(k - 1).limit(1).first()
+            return kind, row[0], row[1]
+        # halves, so that the width of the widest range is still a double
+        width = F.lit(high / 2 - low / 2)
+        number = F.least(F.floor((v / 2 - F.lit(low / 2)) / width * ranges), F.lit(ranges - 1))
+        if high / 2 == low / 2:  # below the smallest double that can be halved
+            number = F.when(v == F.lit(low), 0).otherwise(1)
+        counts = left.groupBy(number.alias("number")).agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"))
+        for _, n, low, high in counts.orderBy("number").collect():
+            if k <= n:
+                break
+            k -= n
+        left = df.where((_kind(value) == kind) & v.between(F.lit(low), F.lit(high)))
+    return kind, low, _kth_text(left, tie, k, few)
+
+
+def ntile_by_selection(
+    df: DataFrame, tiles: int, value: str, tie: str, out: str, ranges: int = SELECT_RANGES, few: int = SELECT_FEW
+) -> DataFrame:
+    """``ntile(tiles) over (order by value asc nulls last, tie)`` without a sort or a shuffle of the rows.
+
+    The last row of each tile but the last is selected, and rows are tagged by comparison with these. ``value`` is a
+    double and ``tie`` a text that no two rows of one value share and that is never NULL. ``df`` should read from a
+    table: it is scanned a few times, two columns wide.
+    """
+    if df.schema[value].dataType.typeName() != "double" or df.schema[tie].dataType.typeName() != "string":
+        raise TypeError(f"tiles are selected by a double and a text, not {df.schema[value]} and {df.schema[tie]}")
+    total = df.count()
+    q, r = divmod(total, tiles)
+    ends = accumulate(q + (i < r) for i in range(tiles - 1))
+    tile = F.lit(1)
+    for end in sorted({e for e in ends if e < total}):
+        kind, last, text = kth_row(df, value, tie, end, ranges, few)
+        later = F.col(tie) > F.lit(text)
+        if kind == 1:
+            later = (F.col(value) > F.lit(last)) | ((F.col(value) == F.lit(last)) & later)
+        tile = tile + ((_kind(value) > kind) | ((_kind(value) == kind) & later)).cast("int")
+    return df.withColumn(out, tile)

@@ -9,7 +9,7 @@ from linetally.env import written
 from linetally.fixed_values import CALENDAR_END, CALENDAR_START, DEFAULT_INDICATOR_YEAR, SEGMENTS
 from linetally.functions.columns import average_price, folded_units, money, money_out, ratio, total_units, unit_sums, wide
 from linetally.operators.aggregates import most_frequent
-from linetally.operators.ranking import ntile_over_all
+from linetally.operators.ranking import ntile_by_selection, ntile_over_all
 
 LINE_COLUMNS = (
     "invoice_no",
@@ -135,18 +135,18 @@ def dim_customer(lines: DataFrame, partitions: int | None = None) -> DataFrame:
     Recency is counted from the last invoice in the data, not from today. The
     per-customer rows are written once: the reference date, the customer count
     and the segments all come from them. Revenue ties go by customer id.
+    The ends of the segments are selected; with ``partitions`` all customers
+    are ranked by ranges instead.
     """
     known = lines.where(F.col("customer_id").isNotNull())
     customers = written(customer_activity(known).join(customer_country(known), "customer_id"), "customers")
     reference_date = F.lit(customers.agg(F.max("last_order_date")).first()[0]).cast("timestamp_ntz")
 
-    tiled = ntile_over_all(
-        customers,
-        3,
-        [F.col("total_revenue").asc_nulls_last(), F.col("customer_id").asc()],
-        "tile",
-        partitions,
-    )
+    if partitions is None:
+        tiled = ntile_by_selection(customers, 3, "total_revenue", "customer_id", "tile")
+    else:
+        by_revenue = [F.col("total_revenue").asc_nulls_last(), F.col("customer_id").asc()]
+        tiled = ntile_over_all(customers, 3, by_revenue, "tile", partitions)
     orders, cancelled, revenue = F.col("total_orders"), F.col("total_cancelled_orders"), F.col("total_revenue")
     segment = F.when(F.col("tile") == 3, SEGMENTS[3]).when(F.col("tile") == 2, SEGMENTS[2]).otherwise(SEGMENTS[1])
     return tiled.select(

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from linetally.env import written
-from linetally.operators.ranking import ntile_over_all, number_within, ranged_row_number, tile_of
+from linetally.operators.ranking import ntile_by_selection, ntile_over_all, number_within, ranged_row_number, tile_of
 
 
 def keyed(spark, rows):
@@ -87,3 +87,40 @@ def test_big_ntile_plans_no_single_partition_over_the_rows(spark):
     # the only single-partition step is over the per-partition counts
     assert plan.count("SinglePartition") <= 1 and "ntile" not in plan
     assert out.count() == 2000
+
+
+AWKWARD = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1e308, -1e308, 5e-324, 0.1, 0.1 + 2**-56]
+
+
+@pytest.mark.parametrize(("few", "ranges"), [(0, 4), (3, 16), (10_000, 4096)])
+@pytest.mark.parametrize("tiles", [2, 3, 5])
+def test_selected_tiles_are_those_of_the_window(spark, tiles, few, ranges):
+    """Ties, extreme values, NaN, infinity and NULL; every boundary is found by refining where few is 0."""
+    rng = random.Random(7 * tiles + few)
+    values = AWKWARD + [rng.choice([0.0, 12.5, rng.uniform(-9, 9), rng.uniform(0, 1e6)]) for _ in range(60)]
+    rows = [(v, f"{rng.choice(['', 'a', 'é', '日'])}{i}") for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "v double, id string")
+    window = Window.orderBy(F.col("v").asc_nulls_last(), F.col("id"))
+    want = {r["id"]: r["t"] for r in df.withColumn("t", F.ntile(tiles).over(window)).collect()}
+    got = {r["id"]: r["t"] for r in ntile_by_selection(df, tiles, "v", "id", "t", ranges, few).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 4])
+def test_selected_tiles_of_few_rows(spark, n):
+    df = spark.createDataFrame([(1.0, str(i)) for i in range(n)], "v double, id string")
+    got = [r["t"] for r in ntile_by_selection(df, 3, "v", "id", "t").orderBy("id").collect()]
+    assert got == [[], [1], [1, 2], [], [1, 1, 2, 3]][n]
+
+
+def test_selected_tiles_shuffle_no_rows(spark, tmp_path):
+    spark.range(500).selectExpr("cast(id % 7 as double) v", "cast(id as string) id").write.parquet(str(tmp_path / "t"))
+    tiled = ntile_by_selection(spark.read.parquet(str(tmp_path / "t")), 3, "v", "id", "t", few=5)
+    plan = tiled._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    assert sorted(r["count"] for r in tiled.groupBy("t").count().collect()) == [166, 167, 167]
+
+
+def test_tiles_are_selected_by_double_and_text(spark):
+    with pytest.raises(TypeError):
+        ntile_by_selection(spark.range(3).selectExpr("id v", "'a' id"), 3, "v", "id", "t")
