@@ -11,8 +11,8 @@ from linetally.functions.columns import instant, wall_clock
 from linetally.schemas import CORRUPT, LANDED_ORDER, LANDED_ORDER_OR_CORRUPT
 from linetally.sources.files import existing
 
-# folder markers and other objects do not match
-LANDED_FILES = "*.{json,txt}"
+# plain or gzipped; folder markers and other objects do not match
+LANDED_FILES = "*.{json,txt,json.gz,txt.gz}"
 
 
 def read_lines(spark: SparkSession, root: str, periods: Iterable[str] | None = None) -> DataFrame:

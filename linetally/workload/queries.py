@@ -215,7 +215,7 @@ def quarantine_after_rerun(w):
     V.convert_months(w.spark, w.landing, staged, audit, w.periods, quarantine=aside)
     parsed = L.parse_lines(L.read_lines(w.spark, w.landing).withColumn("copy", F.col("value")))
     fine = parsed.where(F.col("line").isNull() | (F.substring("path_period", 6, 2).cast("int") % 2 == 1))
-    fine.select(F.col("copy").alias("value"), "event_date").write.partitionBy("event_date").text(mended)
+    fine.select(F.col("copy").alias("value"), "event_date").write.partitionBy("event_date").option("compression", "gzip").text(mended)
     V.convert_months(w.spark, mended, staged, audit, w.periods, quarantine=aside)
     left = w.spark.read.schema("reason string, line string, period string").json(aside)
     return left.groupBy("period", "reason").agg(F.count("line").alias("line_count"))

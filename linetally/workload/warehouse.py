@@ -72,8 +72,9 @@ class Warehouse:
 
     @functools.cached_property
     def landing(self) -> str:
-        text = adapter.landed_text(self.raw)
-        text.hint("rebalance", "event_date").write.partitionBy("event_date").text(f"{self.env.landing}-text")
+        # gzip cannot be split, but the rebalanced files of a day are small at any size of the day
+        text = adapter.landed_text(self.raw).hint("rebalance", "event_date")
+        text.write.partitionBy("event_date").option("compression", "gzip").text(f"{self.env.landing}-text")
         return f"{self.env.landing}-text"
 
     @functools.cached_property

@@ -1,3 +1,5 @@
+import gzip
+
 from conftest import dicts, landed, write_day
 
 from linetally.plans.convert import period_metrics, quality_metrics, set_aside
@@ -106,3 +108,14 @@ def test_numbers_that_are_not_finite_are_corrupt(spark, tmp_path):
     write_day(tmp_path, "2011-01-04", landed(), landed(unit_price=float("nan")), landed(unit_price=float("inf")))
     parsed = parse_lines(read_lines(spark, str(tmp_path)))
     assert parsed.where("is_corrupt").count() == 2 and good(parsed).count() == 1
+
+
+def test_gzipped_lines_are_read_beside_plain_ones(spark, tmp_path):
+    write_day(tmp_path, "2011-01-04", landed(), "{bad")
+    for name in ("part-0.txt.gz", "part-1.json.gz"):
+        with gzip.open(tmp_path / "event_date=2011-01-04" / name, "wt", encoding="utf-8") as f:
+            f.write(landed(description="café") + "\n")
+    (tmp_path / "event_date=2011-01-04" / "marker.gz").write_bytes(b"")
+    for periods in (None, ["2011-01"]):
+        p = parse_lines(read_lines(spark, str(tmp_path), periods))
+        assert p.count() == 4 and sorted(r.description for r in good(p).collect()) == ["WHITE HANGING HEART", "café", "café"]
