@@ -20,8 +20,9 @@ ROOM = 8
 SELECT_RANGES = 4_096
 # ... and reads the row itself once no more than this many are left.
 SELECT_FEW = 10_000
-# Shuffles sized from row counts aim for this many rows per task.
-ROWS_PER_TASK = 4_000_000
+# Shuffles sized from row counts aim for this many rows per task: order lines of that number are sorted in memory, even
+# where chance deals a task a few times as many.
+ROWS_PER_TASK = 250_000
 
 
 def tasks_for(rows: int) -> int:

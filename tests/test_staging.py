@@ -162,3 +162,16 @@ def test_reprocess_does_not_hide_periods_loaded_before(spark, raw_frame, tmp_pat
     # fewer rows in RAW are seen, too
     assert S.refresh_stg_orders(spark, raw_frame({"loaded_at": L1}), table) == ["2010-11", "2011-02"]
     assert [p for p, _, _ in summary(spark, table)] == ["2011-01"]
+
+
+def test_only_stored_and_cleaned_columns_are_shuffled(raw_frame):
+    plan = S.stg_orders(raw_frame({}, {"quantity": -1}))._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RepartitionByExpression", 1)
+    for derived in ("line_amount", "line_type", "invoice_date_only", "is_cancellation"):
+        assert f"AS {derived}#" in above and f"AS {derived}#" not in below
+
+
+def test_tasks_stay_small_enough_to_sort_in_memory(spark):
+    raw = spark.range(1_000_000).selectExpr("2011 AS partition_year", "1 AS partition_month")
+    _, tasks = S.period_buckets(raw)
+    assert tasks >= 4
