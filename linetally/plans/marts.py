@@ -9,7 +9,7 @@ from linetally.env import written
 from linetally.fixed_values import CALENDAR_END, CALENDAR_START, DEFAULT_INDICATOR_YEAR, SEGMENTS
 from linetally.functions.columns import average_price, folded_units, money, money_out, ratio, total_units, unit_sums, wide
 from linetally.operators.aggregates import most_frequent
-from linetally.operators.ranking import ntile_by_selection, ntile_over_all
+from linetally.operators.ranking import ONE_TASK_ROWS, hash_buckets_for, hot_hash_buckets, ntile_by_selection, ntile_over_all
 
 LINE_COLUMNS = (
     "invoice_no",
@@ -27,6 +27,19 @@ LINE_COLUMNS = (
     "source_system",
 )
 
+# what an order is made of
+ORDER_LINE_COLUMNS = (
+    "invoice_no",
+    "stock_code",
+    "customer_id",
+    "country",
+    "period",
+    "invoice_date",
+    "quantity",
+    "line_amount",
+    "is_cancellation",
+)
+
 
 def _live(value: Column, otherwise=0) -> Column:
     """The value on lines that are not cancellations."""
@@ -38,9 +51,26 @@ def fct_order_lines(stg: DataFrame) -> DataFrame:
     return stg.where("duplicate_occurrence = 1").select(*LINE_COLUMNS)
 
 
-def fct_orders(lines: DataFrame) -> DataFrame:
+def fct_orders(lines: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """One row per invoice.
 
+    Lines are shuffled once, by invoice, and folded where they are then. Invoices in a hash bucket with more lines than
+    ``one_task_rows`` are folded before each shuffle instead, so that a huge one is split. ``lines`` should read from a
+    table, since it is looked at more than once.
+    """
+    lines = lines.select(*ORDER_LINE_COLUMNS)
+    total, limit = lines.count(), max(1, one_task_rows)
+    bucket = F.pmod(F.xxhash64("invoice_no"), F.lit(hash_buckets_for(total, limit)))
+    hot = hot_hash_buckets(lines, bucket, limit) if total > limit else {}
+    if not hot:
+        return _folded_orders(lines.repartition("invoice_no"))
+    is_hot = bucket.isin(list(hot))
+    return _folded_orders(lines.where(~is_hot).repartition("invoice_no")).unionByName(_folded_orders(lines.where(is_hot)))
+
+
+def _folded_orders(lines: DataFrame) -> DataFrame:
+    """Orders from lines in any layout; lines laid out by invoice are not shuffled.
+
     Header values are the same on all lines of an invoice; the smallest one is
     taken so that a rerun agrees. Lines are folded by invoice, stock code and
     header first: that is a hash aggregate over numbers, it splits a huge

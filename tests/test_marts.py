@@ -171,3 +171,17 @@ def test_order_lines_are_folded_by_hash(spark, tmp_path):
     # from the scan up, the first aggregate is a hash aggregate
     aggregates = [line for line in plan.splitlines() if "Aggregate(" in line]
     assert "HashAggregate" in aggregates[-1] and "SortAggregate" not in aggregates[-1]
+
+
+def test_lines_of_orders_are_shuffled_once(spark, raw_frame, tmp_path):
+    kinds = [("a", "9", 1), ("b", "9", 2), ("b", None, 3), ("b", "9", 4)]
+    rows = [{"invoice_no": no, "stock_code": s, "customer_id": c, "quantity": q} for no in ("1", "2", None) for s, c, q in kinds]
+    lines(raw_frame, *rows, {"invoice_no": "3"}).write.parquet(str(tmp_path / "lines"))
+    stored = spark.read.parquet(str(tmp_path / "lines"))
+    orders = M.fct_orders(stored)
+    plan = orders._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    # huge invoices are folded before each shuffle, with the same result
+    want = sorted(map(str, orders.collect()))
+    assert sorted(map(str, M.fct_orders(stored, one_task_rows=2).collect())) == want
+    assert {(r.invoice_no, r.line_item_count) for r in orders.collect()} == {("1", 2), ("2", 2), (None, 2), ("3", 1)}
