@@ -87,7 +87,8 @@ def records(spark: SparkSession, path: str, encoding: str) -> DataFrame:
         F.last(F.when(inside, F.col("i")).otherwise(F.col("o"))).over(file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("unclosed"),
         F.last(last, True).over(file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("last_begin"),
     )
-    placed = lines.join(parts, list(key))
+    # one row per range of a file: sent out, so that the lines are not shuffled for it
+    placed = lines.join(F.broadcast(parts), list(key))
     before = F.when(F.col("inside"), F.col("from_i")).otherwise(F.col("from_o"))
     placed = placed.select(
         "file", "part", "at", "line", "header", before.alias("before"),

@@ -80,3 +80,10 @@ def test_header_only_and_empty(spark, tmp_path):
     (tmp_path / "a.csv").write_text('"h\n1",h2\n')
     (tmp_path / "b.csv").write_text("")
     assert by_ranges(spark, tmp_path, 64)[0] == []
+
+
+def test_lines_are_not_shuffled_to_learn_their_ranges(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('a,b\n1,"x\ny"\n2,z\n', encoding="utf-8")
+    plan = records(spark, str(tmp_path / "f.csv"), "UTF-8")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert joins and all("strategy=broadcast" in line for line in joins)
