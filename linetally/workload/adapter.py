@@ -31,7 +31,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per source line, with the order key that decides on copies.
 
     All joins are left to AQE: lineitem and orders are shuffled by order key,
-    the other sides are broadcast as long as their measured size allows.
+    the other sides are broadcast as long as their measured size allows. The
+    joined rows are laid out by month while they are keys and numbers; texts
+    are made of them after that.
     """
 
     def t(name):
@@ -43,6 +45,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lines.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     moved = F.when(F.col("o_orderkey") % 13 == 0, 1).otherwise(0)
     lines = lines.withColumn("country_key", (F.col("c_nationkey") + moved) % 25).join(nation, "country_key")
+    date = F.col("o_orderdate")
+    used = ("o_orderkey", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "o_custkey", "o_orderdate", "p_name", "country")
+    lines = lines.select(*used, F.year(date).alias("order_year"), F.month(date).alias("order_month"))
+    lines = lines.hint("rebalance", "order_year", "order_month")
 
     order_text = F.col("o_orderkey").cast("string")
     is_cancelled = F.col("o_orderkey") % 50 == 0

@@ -39,7 +39,7 @@ class Warehouse:
     @functools.cached_property
     def raw(self) -> DataFrame:
         rows = adapter.raw_orders(adapter.order_lines(self.spark, self.sf_dir))
-        write_periods(rows, self.env.raw_orders, PARTITION)
+        write_periods(rows, self.env.raw_orders, PARTITION, rebalance=False)  # order_lines are laid out by month
         return read_raw(self.spark, self.env.raw_orders)
 
     @functools.cached_property
