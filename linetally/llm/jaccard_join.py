@@ -1,21 +1,22 @@
 """Exact n-gram Jaccard self-join by partitioning the universe of shingles, and its connected components.
 
-A document is the set of its 5-word shingles (64-bit hashes). Two sets with a similarity of 3/4 or more differ in few
-shingles: with sizes r <= s, in no more than (r + s) / 7. The join finds every such pair, as a pigeonhole:
-
-* **Size bands.** A set can only be linked with sets of its own band or a neighbouring one (bands grow by 4/3). Pairs
-  are looked for in groups of two neighbouring bands, so every set is in two groups, once with the smaller and once with
-  the larger sets.
-* **Segments.** In a group the universe is cut by hash into m segments. A pair differs in at most H of them, so of the N
-  segments in which a set has shingles, it shares at least N - H subsets with each partner.
-* **Cost-based allocation.** A set may leave out its most frequent subsets, up to two fifths of its slack N - H - 1, and
-  a pair still shares a known number of the rest. What is frequent is read from a count of all shingles in a fixed
-  sketch. Sets with few segments in use (N <= H) index empty segments, too, among themselves. The smallest sets, where H
-  is 1, index the whole set against its one-deletion neighbourhood; for larger sets the neighbourhoods (a row for each
-  shingle) cost more than the subsets they would replace, so none is allotted.
+A document is the set of its 5-word shingles (64-bit hashes). Two sets with a similarity of 3/4 or more share all but a
+quarter of each. The join finds every such pair, as a pigeonhole:
+
+* **Segments.** The universe is cut by hash into segments, as finely as it can be: one for each value. Coarser segments
+  would be broken by shingles of either side, so twice as many had to be indexed, and fewer could be left out. Of a set's
+  N segments a partner misses N / 4 at most, so N - N / 4 are shared.
+* **Cost-based allocation.** All sets order their segments alike, the most frequent first, and leave out the first ones.
+  What is shared comes in the same order on both sides, so those left out cost a pair no more than the longer of the two
+  lists: a set may leave out all but N / 4 + 1 of its segments, and each that it puts in beyond that has to be shared, too.
+  What is frequent is read from a count of all shingles in a fixed sketch, so a common passage is not indexed unless a
+  set has little else.
+* **Size bands.** How many segments a set puts in beyond the least is settled by its band (bands grow by 4/3, so that
+  partners lie in the same or in neighbouring ones).
 * **Parities.** Each set has a bitmap of 256 parities: a shingle flips the bit it hashes to. Bitmaps of two sets differ in
   no more bits than the sets have shingles apart, so a pair whose bitmaps differ in more than (r + s) / 7 is no link. It
-  is dropped where it is found, before it is put out. No link is lost: it is a bound, not an estimate.
+  is dropped where it is found, before it is put out. No link is lost: it is a bound, not an estimate. Bitmaps of larger
+  sets, which would be full, do not travel with the index.
 * **Counting.** Pairs that share fewer index entries than they must are dropped; the others are verified on the texts.
 
 Equal sets are one class throughout and joined as one. Large groups of near copies are not expanded: sets are first
@@ -59,8 +60,10 @@ PARITY_WORDS = 4
 BUCKET_ROWS = 1_200_000
 #: Rows (a few numbers each) that are broadcast at most.
 MOST_ROWS = 500_000
-#: The part of its slack up to which a set leaves out frequent subsets; under a half, so that some are shared.
-LEFT = (2, 5)
+#: Shingles of a band's smallest set for each entry that its sets put in beyond the least.
+MORE = 32
+#: Shingles up to which a set's bitmap goes with its index entries.
+PARITY_SETS = 192
 NO_ID = -(1 << 63)
 
 
@@ -110,92 +113,37 @@ def bands(most: int = 1 << 40) -> np.ndarray:
 _BANDS = bands()
 
 
-def _segments(group: np.ndarray) -> np.ndarray:
-    """Segments of each group: enough that a set fills more of them than a partner can change."""
-    top = _BANDS[group + 1]
-    return np.ceil(0.45 * top + 3 * np.sqrt(top)).astype(np.int64)
-
-
 def index_entries(values: np.ndarray, at: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Index entries of many sets in both their groups.
+    """Index entries of many sets.
 
-    Returns the entries (64-bit) with the number of the member each is of, and the members: set, group, whether it is
-    one of the group's smaller sets, slack (entries shared with a partner before any are left out), entries left out.
+    Returns the entries (64-bit) with the number of the member each is of, and the members: set, band, whether it is
+    looked up against all others (here each is), slack (entries shared with a partner before any are left out), entries
+    left out.
     """
     size = np.diff(at)
-    keys, owners, members = [], [], []
-    number = 0
-    for smaller in (True, False):
-        sets = np.flatnonzero(size > 0)
-        band = np.searchsorted(_BANDS, size[sets], "right") - 1
-        group = band if smaller else band - 1
-        sets, group = sets[group >= 0], group[group >= 0]
-        top = _BANDS[group + 1] - 1  # largest of the group's smaller sets
-        own = size[sets]
-        bound = own // 3 if smaller else (own + np.minimum(own, top)) // 7
-        sets, group, own, bound, top = (x[top >= 3] for x in (sets, group, own, bound, top))  # below, only equal sets link
-        if not len(sets):
-            continue
-        rows = np.repeat(np.arange(len(sets)), own)
-        v = values[np.repeat(at[sets] - np.concatenate([[0], np.cumsum(own)[:-1]]), own) + np.arange(len(rows))]
-        salt = mixed(group.astype(np.uint64) + np.uint64(77))
-        tiny = top < 6  # one deletion makes any partner equal
-        # tiny groups: the whole set (smaller) against the set less one (larger)
-        total = np.add.reduceat(mixed(v), np.concatenate([[0], np.cumsum(own)[:-1]]))
-        slack, left_out = np.ones(len(sets), np.int64), np.zeros(len(sets), np.int64)
-        if smaller:
-            t = np.flatnonzero(tiny)
-            keys.append(mixed(total[t] + salt[t]))
-            owners.append(t + number)
-        else:
-            t = tiny[rows]
-            keys.append(mixed(total[rows[t]] - mixed(v[t]) + salt[rows[t]]))
-            owners.append(rows[t] + number)
-        big = ~tiny[rows]
-        v, rows = v[big], rows[big]
-        m = _segments(group)
-        segment = ((mixed(v + salt[rows]) >> np.uint64(32)).astype(np.int64) * m[rows]) >> 32
-        often = sketch[(v >> np.uint64(42)).astype(np.int64)]
-        place = rows * (int(m.max()) + 1) + segment
-        order = np.argsort(place, kind="stable")
-        place, v, often = place[order], v[order], often[order]
-        first = np.flatnonzero(np.diff(place, prepend=-1))
-        if len(first):
-            subset = np.add.reduceat(mixed(v), first)
-            cost = np.minimum.reduceat(often, first)
-            of, seg = place[first] // (int(m.max()) + 1), place[first] % (int(m.max()) + 1)
-            used = np.bincount(of, minlength=len(sets))
-            spare = used - bound
-            slack = np.where(tiny, 1, spare)
-            left_out = np.where(tiny, 0, np.maximum(0, (spare - 1) * LEFT[0] // LEFT[1]))
-            key = mixed(mixed(subset + salt[of]) + seg.astype(np.uint64))
-            rank_order = np.lexsort((key, -cost.astype(np.int64), of))
-            begin = np.searchsorted(of[rank_order], np.arange(len(sets)))
-            rank = np.arange(len(rank_order)) - begin[of[rank_order]]
-            keep = np.sort(rank_order[rank >= left_out[of[rank_order]]])
-            keys.append(key[keep])
-            owners.append(of[keep] + number)
-            thin = np.flatnonzero(~tiny & (spare <= 0))
-            if len(thin):  # rare: their empty segments count, too, among themselves
-                for i in thin:
-                    empty = np.setdiff1d(np.arange(m[i]), seg[of == i])
-                    keys.append(mixed(mixed(salt[i] ^ np.uint64(0x5EED)) + empty.astype(np.uint64)))
-                    owners.append(np.full(len(empty), i + number))
-                slack[thin] = 1
-        members.append(np.column_stack([sets, group, np.full(len(sets), smaller), slack, left_out]))
-        number += len(sets)
-    if not members:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, 5), np.int64)
-    return np.concatenate(keys), np.concatenate(owners), np.concatenate(members).astype(np.int64)
+    sets = np.flatnonzero(size >= 3)  # below, only equal sets link
+    own = size[sets]
+    band = np.searchsorted(_BANDS, own, "right") - 1
+    slack = own - own // 4
+    left_out = np.maximum(0, slack - 1 - _BANDS[band] // MORE)
+    begin = np.concatenate([[0], np.cumsum(own)])
+    rows = np.repeat(np.arange(len(sets)), own)
+    v = values[np.arange(len(rows)) + (at[sets] - begin[:-1])[rows]]
+    often = sketch[(v >> np.uint64(42)).astype(np.int64)].astype(np.int64)
+    # the most frequent first, then by value: a text's values ascend already
+    order = np.argsort((rows << 32) - often, kind="stable")
+    kept = np.sort(order[np.arange(len(rows)) - begin[rows] >= left_out[rows]])
+    members = np.column_stack([sets, band, np.ones(len(sets), np.int64), slack, left_out])
+    return mixed(v[kept]), rows[kept], members.astype(np.int64)
 
 
 def pairs_of(
-    keys: np.ndarray, owner: np.ndarray, component: np.ndarray, size: np.ndarray, smaller: np.ndarray, parity: np.ndarray | None = None
+    keys: np.ndarray, owner: np.ndarray, component: np.ndarray, size: np.ndarray, looked_up: np.ndarray, parity: np.ndarray | None = None, parity_sets: int = 1 << 40
 ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of members with a common key, as (first, second), and how many keys they have in common.
 
-    Left out: pairs of one component, of sizes too far apart, of two larger sets (they meet in another group), and of
-    parities (where given) that differ in more bits than linked sets can.
+    Left out: pairs of one component, of sizes too far apart, of two members neither of which is looked up, and of
+    parities (where given, for sets of up to ``parity_sets``) that differ in more bits than linked sets can.
     """
     order = np.argsort(keys, kind="stable")
     keys, owner = keys[order], owner[order]
@@ -207,11 +155,11 @@ def pairs_of(
 
     def add(a: np.ndarray, b: np.ndarray) -> None:
         lo, hi = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
-        good = (component[a] != component[b]) & (4 * lo >= 3 * hi) & (smaller[a] | smaller[b]).astype(bool) & (a != b)
+        good = (component[a] != component[b]) & (4 * lo >= 3 * hi) & (looked_up[a] | looked_up[b]).astype(bool) & (a != b)
         a, b = a[good], b[good]
         if parity is not None:
             apart = np.bitwise_count(parity[a] ^ parity[b]).sum(axis=1, dtype=np.int64)
-            near = 7 * apart <= size[a] + size[b]
+            near = (7 * apart <= size[a] + size[b]) | (np.maximum(size[a], size[b]) > parity_sets)
             a, b = a[near], b[near]
         found.append(np.minimum(a, b) * n + np.maximum(a, b))
 
@@ -262,8 +210,8 @@ def _entries(docs: DataFrame, sketch, buckets: int) -> DataFrame:
                     body = b"".join([
                         struct.pack("<QQ", b - a, len(used)), np.ascontiguousarray(short.T).tobytes(), number.astype(kind).tobytes(),
                         # most sets are their own component, and ids of a part lie close together: small numbers compress
-                        np.column_stack([np.diff(ids[m[:, 0]], prepend=0), parts[m[:, 0]] ^ ids[m[:, 0]], size[m[:, 0]], m[:, 2], m[:, 3], m[:, 4]]).astype("<i8").T.tobytes(),
-                        parity[m[:, 0]].astype("<u8").tobytes(),
+                        np.column_stack([np.diff(ids[m[:, 0]], prepend=0), parts[m[:, 0]] ^ ids[m[:, 0]], size[m[:, 0]], m[:, 3] - m[:, 4]]).astype("<i8").T.tobytes(),
+                        parity[m[size[m[:, 0]] <= PARITY_SETS, 0]].astype("<u8").tobytes(),
                     ])
                     out.append((int(bucket[a]), zstandard.compress(body, 1)))
                 if out:
@@ -286,16 +234,19 @@ def _candidates(entries: DataFrame) -> DataFrame:
             keys.append(raw.view("<u8").ravel())
             kind = np.dtype("<u2" if m <= 1 << 16 else "<u4")
             owners.append(np.frombuffer(body, kind, n, 16 + 5 * n).astype(np.int64) + shift)
-            own = np.frombuffer(body, "<i8", 6 * m, 16 + 5 * n + kind.itemsize * n).reshape(6, m).copy()
+            own = np.frombuffer(body, "<i8", 4 * m, 16 + 5 * n + kind.itemsize * n).reshape(4, m).copy()
             own[0] = np.cumsum(own[0])
             own[1] ^= own[0]
             members.append(own)
-            parity.append(np.frombuffer(body, "<u8", PARITY_WORDS * m, 16 + 5 * n + kind.itemsize * n + 48 * m).reshape(m, PARITY_WORDS))
+            bits = np.zeros((m, PARITY_WORDS), np.uint64)
+            bits[own[2] <= PARITY_SETS] = np.frombuffer(body, "<u8", -1, 16 + 5 * n + kind.itemsize * n + 32 * m).reshape(-1, PARITY_WORDS)
+            parity.append(bits)
             shift += m
-        ids, component, size, smaller, slack, left_out = np.concatenate(members, axis=1)
-        pair, times = pairs_of(np.concatenate(keys), np.concatenate(owners), component, size, smaller, np.concatenate(parity))
+        ids, component, size, shared = np.concatenate(members, axis=1)
+        pair, times = pairs_of(np.concatenate(keys), np.concatenate(owners), component, size, np.ones(shift, bool), np.concatenate(parity), PARITY_SETS)
         a, b = pair[:, 0], pair[:, 1]
-        need = np.maximum(1, np.maximum(slack[a], slack[b]) - left_out[a] - left_out[b])
+        # of the slack of the one with more, at most the longer of the two lists is lost
+        need = np.minimum(shared[a], shared[b])
         low, high = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
         good = low < high
         return pd.DataFrame({"a": low[good], "b": high[good], "n": times[good], "need": need[good]})
@@ -424,7 +375,7 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     empty = bytes(4 << 16)
     sketch = spark.sparkContext.broadcast(b"".join(cells.get(i, empty) for i in range(SKETCH >> 16)))  # 16 MB whatever the input
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    entries = _entries(single, sketch, max(1, int(total * 0.8 / BUCKET_ROWS) + 1))
+    entries = _entries(single, sketch, max(1, int(total * 0.3 / BUCKET_ROWS) + 1))
     pairs = kept(_candidates(entries), "join-pairs")
     more = kept(_linked(pairs, _texts_of(rows, pairs, kept)), "join-more-links")
     every = links.unionByName(more)
