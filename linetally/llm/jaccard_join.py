@@ -11,6 +11,10 @@ quarter of each. The join finds every such pair, as a pigeonhole:
   lists: a set may leave out all but N / 4 + 1 of its segments, and each that it puts in beyond that has to be shared, too.
   What is frequent is read from a count of all shingles in a fixed sketch, so a common passage is not indexed unless a
   set has little else.
+* **Places.** An entry carries its place among its set's segments, the rarest being 0. A linked pair of sizes r and s shares
+  o = 3 (r + s) / 7 or more, so its k rarest common entries stand within the first r - o + k places of one side and s - o + k
+  of the other. Meetings further back are not put out: of two sets of one size that is a seventh, where a set indexes
+  a quarter, and what the members of a family of similar texts have apart is rarer than what they share.
 * **Size bands.** How many segments a set puts in beyond the least is settled by its band (bands grow by 4/3, so that
   partners lie in the same or in neighbouring ones).
 * **Parities.** Each set has a bitmap of 256 parities: a shingle flips the bit it hashes to. Bitmaps of two sets differ in
@@ -116,7 +120,7 @@ _BANDS = bands()
 def index_entries(values: np.ndarray, at: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, ...]:
     """Index entries of many sets.
 
-    Returns the entries (64-bit) with the number of the member each is of, and the members: set, band, whether it is
+    Returns the entries (64-bit; each set's together, its rarest last) with the number of the member each is of, and the members: set, band, whether it is
     looked up against all others (here each is), slack (entries shared with a partner before any are left out), entries
     left out.
     """
@@ -132,30 +136,44 @@ def index_entries(values: np.ndarray, at: np.ndarray, sketch: np.ndarray) -> tup
     often = sketch[(v >> np.uint64(42)).astype(np.int64)].astype(np.int64)
     # the most frequent first, then by value: a text's values ascend already
     order = np.argsort((rows << 32) - often, kind="stable")
-    kept = np.sort(order[np.arange(len(rows)) - begin[rows] >= left_out[rows]])
+    kept = order[np.arange(len(rows)) - begin[rows] >= left_out[rows]]
     members = np.column_stack([sets, band, np.ones(len(sets), np.int64), slack, left_out])
     return mixed(v[kept]), rows[kept], members.astype(np.int64)
 
 
+def places(owner: np.ndarray) -> np.ndarray:
+    """The place of each entry of ``index_entries`` among its set's segments; 0 is the rarest."""
+    return np.searchsorted(owner, owner, "right") - 1 - np.arange(len(owner))
+
+
 def pairs_of(
-    keys: np.ndarray, owner: np.ndarray, component: np.ndarray, size: np.ndarray, looked_up: np.ndarray, parity: np.ndarray | None = None, parity_sets: int = 1 << 40
+    keys: np.ndarray, owner: np.ndarray, component: np.ndarray, size: np.ndarray, looked_up: np.ndarray, parity: np.ndarray | None = None, parity_sets: int = 1 << 40,
+    place: np.ndarray | None = None, shared: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of members with a common key, as (first, second), and how many keys they have in common.
 
     Left out: pairs of one component, of sizes too far apart, of two members neither of which is looked up, and of
-    parities (where given, for sets of up to ``parity_sets``) that differ in more bits than linked sets can.
+    parities (where given, for sets of up to ``parity_sets``) that differ in more bits than linked sets can. With the
+    ``place`` of each entry (0: the rarest of its set) and what each member has to share (``shared``), only meetings count
+    that can be among the rarest ones of a linked pair.
     """
     order = np.argsort(keys, kind="stable")
     keys, owner = keys[order], owner[order]
+    place = None if place is None else place[order]
     begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     count = np.diff(np.append(begin, len(keys)))
     begin, count = begin[count > 1], count[count > 1]
     found: list[np.ndarray] = []
     n = len(component)
 
-    def add(a: np.ndarray, b: np.ndarray) -> None:
+    def add(at_a: np.ndarray, at_b: np.ndarray) -> None:
+        a, b = owner[at_a], owner[at_b]
         lo, hi = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
         good = (component[a] != component[b]) & (4 * lo >= 3 * hi) & (looked_up[a] | looked_up[b]).astype(bool) & (a != b)
+        if place is not None:
+            # places that the rarest common entries cannot have: beyond all that one side may have apart
+            beyond = np.minimum(shared[a], shared[b]) - (3 * (lo + hi) + 6) // 7
+            good &= (place[at_a] < size[a] + beyond) & (place[at_b] < size[b] + beyond)
         a, b = a[good], b[good]
         if parity is not None:
             apart = np.bitwise_count(parity[a] ^ parity[b]).sum(axis=1, dtype=np.int64)
@@ -167,16 +185,16 @@ def pairs_of(
         rows = begin[count == g]
         if g <= 64:
             for r in range(0, len(rows), max(1, 500_000 // int(g * g))):
-                grid = owner[rows[r : r + max(1, 500_000 // int(g * g)), None] + np.arange(g)]
+                grid = rows[r : r + max(1, 500_000 // int(g * g)), None] + np.arange(g)
                 i, j = np.triu_indices(int(g), 1)
                 add(grid[:, i].ravel(), grid[:, j].ravel())
         else:
             for r in rows:  # all of one component in a row: nothing to do
-                group = np.unique(owner[r : r + g])
-                if (component[group] == component[group[0]]).all():
+                group = component[owner[r : r + g]]
+                if (group == group[0]).all():
                     continue
-                for k in range(len(group)):
-                    add(np.full(len(group) - k - 1, group[k]), group[k + 1 :])
+                for k in range(r, r + g - 1):
+                    add(np.full(r + g - k - 1, k), np.arange(k + 1, r + g))
         if sum(map(len, found)) > 5_000_000:
             found = [np.sort(np.concatenate(found))]
     every = np.concatenate(found) if found else np.zeros(0, np.int64)
@@ -196,9 +214,10 @@ def _entries(docs: DataFrame, sketch, buckets: int) -> DataFrame:
                 parity = parities(values, at)
                 ids, parts = part.column(0).to_numpy(), part.column(1).to_numpy()
                 size = np.diff(at)
+                place = np.minimum(places(owner), 0xFFFF)
                 bucket = (keys % np.uint64(buckets)).astype(np.int64)
                 order = np.lexsort((keys, bucket))
-                keys, owner, bucket = keys[order], owner[order], bucket[order]
+                keys, owner, place, bucket = keys[order], owner[order], place[order], bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-2)) if len(bucket) else []
                 out = []
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -209,6 +228,7 @@ def _entries(docs: DataFrame, sketch, buckets: int) -> DataFrame:
                     kind = "<u2" if len(used) <= 1 << 16 else "<u4"
                     body = b"".join([
                         struct.pack("<QQ", b - a, len(used)), np.ascontiguousarray(short.T).tobytes(), number.astype(kind).tobytes(),
+                        np.ascontiguousarray(place[a:b].astype("<u2").view(np.uint8).reshape(-1, 2).T).tobytes(),
                         # most sets are their own component, and ids of a part lie close together: small numbers compress
                         np.column_stack([np.diff(ids[m[:, 0]], prepend=0), parts[m[:, 0]] ^ ids[m[:, 0]], size[m[:, 0]], m[:, 3] - m[:, 4]]).astype("<i8").T.tobytes(),
                         parity[m[size[m[:, 0]] <= PARITY_SETS, 0]].astype("<u8").tobytes(),
@@ -225,7 +245,7 @@ def _candidates(entries: DataFrame) -> DataFrame:
 
     def join(frames: pd.DataFrame) -> pd.DataFrame:
         lean()
-        keys, owners, members, parity, shift = [], [], [], [], 0
+        keys, owners, places_, members, parity, shift = [], [], [], [], [], 0
         for f in frames["frame"]:
             body = zstandard.decompress(f)
             n, m = struct.unpack_from("<QQ", body)
@@ -234,16 +254,20 @@ def _candidates(entries: DataFrame) -> DataFrame:
             keys.append(raw.view("<u8").ravel())
             kind = np.dtype("<u2" if m <= 1 << 16 else "<u4")
             owners.append(np.frombuffer(body, kind, n, 16 + 5 * n).astype(np.int64) + shift)
-            own = np.frombuffer(body, "<i8", 4 * m, 16 + 5 * n + kind.itemsize * n).reshape(4, m).copy()
+            rest = 16 + 5 * n + kind.itemsize * n
+            places_.append(np.ascontiguousarray(np.frombuffer(body, np.uint8, 2 * n, rest).reshape(2, n).T).view("<u2").ravel())
+            rest += 2 * n
+            own = np.frombuffer(body, "<i8", 4 * m, rest).reshape(4, m).copy()
             own[0] = np.cumsum(own[0])
             own[1] ^= own[0]
             members.append(own)
             bits = np.zeros((m, PARITY_WORDS), np.uint64)
-            bits[own[2] <= PARITY_SETS] = np.frombuffer(body, "<u8", -1, 16 + 5 * n + kind.itemsize * n + 32 * m).reshape(-1, PARITY_WORDS)
+            bits[own[2] <= PARITY_SETS] = np.frombuffer(body, "<u8", -1, rest + 32 * m).reshape(-1, PARITY_WORDS)
             parity.append(bits)
             shift += m
         ids, component, size, shared = np.concatenate(members, axis=1)
-        pair, times = pairs_of(np.concatenate(keys), np.concatenate(owners), component, size, np.ones(shift, bool), np.concatenate(parity), PARITY_SETS)
+        place = np.concatenate(places_).astype(np.int64)
+        pair, times = pairs_of(np.concatenate(keys), np.concatenate(owners), component, size, np.ones(shift, bool), np.concatenate(parity), PARITY_SETS, place, shared)
         a, b = pair[:, 0], pair[:, 1]
         # of the slack of the one with more, at most the longer of the two lists is lost
         need = np.minimum(shared[a], shared[b])

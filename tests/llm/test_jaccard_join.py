@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from linetally.llm import jaccard_join
-from linetally.llm.jaccard_join import SKETCH, bands, index_entries, pairs_of, parities, shingle_sets, similar, without_near_copies
+from linetally.llm.jaccard_join import SKETCH, bands, index_entries, pairs_of, parities, places, shingle_sets, similar, without_near_copies
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -165,3 +165,36 @@ def test_parities_travel_for_smaller_sets_only(seed):
     for j, y in enumerate(sets):
         for i, x in enumerate(sets[:j]):
             assert not (x and x != y and 100 * len(x & y) >= 75 * len(x | y)) or (i, j) in met
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_places_lose_no_link(seed):
+    """Of a linked pair's meetings as many as it must share stand in the first places of both sets."""
+    rows = corpus(seed, 80)
+    values, at = shingle_sets(pa.array([t for _, t in rows]))
+    sketch = np.random.default_rng(seed).integers(0, 5, SKETCH).astype(np.uint32)
+    keys, owner, members = index_entries(values, at, sketch)
+    size, shared = np.diff(at)[members[:, 0]], members[:, 3] - members[:, 4]
+    pair, times = pairs_of(keys, owner, members[:, 0], size, members[:, 2], place=places(owner), shared=shared)
+    enough = times >= np.minimum(shared[pair[:, 0]], shared[pair[:, 1]])
+    found = {tuple(sorted(p)) for p in members[pair[enough], 0].tolist()}
+    sets = sets_of(rows)
+    for j, y in enumerate(sets):
+        for i, x in enumerate(sets[:j]):
+            assert not (x and x != y and 100 * len(x & y) >= 75 * len(x | y)) or (i, j) in found, (len(x), len(y))
+
+
+def test_a_family_of_similar_texts_does_not_meet():
+    """Texts of one template that are not alike enough make no pairs, however many they are."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(300)]
+    texts = []
+    for _ in range(60):  # one word in 18 of each is its own: about a quarter of the shingles
+        texts.append(" ".join(f"u{rng.randrange(10**9)}" if i % 18 == 0 else w for i, w in enumerate(base)))
+    values, at = shingle_sets(pa.array(texts))
+    sketch = np.bincount((values >> np.uint64(42)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
+    keys, owner, members = index_entries(values, at, sketch)
+    size, shared = np.diff(at)[members[:, 0]], members[:, 3] - members[:, 4]
+    plain, _ = pairs_of(keys, owner, members[:, 0], size, members[:, 2])
+    pair, _ = pairs_of(keys, owner, members[:, 0], size, members[:, 2], place=places(owner), shared=shared)
+    assert len(plain) and not len(pair)
