@@ -22,6 +22,10 @@ quarter of each. The join finds every such pair, as a pigeonhole:
   is dropped where it is found, before it is put out. No link is lost: it is a bound, not an estimate. Bitmaps of larger
   sets, which would be full, do not travel with the index.
 * **Counting.** Pairs that share fewer index entries than they must are dropped; the others are verified on the texts.
+* **Rounds.** Of the pairs that lead from one component to another a few are verified first, those that share the most
+  entries. Links found join components, and pairs inside one go. Each round verifies eight times as many of two
+  components' pairs, until none is left. So a set that meets all of a large group is not verified with each of its sets,
+  and no two components stay apart without all their pairs being verified.
 
 Equal sets are one class throughout and joined as one. Large groups of near copies are not expanded: sets are first
 compared with one set that has the same minimum hash, and links found so make components. Three rounds with other hash
@@ -58,6 +62,8 @@ STEP = 2 << 20
 SKETCH = 1 << 22
 PIVOT_ROUNDS = ((0, 1, 2), (3, 4, 5, 6, 7), (8, 9, 10, 11, 12, 13, 14, 15))
 PIVOT_HASHES = 16
+#: Pairs of two components that are verified first, and how many times as many each round after that.
+FIRST_PAIRS, MORE_PAIRS = 2, 8
 #: Words of 64 parities that a set's bitmap has.
 PARITY_WORDS = 4
 #: Entries of the index that a bucket should have.
@@ -241,7 +247,7 @@ def _entries(docs: DataFrame, sketch, buckets: int) -> DataFrame:
 
 
 def _candidates(entries: DataFrame) -> DataFrame:
-    """Pairs that share enough index entries: a, b (ids)."""
+    """Pairs that share enough index entries: a, b (ids), n (entries shared), from, to (their components, the smaller first)."""
 
     def join(frames: pd.DataFrame) -> pd.DataFrame:
         lean()
@@ -273,10 +279,42 @@ def _candidates(entries: DataFrame) -> DataFrame:
         need = np.minimum(shared[a], shared[b])
         low, high = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
         good = low < high
-        return pd.DataFrame({"a": low[good], "b": high[good], "n": times[good], "need": need[good]})
+        ends = np.minimum(component[a], component[b]), np.maximum(component[a], component[b])
+        return pd.DataFrame({"a": low[good], "b": high[good], "n": times[good], "need": need[good], "from": ends[0][good], "to": ends[1][good]})
 
-    met = entries.groupBy("bucket").applyInPandas(join, "a long, b long, n long, need long")
-    return met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b")
+    met = entries.groupBy("bucket").applyInPandas(join, "a long, b long, n long, need long, from long, to long")
+    summed = met.groupBy("a", "b").agg(F.sum("n").alias("n"), *[F.min(c).alias(c) for c in ("need", "from", "to")])
+    return summed.where("n >= need").drop("need")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, links: DataFrame, found: DataFrame, kept: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Links and components with the pairs of ``_candidates`` taken in. Every pair is verified unless links join its ends first.
+
+    ``links``, ``found``: those known before, which the components of the pairs come from.
+    """
+    tries, left, texts = FIRST_PAIRS, pairs.count(), _texts_of(rows, pairs, kept)
+    while left:
+        # the pairs of two components are dealt into bins, and the best of each is taken: no group of pairs meets in a task
+        best = F.max(F.struct("n", "a", "b")).alias("best")
+        some = kept(pairs.groupBy("from", "to", F.pmod(F.xxhash64("a", "b"), F.lit(tries)).alias("bin")).agg(best).select("best.a", "best.b"), "join-tried")
+        tried = some.count()
+        last = left <= 2 * tried
+        some = pairs.select("a", "b") if last else some
+        new = kept(_linked(some, texts if last else _texts_of(texts, some, kept)), "join-more-links")
+        links = kept(links.unionByName(new), "join-links")
+        found = kept(components(links), "join-found")
+        if last:
+            break
+        label = found.withColumnRenamed("v", "id")
+        for end in ("from", "to"):
+            moved = label.select(F.col("id").alias(end), "label")
+            pairs = pairs.join(moved, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+        ends = F.least("from", "to").alias("from"), F.greatest("from", "to").alias("to")
+        pairs = pairs.where(F.col("from") != F.col("to")).join(some, ["a", "b"], "left_anti").select("a", "b", "n", *ends)
+        pairs = kept(pairs, "join-pairs")
+        texts = _texts_of(texts, pairs, kept)
+        tries, left = tries * MORE_PAIRS, pairs.count()
+    return links, found
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -401,10 +439,7 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     entries = _entries(single, sketch, max(1, int(total * 0.3 / BUCKET_ROWS) + 1))
     pairs = kept(_candidates(entries), "join-pairs")
-    more = kept(_linked(pairs, _texts_of(rows, pairs, kept)), "join-more-links")
-    every = links.unionByName(more)
-    final = components(every)
-    scratch.append(final)
+    every, final = _verified(pairs, rows, links, found, kept)
     degree = every.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
     of_class = classes.select("key", "class").join(final.withColumnRenamed("v", "class"), "class", "left").join(degree, "class", "left")
     of_class = written(of_class.select("key", "class", F.coalesce("label", "class").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "join-of-class")

@@ -198,3 +198,22 @@ def test_a_family_of_similar_texts_does_not_meet():
     plain, _ = pairs_of(keys, owner, members[:, 0], size, members[:, 2])
     pair, _ = pairs_of(keys, owner, members[:, 0], size, members[:, 2], place=places(owner), shared=shared)
     assert len(plain) and not len(pair)
+
+
+def test_a_set_is_not_verified_with_each_of_a_large_group(spark, monkeypatch):
+    """Sets that meet all of a large component are verified with some of it, and with all of it before they stay apart."""
+    base = [f"b{i}" for i in range(60)]
+    near = lambda i, n: " ".join([*base[: 60 - n], *(f"u{i}x{k}" for k in range(n))])
+    # 0 to 79 are one component already; 80 to 89 link with all of it, 90 with its last alone, 91 with none
+    texts = {i: near(i, 2) for i in range(90)} | {79: near(79, 12), 90: near(79, 12) + " more", 91: near(91, 25)}
+    rows = spark.createDataFrame(list(texts.items()), "id long, text string")
+    links = spark.createDataFrame([(0, i) for i in range(1, 80)], "a long, b long")
+    found = jaccard_join.components(links)
+    meet = [(i, j, 30 - (i == 79), 0, j) for i in range(80) for j in range(80, 92)] + [(i, j, 40, i, j) for i in range(80, 90) for j in range(i + 1, 90)]
+    pairs = spark.createDataFrame(meet, "a long, b long, n long, from long, to long")
+    verified, linked = [], jaccard_join._linked
+    monkeypatch.setattr(jaccard_join, "_linked", lambda pairs, sets: verified.extend(map(tuple, pairs.select("a", "b").collect())) or linked(pairs, sets))
+    links, found = jaccard_join._verified(pairs, rows, links, found, lambda df, label: jaccard_join.written(df, label))
+    assert {r["v"] for r in found.collect() if r["label"] == 0} == set(range(91))
+    assert len(set(verified)) == len(verified) and {(i, 91) for i in range(80)} <= set(verified)
+    assert len(verified) < len(meet) / 3
