@@ -94,7 +94,7 @@ def fill_windows(counts: dict[int, int], window: int) -> Iterator[tuple[dict[int
             if not counts[n]:
                 del counts[n]
         yield used, times, slack
-        left = sum(n * c for n, c in counts.items())
+        left -= window * times  # what a cut adds to a pattern with slack is taken from the rest
 
 
 def pack_pool(lengths: list[int], window: int) -> list[list[tuple[int, int, int]]]:

@@ -82,3 +82,21 @@ def test_words_alone_read_as_in_their_text(name, monkeypatch, edge):
     texts = ODD + [t for _, t in edge if t and len(t) < 100_000]
     for text, ids in zip(texts, reader.many(texts), strict=True):
         assert ids.tolist() == reader.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_frequent_words_are_encoded_once(name, monkeypatch):
+    """What is kept goes by texts that do not use it, so words in all texts stay; new words are read without offsets."""
+    reader = tokens.WordTokenizer(public_tokenizers.path(name), kept_bytes=60_000)
+    learned = Counter()
+    learn = reader._learn
+    monkeypatch.setattr(reader, "_learn", lambda words: learned.update(words) or learn(words))
+    slow = []
+    offsets = reader._by_offsets
+    monkeypatch.setattr(reader, "_by_offsets", lambda words: slow.extend(words) or offsets(words))
+    for i in range(20):
+        text = "the same words again, don't stop. " * 3 + " ".join(f"rare{i}x{k}|" if k == 0 else f"rare{i}x{k}" for k in range(100))
+        assert reader.ids(text).tolist() == reader.tokenizer.encode(text, add_special_tokens=False).ids
+        assert reader.held <= 60_000
+    assert learned["same"] == learned["again"] == learned["stop"] == 1 and len(reader.kept) < 2000
+    assert slow == [f"rare{i}x0|" for i in range(20)]
