@@ -12,7 +12,7 @@ from linetally.functions.columns import is_cancellation, order_time, ratio, whol
 from linetally.operators.aggregates import exact_copies
 from linetally.schemas import LANDED_ORDER
 from linetally.sources.files import write_periods
-from linetally.sources.quoted_csv import records
+from linetally.sources.quoted_csv import records, same_ranges
 
 CSV_COLUMNS = tuple(dict.fromkeys(CSV_HEADERS.values()))
 
@@ -37,17 +37,18 @@ def scan_csv_rows(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     if missing:
         raise ValueError(f"CSV lacks columns {missing}; it has {found}")
     schema = StructType([StructField(c, StringType()) for c in (*found, MALFORMED)])
-    if multi_line:
-        options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
-        fields = F.from_csv("record", ", ".join(f"`{c}` string" for c in schema.fieldNames()), options).alias("fields")
-        lines = records(spark, path, CSV_ENCODING).select(fields, "record", "whole").select(
-            *[F.col(f"fields.`{c}`") for c in found],
-            F.when(F.col("whole"), F.col(f"fields.{MALFORMED}")).otherwise(F.col("record")).alias(MALFORMED),
-        )
-    else:
-        lines = reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED).csv(path)
-    lines = lines.withColumnsRenamed(dict(zip(found, names, strict=True))).select(*CSV_COLUMNS, MALFORMED)
-    return written(lines, "source-csv")
+    with same_ranges(spark):
+        if multi_line:
+            options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+            fields = F.from_csv("record", ", ".join(f"`{c}` string" for c in schema.fieldNames()), options).alias("fields")
+            lines = records(spark, path, CSV_ENCODING).select(fields, "record", "whole").select(
+                *[F.col(f"fields.`{c}`") for c in found],
+                F.when(F.col("whole"), F.col(f"fields.{MALFORMED}")).otherwise(F.col("record")).alias(MALFORMED),
+            )
+        else:
+            lines = reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED).csv(path)
+        lines = lines.withColumnsRenamed(dict(zip(found, names, strict=True))).select(*CSV_COLUMNS, MALFORMED)
+        return written(lines, "source-csv")
 
 
 def well_formed(rows: DataFrame) -> DataFrame:

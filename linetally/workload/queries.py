@@ -11,6 +11,7 @@ from linetally.fixed_values import BATCH, LINE_TYPES, REVENUE_TOLERANCE, STREAM
 from linetally.functions.columns import money, money_out, path_number, period_key, total_units
 from linetally.operators import checks as C
 from linetally.operators import diff as D
+from linetally.operators.ranking import ROWS_PER_TASK
 from linetally.plans import catalog
 from linetally.plans import convert as V
 from linetally.plans import marts as M
@@ -60,11 +61,17 @@ def by_period(stg: DataFrame, *more: str) -> DataFrame:
 # ------------------------------------------------------------- sources, sinks
 
 
+def _write_csv(lines: DataFrame, path: str, **options: str) -> None:
+    """A source CSV as gzipped files. Such a file cannot be split, so it gets no more lines than a task sorts in memory."""
+    files = lines.write.options(header="true", encoding="ISO-8859-1", ignoreLeadingWhiteSpace="false", **options)
+    files.option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_TASK).csv(path)
+
+
 def _csv(w: Warehouse) -> DataFrame:
     """RAW lines as a source CSV: old headers, ids as floats, some dates unreadable."""
     path = w.scratch("csv")
     dated = F.date_format("invoice_date", "yyyy-MM-dd HH:mm:ss")
-    w.raw.select(
+    source = w.raw.select(
         F.col("invoice_no").alias("InvoiceNo"),
         F.col("stock_code").alias("StockCode"),
         F.col("description").alias("Description"),
@@ -73,7 +80,8 @@ def _csv(w: Warehouse) -> DataFrame:
         F.col("unit_price").alias("UnitPrice"),
         F.concat("customer_id", F.lit(".0")).alias("CustomerID"),
         F.col("country").alias("Country"),
-    ).write.option("header", "true").option("encoding", "ISO-8859-1").option("ignoreLeadingWhiteSpace", "false").csv(path)
+    )
+    _write_csv(source, path)
     return CSV.prepare(CSV.scan_csv(w.spark, path))
 
 
@@ -86,7 +94,7 @@ def csv_source_scan(w):
 def csv_source_scan_uci(w):
     """The same lines as a file with month-first dates, quoted line breaks and doubled quotes."""
     path = w.scratch("source_csv_uci")
-    w.raw.select(
+    source = w.raw.select(
         F.col("invoice_no").alias("InvoiceNo"),
         F.col("stock_code").alias("StockCode"),
         F.concat("description", F.lit('\nsaid "new"')).alias("Description"),
@@ -95,7 +103,8 @@ def csv_source_scan_uci(w):
         F.col("unit_price").alias("UnitPrice"),
         F.concat("customer_id", F.lit(".0")).alias("CustomerID"),
         F.col("country").alias("Country"),
-    ).write.option("header", "true").option("encoding", "ISO-8859-1").option("escape", '"').option("ignoreLeadingWhiteSpace", "false").csv(path)
+    )
+    _write_csv(source, path, escape='"')
     return CSV.split_undated(CSV.prepare(CSV.scan_csv(w.spark, path)))[0]
 
 

@@ -87,3 +87,46 @@ def test_lines_are_not_shuffled_to_learn_their_ranges(spark, tmp_path):
     plan = records(spark, str(tmp_path / "f.csv"), "UTF-8")._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join " in line]
     assert joins and all("strategy=broadcast" in line for line in joins)
+
+
+def test_never_closed_over_ranges(spark, tmp_path):
+    """Files of random quotes, cut short anywhere, and headers of several lines: the same by ranges as in one."""
+    rng = random.Random(5)
+    for k in range(12):
+        text = "".join(rng.choice(['"', '""', ",", "a", "\n", "\n", '\n"', '",\n']) for _ in range(400))
+        (tmp_path / f"{k}.csv").write_text(('"h\n1",h2' if k % 3 else '"h,h2') + ("\n" if k % 2 else "") + text)
+    got, tasks = by_ranges(spark, tmp_path, 48)
+    whole, _ = by_ranges(spark, tmp_path, 1 << 20)
+    assert tasks > 50 and {w for _, w in got} == {True, False} and got == whole
+
+
+def test_lines_without_quotes_are_not_shuffled(spark, tmp_path):
+    """Nor are quotes a reason that close on their line."""
+    (tmp_path / "f.csv").write_text('a,b\n1,"x,y"\n2,5" pipe\n\n3,z\r\n')
+    found = records(spark, str(tmp_path / "f.csv"), "UTF-8")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    assert sorted(r["record"] for r in found.collect()) == ['1,"x,y"', '2,5" pipe', "3,z"]
+
+
+def test_lines_are_shuffled_once(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = records(spark, str(tmp_path / "f.csv"), "UTF-8")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_other_ranges_are_refused(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("a,b\n" + "1,x\n" * 100)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = records(spark, str(tmp_path / "f.csv"), "UTF-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        with pytest.raises(Exception, match="other ranges"):
+            found.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
