@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,6 +114,11 @@ def build_session(app_name: str = "linetally", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+# whether the shuffle files of an execution are removed at its end
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# of the tables the engine writes, but for staged files, which are named by theirs
+COMPRESSION = "zstd"
+
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -138,6 +145,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/linetally/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes and counts inside remove their shuffle files once they end; Spark keeps them until its garbage is collected.
+
+    These have a plan of their own each time, so nothing reads the shuffles again. A frame that is itself collected
+    more than once is not meant to be run inside: its second run would have to shuffle again.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def forget(df: DataFrame) -> None:
     """Remove the scratch files of a table made by :func:`written`, once nothing reads it any more."""
     spark = df.sparkSession
@@ -156,5 +178,6 @@ def written(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Da
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    with shuffles_removed(spark):
+        df.write.mode("errorifexists").partitionBy(*partition_by).option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.env import Env
+from linetally.env import COMPRESSION, Env, shuffles_removed
 from linetally.fixed_values import (
     BATCH,
     DUPLICATE_RATE_EXCEPTIONS,
@@ -101,11 +101,16 @@ def known_so_far(spark: SparkSession, wanted: list[str], error: Exception) -> Da
     ).orderBy("period")
 
 
+def store_mart(df: DataFrame, path: str) -> None:
+    with shuffles_removed(df.sparkSession):
+        df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+
+
 def build_marts(spark: SparkSession, env: Env) -> None:
     """Rebuild every mart. Order lines are stored first and feed all the others."""
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(env.mart(name))
+        store_mart(df, env.mart(name))
         return spark.read.schema(df.schema).parquet(env.mart(name))
 
     lines = store("fct_order_lines", M.fct_order_lines(read_stg(spark, env.stg_orders)))

@@ -7,8 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linetally.env import shuffles_removed
 
-def write_periods(df: DataFrame, path: str, by: tuple[str, ...], rebalance: bool = True, fmt: str = "parquet") -> None:
+
+def write_periods(
+    df: DataFrame, path: str, by: tuple[str, ...], rebalance: bool = True, fmt: str = "parquet", compression: str = "snappy"
+) -> None:
     """Replace exactly the partitions present in ``df``, leaving the others alone.
 
     The rebalance hint lets AQE size the files: a period with a third of all
@@ -18,11 +22,12 @@ def write_periods(df: DataFrame, path: str, by: tuple[str, ...], rebalance: bool
     """
     out = df.hint("rebalance", *by) if rebalance else df
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
-    if fmt == "json":
-        # nulls are written out, so every line has every field
-        writer.option("ignoreNullFields", "false").json(path)
-    else:
-        writer.option("compression", "snappy").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        if fmt == "json":
+            # nulls are written out, so every line has every field
+            writer.option("ignoreNullFields", "false").json(path)
+        else:
+            writer.option("compression", compression).parquet(path)
 
 
 def hadoop_path(spark: SparkSession, path: str):

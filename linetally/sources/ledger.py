@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linetally.env import shuffles_removed
 from linetally.functions.columns import ORDER_COLUMNS, period_key
 from linetally.sources import versions
 from linetally.sources.files import drop_partition, path_exists
@@ -83,7 +84,8 @@ def strike(spark: SparkSession, table: str, periods: Iterable[str] | None = None
 def enter(entries_of: DataFrame, table: str) -> None:
     """Store measured entries; each period has one."""
     out = entries_of.select("n", "newest", *RAW_SUMS, *CLEAN_SUMS, "period").hint("coalesce", 1)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(_folder(table))
+    with shuffles_removed(entries_of.sparkSession):
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(_folder(table))
 
 
 def periods_of(spark: SparkSession, table: str) -> set[str]:

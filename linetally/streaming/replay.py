@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.env import forget, written
+from linetally.env import COMPRESSION, forget, shuffles_removed, written
 from linetally.functions.columns import period_key
 from linetally.plans.staging import refresh_from_ledgers
 from linetally.schemas import RAW_ORDER
@@ -45,12 +45,9 @@ def stream_lines(spark: SparkSession, folder: str, max_files: int) -> DataFrame:
 
 
 def _store(batch: DataFrame, path: str, partition: tuple[str, ...]) -> None:
-    (
-        batch.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition)
-        .parquet(path)
-    )
+    writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition)
+    with shuffles_removed(batch.sparkSession):
+        writer.option("compression", COMPRESSION).parquet(path)
 
 
 def _query_id(spark: SparkSession, checkpoint: str) -> str:

@@ -30,10 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per source line, with the order key that decides on copies.
 
-    All joins are left to AQE: lineitem and orders are shuffled by order key,
-    the other sides are broadcast as long as their measured size allows. The
-    joined rows are laid out by month while they are keys and numbers; texts
-    are made of them after that.
+    All joins are left to AQE: lineitem is shuffled by part key, then with
+    orders by order key, unless the other side's measured size allows to
+    broadcast it. The joined rows are laid out by month while they are keys,
+    numbers and the part's name, the lines of an order next to each other, so
+    that what they share is compressed; other texts are made of them after that.
     """
 
     def t(name):
@@ -41,17 +42,16 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     nation = t("nation").select(F.col("n_nationkey").alias("country_key"), F.col("n_name").alias("country"))
     orders = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    lines = t("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    lines = lines.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-    moved = F.when(F.col("o_orderkey") % 13 == 0, 1).otherwise(0)
-    lines = lines.withColumn("country_key", (F.col("c_nationkey") + moved) % 25).join(nation, "country_key")
+    lines = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    moved = F.when(F.col("l_orderkey") % 13 == 0, 1).otherwise(0)
     date = F.col("o_orderdate")
-    used = ("o_orderkey", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "o_custkey", "o_orderdate", "p_name", "country")
-    lines = lines.select(*used, F.year(date).alias("order_year"), F.month(date).alias("order_month"))
-    lines = lines.hint("rebalance", "order_year", "order_month")
+    used = ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "o_custkey", "o_orderdate", "p_name")
+    lines = lines.select(*used, ((F.col("c_nationkey") + moved) % 25).alias("country_key"), (F.year(date) * 12 + F.month(date)).alias("order_month"))
+    lines = lines.hint("rebalance", "order_month").join(nation, "country_key")
 
-    order_text = F.col("o_orderkey").cast("string")
-    is_cancelled = F.col("o_orderkey") % 50 == 0
+    order_text = F.col("l_orderkey").cast("string")
+    is_cancelled = F.col("l_orderkey") % 50 == 0
     goes_back = is_cancelled | (F.col("l_orderkey") % 211 == 0)
     quantity = F.col("l_quantity").cast("int")
     return lines.select(

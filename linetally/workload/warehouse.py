@@ -12,7 +12,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.env import Env, scratch_path, written
+from linetally.env import COMPRESSION, Env, scratch_path, shuffles_removed, written
 from linetally.plans import marts, pipeline, staging
 from linetally.plans.convert import convert_months
 from linetally.sources import reference
@@ -39,7 +39,8 @@ class Warehouse:
     @functools.cached_property
     def raw(self) -> DataFrame:
         rows = adapter.raw_orders(adapter.order_lines(self.spark, self.sf_dir))
-        write_periods(rows, self.env.raw_orders, PARTITION, rebalance=False)  # order_lines are laid out by month
+        # order_lines are laid out by month
+        write_periods(rows, self.env.raw_orders, PARTITION, rebalance=False, compression=COMPRESSION)
         return read_raw(self.spark, self.env.raw_orders)
 
     @functools.cached_property
@@ -48,7 +49,7 @@ class Warehouse:
         return staging.read_stg(self.spark, self.env.stg_orders)
 
     def _mart(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.env.mart(name))
+        pipeline.store_mart(df, self.env.mart(name))
         return self.spark.read.schema(df.schema).parquet(self.env.mart(name))
 
     @functools.cached_property
@@ -74,7 +75,8 @@ class Warehouse:
     def landing(self) -> str:
         # gzip cannot be split, but the rebalanced files of a day are small at any size of the day
         text = adapter.landed_text(self.raw).hint("rebalance", "event_date")
-        text.write.partitionBy("event_date").option("compression", "gzip").text(f"{self.env.landing}-text")
+        with shuffles_removed(self.spark):
+            text.write.partitionBy("event_date").option("compression", "gzip").text(f"{self.env.landing}-text")
         return f"{self.env.landing}-text"
 
     @functools.cached_property
